@@ -138,6 +138,9 @@ def with_body_error(df: DataFrame) -> DataFrame:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Intact records and corrupt ones; each body is decoded once while the result is kept."""
-    checked = with_body_error(df).persist()
+    """Intact records and corrupt ones with their ``error``.
+
+    Persist ``with_body_error`` and filter it instead where both sides are used.
+    """
+    checked = with_body_error(df)
     return checked.where("error is null").drop("error"), checked.where("error is not null")

@@ -17,7 +17,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesship.config import RetryPolicy
-from seriesship.operators.encode import split_corrupt
 from seriesship.operators.ordered import UNLIMITED, read_partition, run_starts, split_ordered
 from seriesship.operators.outcome import PERMANENT, RETRYABLE, SUCCESS, attempt_class, with_due
 from seriesship.schema import ATTEMPTS
@@ -323,8 +322,8 @@ class Outbox:
     def records(self, without: int | None = None) -> DataFrame:
         return self._read("records", RECORDS, without)
 
-    def attempts(self) -> DataFrame:
-        return self._read("attempts", LEDGER)
+    def attempts(self, without: int | None = None) -> DataFrame:
+        return self._read("attempts", LEDGER, without)
 
     def finished(self, without: int | None = None) -> DataFrame:
         return self._read("finished", FINISHED, without)
@@ -346,11 +345,11 @@ class Outbox:
         names = [c.split()[0] for c in RECORDS.split(", ")]
         self._write(kept.select(*names), "records", epoch_id)
 
-    def waiting(self) -> DataFrame:
-        """Records still to deliver, with the time from which each is due."""
-        gone = self.finished().select("queue", "record_id")
+    def waiting(self, without: int | None = None) -> DataFrame:
+        """Records still to deliver and when each is due, not counting one drain's own rows."""
+        gone = self.finished(without).select("queue", "record_id")
         due = (
-            self.attempts()
+            self.attempts(without)
             .groupBy("queue", "record_id")
             .agg(F.max_by("next_due_ms", "attempt").alias("next_due_ms"), F.max("attempt").alias("tries"))
         )
@@ -362,17 +361,15 @@ class Outbox:
             }
         )
 
-    def quarantine(self, epoch_id: int, now_ms: int) -> DataFrame:
-        """Take corrupt records out of the queue."""
-        _, bad = split_corrupt(self.waiting())
-        rows = bad.select(
-            "record_id", "queue", F.lit("corrupt").alias("why"), F.lit(now_ms).cast("bigint").alias("at_ms")
-        )
-        self._write(rows, "finished", epoch_id)
-        return bad
-
-    def settle(self, attempts: DataFrame, epoch_id: int, retry: RetryPolicy) -> None:
-        """Write a drain's attempts to the ledger, then finish what they ended."""
+    def settle(
+        self,
+        attempts: DataFrame,
+        epoch_id: int,
+        retry: RetryPolicy,
+        corrupt: DataFrame | None = None,
+        now_ms: int = 0,
+    ) -> None:
+        """Write a drain's attempts to the ledger, then finish what they ended and what is corrupt."""
         judged = with_due(attempts.withColumn("outcome", attempt_class()), retry.for_outbox())
         names = [c.split()[0] for c in LEDGER.split(", ")]
         due = F.when(F.col("outcome") == RETRYABLE, F.col("next_due_ms")).otherwise(F.lit(0))
@@ -382,4 +379,9 @@ class Outbox:
         )
         why = removal(attempt_class(), F.col("error_class"))
         ended = ledger.select("record_id", "queue", why.alias("why"), "at_ms").where("why is not null")
+        if corrupt is not None:
+            at = F.lit(now_ms).cast("bigint").alias("at_ms")
+            ended = ended.unionByName(
+                corrupt.select("record_id", "queue", F.lit("corrupt").alias("why"), at)
+            )
         self._write(ended, "finished", epoch_id)

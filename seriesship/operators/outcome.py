@@ -94,9 +94,7 @@ def sync_outcome(attempts: DataFrame, retry: RetryPolicy, key: str = "request_id
     replayed = F.col("kind") == "eof_replay"
     rank = F.struct("attempt", replayed.cast("int").alias("replay"))
     seen = attempts.withColumn("outcome", attempt_class()).where(F.col("attempt") <= last_try)
-    # A failure that was replayed at once does not end the request.
-    stale = (F.col("error_class") == "eof") & ~replayed
-    ended = (F.col("outcome") != RETRYABLE) & ~F.coalesce(stale, F.lit(False))
+    ended = F.col("outcome") != RETRYABLE
     what = F.struct(rank.alias("rank"), "status", "error_class", "outcome", "at_ms")
     ends = seen.groupBy(key).agg(
         F.min(F.when(ended, what)).alias("end"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesship.config import VERSION_HEADER, ClientConfig
-from seriesship.functions.text import framed_len, header_name, path_escape, varint_len
+from seriesship.functions.text import framed_len, header_name, let, path_escape, varint_len
 
 SLOT = "{tenant}"
 HEADERS = "map<string,array<string>>"
@@ -36,18 +36,30 @@ def url_problem(url: Column) -> Column:
 
     Authority is what follows ``//``; the path ends at the first ``?`` or ``#``.
     """
-    scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    rest = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+    form = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
     slots = lambda c: F.regexp_count(c, F.lit(r"\{tenant\}"))
-    host = F.regexp_replace(rest, r"^.*@", "")
-    return (
-        F.when(F.coalesce(url, F.lit("")) == "", "empty")
-        .when((scheme == "") | (host == ""), "no scheme or host")
-        .when((slots(url) > 0) & (slots(path) != 1), "tenant slot not once in path")
-        .when(slots(url) > slots(path), "tenant slot outside path")
+    parts = F.struct(
+        url.alias("url"),
+        F.regexp_extract(url, form, 1).alias("scheme"),
+        F.regexp_replace(F.regexp_extract(url, form, 2), r"^.*@", "").alias("host"),
+        F.regexp_extract(url, form, 3).alias("path"),
+        slots(url).alias("slots"),
+        slots(F.regexp_extract(url, form, 3)).alias("path_slots"),
     )
 
+    def judge(p: Column) -> Column:
+        return (
+            F.when(F.coalesce(p["url"], F.lit("")) == "", "empty")
+            .when(p["url"].rlike(r"[\x00-\x1f\x7f]"), "control character")
+            .when((p["scheme"] == "") | (p["host"] == ""), "no scheme or host")
+            .when(p["host"].rlike(r"\s|:[^\]:]*[^\]:0-9][^\]:]*$"), "bad host or port")
+            .when(F.concat(p["host"], p["path"]).rlike(r"%(?![0-9A-Fa-f]{2})"), "bad escape")
+            .when((p["slots"] > 0) & (p["path_slots"] != 1), "tenant slot not once in path")
+            .when(p["slots"] > p["path_slots"], "tenant slot outside path")
+        )
+
+    return let(parts, judge)
+
 
 def validate_routes(df: DataFrame, url: str = "url") -> tuple[DataFrame, DataFrame]:
     """Usable routes, and the others with a ``reason``."""

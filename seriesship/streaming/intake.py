@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from seriesship.config import ClientConfig, PushConfig, RetryPolicy
+from seriesship.operators.encode import with_body_error
 from seriesship.operators.deliver import Transport, deliver
 from seriesship.operators.outbox import Outbox, drain_slice
 from seriesship.operators.requests import canonical_headers, record_size, split_reserved, with_defaults
@@ -37,8 +38,10 @@ def enqueue(
 ) -> None:
     """Requests into the outbox. Forbidden headers are refused here, not found out at every send."""
     allowed, _ = split_reserved(requests, client)
-    sized = record_size(canonical_headers(with_defaults(allowed, client)))
+    # Admission looks at sizes first and takes the bodies later, so they are kept, not made twice.
+    sized = record_size(canonical_headers(with_defaults(allowed, client))).persist()
     outbox.append(sized, epoch_id, max_pending_bytes)
+    sized.unpersist()
 
 
 def stream_push(
@@ -69,11 +72,11 @@ def drain(
     now_ms: int,
     concurrency: int = 1,
 ) -> None:
-    """One drain pass: quarantine, pick what is due, send, write the ledger, finish records.
-
-    Uses the epochs ``2 * epoch_id`` (quarantine) and ``2 * epoch_id + 1`` (outcomes).
-    """
-    outbox.quarantine(2 * epoch_id, now_ms)
-    due = drain_slice(outbox.waiting(), now_ms, concurrency)
-    attempts = deliver(due, client, transport, now_ms, concurrency)
-    outbox.settle(attempts, 2 * epoch_id + 1, client.retry or RetryPolicy())
+    """One drain pass: pick what is due, quarantine corrupt records, send, write down the outcome."""
+    due = drain_slice(outbox.waiting(without=epoch_id), now_ms, concurrency)
+    checked = with_body_error(due).persist()
+    good = checked.where("error is null").drop("error")
+    attempts = deliver(good, client, transport, now_ms, concurrency)
+    corrupt = checked.where("error is not null")
+    outbox.settle(attempts, epoch_id, client.retry or RetryPolicy(), corrupt, now_ms)
+    checked.unpersist()
