@@ -30,7 +30,7 @@ def sort_labels(c: Column) -> Column:
     keyed = F.transform(
         c, lambda x, i: F.struct(x["name"].alias("name"), i.alias("i"), x["value"].alias("value"))
     )
-    return F.transform(F.array_sort(keyed), lambda x: pair(x["name"], x["value"]))
+    return F.transform(F.sort_array(keyed), lambda x: pair(x["name"], x["value"]))
 
 
 def present(labels: Column) -> Column:
@@ -59,9 +59,7 @@ def merge_external(labels: Column, external: Column) -> Column:
 
 def external_from_map(c: Column) -> Column:
     """A map column as a sorted label list."""
-    return F.array_sort(
-        F.transform(F.map_entries(c), lambda e: pair(e["key"], e["value"]))
-    )
+    return F.sort_array(F.transform(F.map_entries(c), lambda e: pair(e["key"], e["value"])))
 
 
 def label_value(labels: Column, name: str) -> Column:

@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from seriesship.functions.text import let
-
 # Fixed values of the public write-request schema: field tags (number and wire type in one byte).
 TAG_SERIES = 0x0A
 TAG_LABEL = 0x0A
@@ -21,42 +19,43 @@ TAG_SAMPLE_VALUE = 0x09
 TAG_SAMPLE_TIME = 0x10
 
 
-def varint_column(n: Column) -> Column:
-    """Base-128 varint of a non-negative length, as binary."""
+def varint_text(n: Column) -> Column:
+    """Base-128 varint of a non-negative length, as text that holds the bytes."""
 
     def form(size: int) -> Column:
         groups = [
-            F.shiftright(n, 7 * i).bitwiseAND(F.lit(127).cast("bigint"))
-            + (128 if i + 1 < size else 0)
+            F.shiftright(n, 7 * i).bitwiseAND(F.lit(127)) + (128 if i + 1 < size else 0)
             for i in range(size)
         ]
-        return F.unhex(F.concat(*[F.lpad(F.hex(g), 2, "0") for g in groups]))
+        return F.unhex(F.concat(*[F.lpad(F.hex(g), 2, "0") for g in groups])).cast("string")
 
     out = form(5)
-    for size in range(4, 0, -1):
+    for size in range(4, 1, -1):
         out = F.when(n < (1 << (7 * size)), form(size)).otherwise(out)
-    return out
+    return F.when(n < 128, F.char(n)).otherwise(out)
 
 
 def _field(tag: int, body: Column) -> Column:
     """A length-prefixed field."""
-    return F.concat(
-        F.lit(bytes([tag])), varint_column(F.octet_length(body).cast("bigint")), body
-    )
+    return F.concat(F.lit(chr(tag)), varint_text(F.octet_length(body)), body)
 
 
 def _text_field(tag: int, c: Column) -> Column:
     """A text field; empty text is left out."""
-    return F.when(c == "", F.lit(b"")).otherwise(_field(tag, F.encode(c, "utf-8")))
+    return F.when(c == "", "").otherwise(_field(tag, c))
 
 
 def labels_wire(labels: Column) -> Column:
-    """The label fields of one series."""
-    one = lambda x: let(
-        F.concat(_text_field(TAG_NAME, x["name"]), _text_field(TAG_VALUE, x["value"])),
-        lambda body: _field(TAG_LABEL, body),
+    """The label fields of one series.
+
+    They are put together as text, whose bytes need not be valid characters, and turned into binary last.
+    """
+    bodies = F.transform(
+        labels,
+        lambda x: F.concat(_text_field(TAG_NAME, x["name"]), _text_field(TAG_VALUE, x["value"])),
     )
-    return F.aggregate(labels, F.lit(b""), lambda a, x: F.concat(a, one(x)))
+    joined = F.array_join(F.transform(bodies, lambda body: _field(TAG_LABEL, body)), "")
+    return joined.cast("binary")
 
 
 def varint(n: int) -> bytes:

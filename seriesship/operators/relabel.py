@@ -238,7 +238,8 @@ def relabel(
             out = out.withColumn(column, F.when(keeps(c, r), c))
         else:
             out = out.withColumn(column, F.when(c.isNotNull(), apply_rule(c, r, name_scheme)))
-    tidy = L.sort_labels(F.filter(c, lambda x: x["value"] != ""))
+    # No rule sets an empty value, so those are gone already.
     others = [x for x in df.columns if x != column]
-    kept = out.select(*others, F.explode(F.when(c.isNotNull(), F.array(tidy))).alias(column))
+    whole = F.when(c.isNotNull(), F.array(L.sort_labels(c)))
+    kept = out.select(*others, F.explode(whole).alias(column))
     return kept.select(*df.columns)

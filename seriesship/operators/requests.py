@@ -136,7 +136,7 @@ def header_list(headers: Column) -> Column:
     belongs to one request and is small, so this stays inside the row.
     """
     raw = F.filter(F.map_entries(headers), lambda e: F.size(e["value"]) > 0)
-    keyed = F.array_sort(
+    keyed = F.sort_array(
         F.transform(
             raw,
             lambda e: F.struct(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesship.functions.text import let
 from seriesship.schema import FAMILIES, REQUESTS, SERIES
 
 
@@ -68,9 +69,12 @@ def list_record_files(spark: SparkSession, folder: str) -> DataFrame:
 def record_id(path: Column) -> Column:
     """Id in a record file's name, unsigned 64 bits; null for other names."""
     digits = F.nullif(F.regexp_extract(path, r"(?:^|/)([0-9A-Fa-f]+)\.record$", 1), F.lit(""))
-    short = F.ltrim(digits, F.lit("0"))
-    value = F.conv(F.when(short == "", "0").otherwise(short), 16, 10).cast("decimal(20,0)")
-    return F.when(F.length(short) <= 16, value)
+
+    def read(short: Column) -> Column:
+        value = F.conv(F.when(short == "", "0").otherwise(short), 16, 10).cast("decimal(20,0)")
+        return F.when(F.length(short) <= 16, value)
+
+    return let(F.ltrim(digits, F.lit("0")), read)
 
 
 def recover_records(files: DataFrame) -> tuple[DataFrame, DataFrame]:
