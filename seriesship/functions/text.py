@@ -13,77 +13,49 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def shortest_text(x: Column) -> Column:
-    """Shortest text that reads back as the same double.
-
-    The JDK's own text is already shortest up to 15 digits. Beyond that older JDKs can print too many
-    digits, so those values go through the shortest-digits routine that ships with Spark's JSON library.
-    """
-    plain = x.cast("string")
-    exact = F.reflect(
-        F.lit("com.fasterxml.jackson.core.io.schubfach.DoubleToDecimal"), F.lit("toString"), x
-    )
-    return F.when(F.length(plain) <= 16, plain).otherwise(exact)
-
-
-def _from_digits(text: Column) -> Column:
-    """Rebuild ``d.dddE±x`` or plain decimal text in the target form."""
-    form = r"^-?([0-9]+)\.([0-9]+)(?:E(-?[0-9]+))?$"
-    whole = F.regexp_extract(text, form, 1)
-    frac = F.regexp_extract(text, form, 2)
-    power = F.regexp_extract(text, form, 3)
-    parts = F.struct(
-        F.when(text.startswith("-"), "-").otherwise("").alias("sign"),
-        F.rtrim(F.ltrim(F.concat(whole, frac), F.lit("0")), F.lit("0")).alias("digits"),
-        F.when(power != "", power.try_cast("int"))
-        .when(whole != "0", F.length(whole) - 1)
-        .otherwise(F.length(F.ltrim(frac, F.lit("0"))) - F.length(frac) - 1)
-        .alias("exp10"),
-    )
-
-    def build(p: Column) -> Column:
-        digits, exp10 = p["digits"], p["exp10"]
-        n = F.length(digits)
-        rest = F.substring(digits, 2, 400)
-        scientific = F.concat(
-            F.substring(digits, 1, 1),
-            F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
-            F.when(exp10 < 0, "e-").otherwise("e+"),
-            F.when(F.abs(exp10) < 10, "0").otherwise(""),
-            F.abs(exp10).cast("string"),
-        )
-        below_one = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp10 - 1), digits)
-        whole_number = F.concat(digits, F.repeat(F.lit("0"), exp10 + 1 - n))
-        mixed = F.concat(
-            F.substr(digits, F.lit(1), exp10 + 1), F.lit("."), F.substr(digits, exp10 + 2)
-        )
-        body = (
-            F.when((exp10 < -4) | (exp10 >= 6), scientific)
-            .when(exp10 < 0, below_one)
-            .when(n <= exp10 + 1, whole_number)
-            .otherwise(mixed)
-        )
-        return F.concat(p["sign"], body)
-
-    return let(parts, build)
-
-
-def format_bound(x: Column) -> Column:
-    """Text of a bucket bound or quantile.
+# The JDK's own text of a double is already shortest up to 15 digits. Beyond that older JDKs can print too
+# many digits, so those values go through the shortest-digits routine that ships with Spark's JSON library.
+SHORTEST = """
+CASE WHEN length(string({x})) <= 16 THEN string({x})
+ELSE reflect('com.fasterxml.jackson.core.io.schubfach.DoubleToDecimal', 'toString', {x}) END"""
+
+# Java's ``d.dddE±x`` or plain decimal text ``t``, taken apart and put together in the target form.
+PARTS = r"""
+named_struct(
+  'sign', if(startswith(t, '-'), '-', ''),
+  'digits', trim(BOTH '0' FROM regexp_replace(t, r'^-|\.|E.*', '')),
+  'exp10', CASE
+    WHEN contains(t, 'E') THEN int(split_part(t, 'E', 2))
+    WHEN NOT t RLIKE r'^-?0\.' THEN length(regexp_extract(t, r'^-?([0-9]+)\.', 1)) - 1
+    ELSE -1 - length(regexp_extract(t, r'\.(0*)', 1)) END)"""
+REBUILT = """
+concat(p.sign, CASE
+  WHEN p.exp10 < -4 OR p.exp10 >= 6 THEN concat(
+    left(p.digits, 1), if(length(p.digits) > 1, '.', ''), substring(p.digits, 2),
+    if(p.exp10 < 0, 'e-', 'e+'), if(abs(p.exp10) < 10, '0', ''), string(abs(p.exp10)))
+  WHEN p.exp10 < 0 THEN concat('0.', repeat('0', -p.exp10 - 1), p.digits)
+  WHEN length(p.digits) <= p.exp10 + 1 THEN concat(
+    p.digits, repeat('0', p.exp10 + 1 - length(p.digits)))
+  ELSE concat(left(p.digits, p.exp10 + 1), '.', substring(p.digits, p.exp10 + 2)) END)"""
+# ``transform`` over one element names a value that is used several times.
+BOUND = r"""
+CASE WHEN {x} IS NULL THEN NULL
+  WHEN isnan({x}) THEN 'NaN'
+  WHEN {x} = double('Infinity') THEN '+Inf'
+  WHEN {x} = double('-Infinity') THEN '-Inf'
+  WHEN {x} = 0 THEN if(startswith(string({x}), '-'), '-0', '0')
+  WHEN abs({x}) >= 1e-3 AND abs({x}) < 1e6 THEN regexp_replace({shortest}, r'\.0$', '')
+  ELSE transform(array({shortest}), t -> transform(array({parts}), p -> {rebuilt})[0])[0] END"""
+
+
+def format_bound(x: str) -> Column:
+    """Text of a bucket bound or quantile, given the column's name.
 
     Shortest round-trip digits, exponent form only below 1e-4 or from 1e6 on. (Among subnormal doubles a
     few that one digit would identify keep two.)
     """
-    size = F.abs(x)
-    return (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(x), "NaN")
-        .when(x == float("inf"), "+Inf")
-        .when(x == float("-inf"), "-Inf")
-        .when(x == 0.0, F.when(x.cast("string").startswith("-"), "-0").otherwise("0"))
-        .when((size >= 1e-3) & (size < 1e6), F.regexp_replace(shortest_text(x), r"\.0$", ""))
-        .otherwise(let(shortest_text(x), _from_digits))
-    )
+    sql = BOUND.format(x=x, shortest=SHORTEST.format(x=x), parts=PARTS, rebuilt=REBUILT)
+    return F.expr(sql)
 
 
 # Characters that stay readable inside one URL path part although form encoding

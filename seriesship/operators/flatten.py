@@ -10,54 +10,41 @@ from pyspark.sql import functions as F
 from seriesship.functions import labels as L
 from seriesship.functions.text import format_bound
 
-INF = float("inf")
+POINT_LIST = "array<struct<suffix:string,tag:string,bound:double,value:double>>"
 
 
-def _point(suffix: str, tag: str | None, bound: Column | None, value: Column) -> Column:
-    return F.struct(
-        F.lit(suffix).alias("suffix"),
-        F.lit(tag).cast("string").alias("tag"),
-        (F.lit(None) if bound is None else bound).cast("double").alias("bound"),
-        value.cast("double").alias("value"),
+def _point(suffix: str, tag: str | None, bound: str, value: str) -> str:
+    tag = f"'{tag}'" if tag else "string(NULL)"
+    return (
+        f"named_struct('suffix', '{suffix}', 'tag', {tag}, 'bound', double({bound}), "
+        f"'value', double({value}))"
     )
 
 
-def _totals(c: Column) -> Column:
-    return F.array(
-        _point("_sum", None, None, c["sample_sum"]), _point("_count", None, None, c["sample_count"])
-    )
+def _totals(column: str) -> str:
+    total = _point("_sum", None, "NULL", f"{column}.sample_sum")
+    return f"array({total}, {_point('_count', None, 'NULL', f'{column}.sample_count')})"
 
 
-def points(kind: Column, value: Column, histogram: Column, summary: Column) -> Column:
-    """The ordered points of one metric; null when the value for its type is missing."""
-    scalar = F.array(_point("", None, None, value))
-    buckets = F.coalesce(
-        F.transform(
-            histogram["buckets"],
-            lambda b: _point("_bucket", "le", b["upper_bound"], b["cumulative_count"]),
-        ),
-        F.array().cast("array<struct<suffix:string,tag:string,bound:double,value:double>>"),
-    )
-    has_inf = F.coalesce(
-        F.exists(histogram["buckets"], lambda b: b["upper_bound"] == INF), F.lit(False)
-    )
-    closing = F.array(_point("_bucket", "le", F.lit(INF), histogram["sample_count"]))
-    quantiles = F.coalesce(
-        F.transform(
-            summary["quantiles"], lambda q: _point("", "quantile", q["quantile"], q["value"])
-        ),
-        F.array().cast("array<struct<suffix:string,tag:string,bound:double,value:double>>"),
-    )
-    return (
-        F.when(kind.isin("COUNTER", "GAUGE", "UNTYPED") & value.isNotNull(), scalar)
-        .when(
-            (kind == "HISTOGRAM") & histogram.isNotNull(),
-            F.when(has_inf, F.concat(buckets, _totals(histogram))).otherwise(
-                F.concat(buckets, closing, _totals(histogram))
-            ),
-        )
-        .when((kind == "SUMMARY") & summary.isNotNull(), F.concat(quantiles, _totals(summary)))
-    )
+def _each(items: str, point: str) -> str:
+    return f"coalesce(transform({items}, x -> {point}), CAST(array() AS {POINT_LIST}))"
+
+
+# The ordered points of one metric; null when the value for its type is missing.
+POINTS = f"""
+CASE
+  WHEN type IN ('COUNTER', 'GAUGE', 'UNTYPED') AND value IS NOT NULL THEN
+    array({_point('', None, 'NULL', 'value')})
+  WHEN type = 'HISTOGRAM' AND histogram IS NOT NULL THEN concat(
+    {_each('histogram.buckets', _point('_bucket', 'le', 'x.upper_bound', 'x.cumulative_count'))},
+    if(coalesce(exists(histogram.buckets, x -> x.upper_bound = double('Infinity')), false),
+      CAST(array() AS {POINT_LIST}),
+      array({_point('_bucket', 'le', "'Infinity'", 'histogram.sample_count')})),
+    {_totals('histogram')})
+  WHEN type = 'SUMMARY' AND summary IS NOT NULL THEN concat(
+    {_each('summary.quantiles', _point('', 'quantile', 'x.quantile', 'x.value'))},
+    {_totals('summary')})
+END"""
 
 
 def flatten(
@@ -91,9 +78,7 @@ def flatten(
         own.alias("own"),
         *carried,
         F.coalesce(F.col("timestamp_ms"), F.lit(now)).cast("bigint").alias("timestamp"),
-        F.posexplode(
-            points(F.col("type"), F.col("value"), F.col("histogram"), F.col("summary"))
-        ).alias("point_ord", "point"),
+        F.posexplode(F.expr(POINTS)).alias("point_ord", "point"),
     )
     # The bound's text sits in its own projection, so it is formed once per point.
     texted = per_point.select(
@@ -102,7 +87,7 @@ def flatten(
         F.concat("name", "point.suffix").alias("name"),
         F.when(
             F.col("point.tag").isNotNull(),
-            F.array(L.pair(F.col("point.tag"), format_bound(F.col("point.bound")))),
+            F.array(L.pair(F.col("point.tag"), format_bound("point.bound"))),
         )
         .otherwise(L.no_labels())
         .alias("tag"),

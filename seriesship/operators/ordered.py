@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Rows of one partition are held by a task as arrays; larger partitions are split again.
+ROWS_PER_PART = 4_000_000
 NEVER = -(1 << 60)
 UNLIMITED = 1 << 60
 
@@ -93,10 +95,13 @@ def split_ordered(
     """Sort rows by (key, order) over the cluster. The order must be unique in each key, keys not null.
 
     The checkpoint fixes which partition a row is in, so that later passes, and tasks run again after an
-    executor is lost, see the same split. What comes back to the driver is one row per partition.
+    executor is lost, see the same split. What comes back to the driver is one row per partition. Should the
+    session's number of shuffle partitions be too small for the rows, a larger one is worked out.
     """
     ensure_checkpoint_dir(df.sparkSession)
     by = [key, *order]
+    # Range partitioning reads its input twice, first for a sample; what made the rows runs once.
+    df = df.persist()
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     fixed = ranged.sortWithinPartitions(*by).checkpoint(eager=False)
     stats = stats or {}
@@ -110,6 +115,11 @@ def split_ordered(
         )
         .collect()
     )
+    df.unpersist()
+    total = sum(r["rows"] for r in rows)
+    wanted = 2 * total // ROWS_PER_PART + 1
+    if max((r["rows"] for r in rows), default=0) > ROWS_PER_PART and wanted > (partitions or 0):
+        return split_ordered(df, key, order, stats, wanted)
     parts: list[Part] = []
     for r in sorted(rows, key=lambda r: r["part"]):
         continues = bool(parts) and parts[-1].last == r["first"]

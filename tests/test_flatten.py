@@ -3,7 +3,6 @@ import random
 import struct
 
 import pytest
-from pyspark.sql import functions as F
 
 from seriesship import flatten
 from seriesship.functions.text import format_bound
@@ -126,7 +125,7 @@ def test_bound_text(spark):
             xs.append(x)
         xs.append(rng.randint(1, 10**9) / 10 ** rng.randint(0, 12))
     df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
-    for r in df.select("x", format_bound(F.col("x")).alias("t")).collect():
+    for r in df.select("x", format_bound("x").alias("t")).collect():
         if math.isnan(r.x):
             want = "NaN"
         elif r.x in GOLDEN:

@@ -209,7 +209,7 @@ def format_bound_text(spark, sf):
     price = F.col("o_totalprice")
     scaled = F.array(price, price / 1e9, price * 1e3, -price / 7.0, price * 1e20, price / 3e7)
     rows = T.table(spark, sf, "orders").select("o_orderkey", F.posexplode(scaled).alias("form", "bound"))
-    return rows.select("o_orderkey", "form", format_bound(F.col("bound")).alias("bound_text"))
+    return rows.select("o_orderkey", "form", format_bound("bound").alias("bound_text"))
 
 
 # --- labels ------------------------------------------------------------------------------------------

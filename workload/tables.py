@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seriesship.functions.labels import pair
 from seriesship.schema import HISTOGRAM, LABELS, SUMMARY
+from seriesship.sources.tables import spread
 
 NOW_MS = 1_700_000_000_000
 BLOCK = 256
@@ -184,7 +185,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One push per priority, one family per customer, one metric per order."""
-    return order_gauges_of(table(spark, sf_dir, "orders"))
+    return order_gauges_of(spread(table(spark, sf_dir, "orders")))
 
 
 def order_gauges_of(orders: DataFrame) -> DataFrame:
