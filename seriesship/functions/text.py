@@ -108,10 +108,9 @@ HTTP_DATE = (
 def retry_after_ms(header: Column, at_ms: Column) -> Column:
     """Wait asked for by a Retry-After header: positive whole seconds, or a future HTTP date."""
     seconds = F.when(header.rlike(r"\A[+-]?[0-9]+\z"), header.try_cast("bigint"))
-    date = F.try_to_timestamp(
-        F.initcap(F.nullif(F.regexp_extract(header, HTTP_DATE, 1), F.lit(""))),
-        F.lit("dd MMM yyyy H:mm:ss"),
-    )
+    # The zone is written out, so the session's own zone does not matter.
+    stamp = F.initcap(F.nullif(F.regexp_extract(header, HTTP_DATE, 1), F.lit("")))
+    date = F.try_to_timestamp(F.concat(stamp, F.lit("Z")), F.lit("dd MMM yyyy H:mm:ssX"))
     left = F.unix_millis(date) - at_ms
     return F.coalesce(
         F.when(seconds > 0, F.try_multiply(seconds, F.lit(1000))),

@@ -19,43 +19,34 @@ TAG_SAMPLE_VALUE = 0x09
 TAG_SAMPLE_TIME = 0x10
 
 
-def varint_text(n: Column) -> Column:
+def varint_sql(n: str) -> str:
     """Base-128 varint of a non-negative length, as text that holds the bytes."""
+    more = f"if({n} < 16384, 1, if({n} < 2097152, 2, if({n} < 268435456, 3, 4)))"
+    low = f"(shiftright({n}, 7 * i) & 127) + if(i < {more}, 128, 0)"
+    wide = f"array_join(transform(sequence(0, {more}), i -> lpad(hex({low}), 2, '0')), '')"
+    return f"if({n} < 128, char({n}), string(unhex({wide})))"
 
-    def form(size: int) -> Column:
-        groups = [
-            F.shiftright(n, 7 * i).bitwiseAND(F.lit(127)) + (128 if i + 1 < size else 0)
-            for i in range(size)
-        ]
-        return F.unhex(F.concat(*[F.lpad(F.hex(g), 2, "0") for g in groups])).cast("string")
 
-    out = form(5)
-    for size in range(4, 1, -1):
-        out = F.when(n < (1 << (7 * size)), form(size)).otherwise(out)
-    return F.when(n < 128, F.char(n)).otherwise(out)
-
-
-def _field(tag: int, body: Column) -> Column:
+def _field(tag: int, body: str) -> str:
     """A length-prefixed field."""
-    return F.concat(F.lit(chr(tag)), varint_text(F.octet_length(body)), body)
+    return f"concat(char({tag}), {varint_sql(f'octet_length({body})')}, {body})"
 
 
-def _text_field(tag: int, c: Column) -> Column:
+def _text_field(tag: int, c: str) -> str:
     """A text field; empty text is left out."""
-    return F.when(c == "", "").otherwise(_field(tag, c))
+    return f"if({c} = '', '', {_field(tag, c)})"
 
 
-def labels_wire(labels: Column) -> Column:
-    """The label fields of one series.
+def labels_wire(labels: str) -> Column:
+    """The label fields of one series, given the column's name.
 
     They are put together as text, whose bytes need not be valid characters, and turned into binary last.
     """
-    bodies = F.transform(
-        labels,
-        lambda x: F.concat(_text_field(TAG_NAME, x["name"]), _text_field(TAG_VALUE, x["value"])),
+    body = f"concat({_text_field(TAG_NAME, 'x.name')}, {_text_field(TAG_VALUE, 'x.value')})"
+    bodies = f"transform({labels}, x -> {body})"
+    return F.expr(
+        f"binary(array_join(transform({bodies}, b -> {_field(TAG_LABEL, 'b')}), ''))"
     )
-    joined = F.array_join(F.transform(bodies, lambda body: _field(TAG_LABEL, body)), "")
-    return joined.cast("binary")
 
 
 def varint(n: int) -> bytes:

@@ -83,7 +83,7 @@ def assign_batches(
 
     ``atomic='family'`` keeps all rows with the same order value together, ``'series'`` checks after every
     row. Only (key, order, count, bytes) takes part in the ordered work; the labels themselves meet the
-    result in one equi-join, whose keys are spread evenly.
+    result in one sort-merge join, whose keys are spread evenly.
     """
     order = [order] if isinstance(order, str) else list(order)
     samples = F.col("samples") if "samples" in series.columns else None
@@ -95,7 +95,9 @@ def assign_batches(
     else:
         units = sized.select(key, *order, F.lit(1).alias("n"), F.col("bytes").alias("b"))
     numbered = batch_numbers(units, key, order, max_series, max_bytes, partitions, fan)
-    return series.join(numbered.select(key, *order, "batch_no"), [key, *order])
+    # Planning cannot tell how large generated series are, so neither side may be taken for a small one.
+    numbers = numbered.select(key, *order, "batch_no").hint("merge")
+    return series.join(numbers, [key, *order])
 
 
 def batch_stats(batched: DataFrame, key: str = "push_key", order: str = "family_ord") -> DataFrame:

@@ -36,7 +36,7 @@ def encode_batches(
         .sortWithinPartitions(*by, *order)
         .select(
             *by,
-            wire.labels_wire(F.col("labels")).alias("label_bytes"),
+            wire.labels_wire("labels").alias("label_bytes"),
             F.col("samples.value").alias("values"),
             F.col("samples.timestamp").alias("stamps"),
         )

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from seriesship.operators import ordered
 from seriesship.operators.batching import assign_batches, batch_numbers, batch_numbers_by_count
 from seriesship.operators.outbox import admit
 from seriesship.operators.rate import rate_schedule, with_deadline
@@ -41,6 +42,15 @@ def test_batches(units, max_n, max_b, parts, fan):
     assert {(r.k, r.o): r.batch_no for r in got} == plain_batches(rows, max_n, max_b)
 
 
+def test_partitions_with_too_many_rows_are_split_again(units, monkeypatch):
+    rows, df = units
+    monkeypatch.setattr(ordered, "ROWS_PER_PART", 60)
+    key = df.where("n > 0").selectExpr("k", "o")
+    assert len(ordered.split_ordered(key, "k", ["o"], partitions=1).parts) > 5
+    got = batch_numbers(df, "k", ["o"], 17, 517, 1).collect()
+    assert {(r.k, r.o): r.batch_no for r in got} == plain_batches(rows, 17, 517)
+
+
 def test_batches_by_count(units):
     rows, df = units
     got = batch_numbers_by_count(df, "k", ["o"], 7, 9).collect()

@@ -47,6 +47,15 @@ def test_retry_after(spark):
     assert got == list(headers.values())
 
 
+def test_http_dates_are_gmt_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = column(spark, ["Thu, 01 Jan 1970 00:00:31 GMT"], lambda c: O.retry_after_ms(c, F.lit(1000)), "string")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [30_000]
+
+
 def test_backoff(spark):
     waits = lambda low, high, n: column(
         spark, list(range(1, n + 1)), lambda c: O.backoff_ms(c, RetryPolicy(n, low, high)), "int"

@@ -239,7 +239,7 @@ FROM counters GROUP BY 1"""
 
 SCALED = ("o_totalprice", "o_totalprice / 1e9", "o_totalprice * 1e3", "-o_totalprice / 7.0::DOUBLE",
           "o_totalprice * 1e20", "o_totalprice / 3e7")
-ORACLE["format_bound_text"] = "WITH b AS (\n" + "\nUNION ALL\n".join(
+ORACLE["format_bound"] = "WITH b AS (\n" + "\nUNION ALL\n".join(
     f"SELECT o_orderkey, {i}::INTEGER AS form, ({c})::DOUBLE AS x FROM orders" for i, c in enumerate(SCALED)
 ) + r"""),
 t AS (
@@ -398,7 +398,7 @@ SELECT k.push_key, batch_no, count(*) AS n_series, sum(k.b)::BIGINT AS est_bytes
   min(family_ord) AS first_ord, max(family_ord) AS last_ord
 FROM kept k JOIN numbered s ON s.push_key = k.push_key AND s.ord = k.family_ord
 GROUP BY k.push_key, batch_no"""
-ORACLE["stream_to_outbox"] = f"""{PUSHED}
+ORACLE["stream_push"] = f"""{PUSHED}
 SELECT k.push_key AS queue, batch_no + 1 AS record_id, count(*) AS n_series
 FROM kept k JOIN numbered s ON s.push_key = k.push_key AND s.ord = k.family_ord
 GROUP BY k.push_key, batch_no"""

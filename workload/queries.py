@@ -27,7 +27,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore keeps it apart from what it calls."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -205,7 +206,7 @@ def timestamp_default(spark, sf):
 
 
 @query
-def format_bound_text(spark, sf):
+def format_bound_(spark, sf):
     price = F.col("o_totalprice")
     scaled = F.array(price, price / 1e9, price * 1e3, -price / 7.0, price * 1e20, price / 3e7)
     rows = T.table(spark, sf, "orders").select("o_orderkey", F.posexplode(scaled).alias("form", "bound"))
@@ -508,7 +509,7 @@ def push_series_to_batches(spark, sf):
 
 
 @query
-def stream_to_outbox(spark, sf):
+def stream_push_(spark, sf):
     box = outbox.Outbox(spark, scratch(spark, "outbox"))
     metrics = T.order_gauges_of(orders_stream(spark, sf))
     run = (
