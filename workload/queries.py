@@ -18,7 +18,7 @@ from seriesship.operators.flatten import flatten
 from seriesship.operators.ordered import ensure_checkpoint_dir
 from seriesship.operators.relabel import Rule, relabel
 from seriesship.plans.push import push, push_batches, push_series
-from seriesship.sources.tables import explode_families, recover_records
+from seriesship.sources.tables import explode_families, recover_records, spread
 from seriesship.streaming.intake import stream_push
 from workload import tables as T
 
@@ -209,7 +209,8 @@ def timestamp_default(spark, sf):
 def format_bound_(spark, sf):
     price = F.col("o_totalprice")
     scaled = F.array(price, price / 1e9, price * 1e3, -price / 7.0, price * 1e20, price / 3e7)
-    rows = T.table(spark, sf, "orders").select("o_orderkey", F.posexplode(scaled).alias("form", "bound"))
+    orders = spread(T.table(spark, sf, "orders"))
+    rows = orders.select("o_orderkey", F.posexplode(scaled).alias("form", "bound"))
     return rows.select("o_orderkey", "form", format_bound("bound").alias("bound_text"))
 
 
