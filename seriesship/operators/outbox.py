@@ -12,6 +12,7 @@ import posixpath
 from collections.abc import Iterable
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -163,17 +164,6 @@ def drain_slice(outbox: DataFrame, now_ms: int, concurrency: int = 1, key: str =
     ).drop("blocked_from")
 
 
-def latest_attempts(attempts: DataFrame) -> DataFrame:
-    """The newest attempt of each record."""
-    what = F.struct("attempt", "at_ms", "outcome", "retry_after")
-    return (
-        attempts.withColumn("outcome", attempt_class())
-        .groupBy("record_id")
-        .agg(F.max(what).alias("a"))
-        .select("record_id", "a.*")
-    )
-
-
 def removal(outcome: Column, error_class: Column) -> Column:
     """How an attempt ends a record: sent, dropped, or null while it stays.
 
@@ -304,12 +294,12 @@ class Outbox:
 
     def _read(self, table: str, schema: str, without: int | None = None) -> DataFrame:
         folder = posixpath.join(self.path, table)
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(target):
+        try:
+            rows = self.spark.read.schema(f"{schema}, epoch bigint").parquet(folder)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(f"{schema}, epoch bigint").parquet(folder)
         if without is not None:
             rows = rows.where(F.col("epoch") != without)
         return rows.drop("epoch")
