@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesship.llm import packing, pieces, placement
-from seriesship.llm.common import table
+from seriesship.llm import backoff, outliers, packing, pieces, placement
+from seriesship.llm.common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +40,17 @@ def op2_encode_pieces(spark, sf):
 def op4_place_documents(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id")
     return placement.place(docs, "doc_id", SHARDS, SLOTS)
+
+
+@query
+def op8_robust_outliers(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return outliers.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
+@query
+def op10_backoff_score(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return backoff.score(docs, bucket_of(docs["doc_id"], 10) == 0)
