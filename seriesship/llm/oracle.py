@@ -29,3 +29,30 @@ placed AS (
 SELECT doc_id, slot, shard FROM placed JOIN lookup USING (slot) JOIN shards USING (k)
 """,
 }
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op6_winnow_benchmark"] = rf"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n,
+         unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2),
+                               lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS gram
+  FROM item_words WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
+         unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram
+  FROM doc_words, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, item_id, i, n FROM grams JOIN windows USING (n, gram)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

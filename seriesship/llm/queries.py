@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesship.llm import backoff, outliers, packing, pieces, placement
+from seriesship.llm import backoff, language, outliers, packing, pieces, placement, winnow
 from seriesship.llm.common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +55,22 @@ def op8_robust_outliers(spark, sf):
 def op10_backoff_score(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return backoff.score(docs, bucket_of(docs["doc_id"], 10) == 0)
+
+
+def learned_from(docs: DataFrame):
+    """Rows whose language may be learned from."""
+    return bucket_of(docs["doc_id"], 3) != 1
+
+
+@query
+def op5_identify_language(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    out = language.identify(docs, learned_from(docs))
+    return out.select("doc_id", (bucket_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "n_switches")
+
+
+@query
+def op6_winnow_benchmark(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = winnow.contamination(docs, table(spark, sf, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
