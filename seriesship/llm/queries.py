@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesship.llm import backoff, language, outliers, packing, pieces, placement, winnow
+from seriesship.llm import backoff, jaccard, language, outliers, packing, pieces, placement, winnow
 from seriesship.llm.common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,8 @@ def op6_winnow_benchmark(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     out = winnow.contamination(docs, table(spark, sf, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query
+def op9_jaccard_components(spark, sf):
+    return jaccard.similarity_components(table(spark, sf, "documents").select("doc_id", "text"))
