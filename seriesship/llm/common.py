@@ -62,16 +62,34 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20)
 
 
 class Memo(dict):
-    """Values of ``fn`` by argument. Emptied before it holds more than ``most``; call :meth:`trim` between batches."""
+    """Values of ``fn`` by argument, for use with ``[]``. Call :meth:`trim` between batches.
 
-    def __init__(self, fn: Callable, most: int = 400_000) -> None:
+    It holds at most about twice ``most``: what was not asked for since the last but one trim goes.
+    """
+
+    def __init__(self, fn: Callable, most: int = 300_000) -> None:
         super().__init__()
-        self.fn, self.most = fn, most
+        self.fn, self.most, self.old = fn, most, {}
 
     def __missing__(self, key):
-        value = self[key] = self.fn(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.fn(key)
+        self[key] = value
         return value
 
+    def fill(self, keys: set, many: Callable) -> None:
+        """Takes (key, value) from ``many(keys)`` for all keys that are not held."""
+        new = []
+        for key in keys.difference(self):
+            value = self.old.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                self[key] = value
+        self.update(many(new))
+
     def trim(self) -> None:
         if len(self) > self.most:
+            self.old = dict(self)
             self.clear()

@@ -15,7 +15,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain, count
 from operator import itemgetter
 
@@ -43,9 +43,25 @@ _NBEST = pa.list_(
 )
 _COARSE = re.compile(r"\n| *[^ \n]+| +")
 _FINE = re.compile(r"\n| *[^\W_²]+(?=[.,!?;:|\n ]|\Z)| *[^ \n]+| +")
+_NO_PIECE = object()
+#: Longer strings do not go side by side with others.
+_SHORT = 64
 _SPLIT = re.compile(r"[^\W_²][.,!?;:|]")
 
 
+def _mix(key: np.ndarray, point: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        key = (key ^ point) * np.uint64(0x9E3779B97F4A7C15)
+        return key ^ (key >> np.uint64(31))
+
+
+def _hash(text: str) -> int:
+    key = np.zeros(1, np.uint64)
+    for c in text:
+        key = _mix(key, np.array([ord(c)], np.uint64))
+    return int(key[0])
+
+
 class Vocabulary:
     """Pieces, written with a blank for the word mark, with ids and log-probabilities; 256 byte pieces for the rest.
 
@@ -56,10 +72,20 @@ class Vocabulary:
     def __init__(self, pieces: Sequence[tuple[str, int, float]], bytes_: Sequence[int]) -> None:
         norm = math.log(sum(1 / (10 - score) for _, _, score in pieces))
         self.known = {p: (i, -math.log(10 - score) - norm) for p, i, score in pieces}
-        self.longest = max(map(len, self.known), default=1)
+        #: Pieces with ids and score, and None for what only begins a piece: a search stops at anything else.
+        self.table: dict = {p[:k]: None for p in self.known for k in range(1, len(p))}
+        self.table |= {p: ((i,), score) for p, (i, score) in self.known.items()}
         self.bytes, self.byte_of = list(bytes_), {i: b for b, i in enumerate(bytes_)}
         self.byte_cost = min((s for _, s in self.known.values()), default=0.0) - 10
         self.text = {i: p for p, (i, _) in self.known.items()}
+        self.text |= {i: chr(b) for i, b in self.byte_of.items() if b < 128}
+        begins = sorted((_hash(p), self.table[p][0][0] if self.table[p] else -1) for p in self.table)
+        self.begins = np.array([h for h, _ in begins], np.uint64)
+        self.begun = np.array([i for _, i in begins], np.int64)
+        self.longest = max(map(len, self.known), default=1)
+        self.score_of = np.zeros(1 + max((i for i, _ in self.known.values()), default=0))
+        for i, score in self.known.values():
+            self.score_of[i] = score
         whole = all(len(_FINE.findall(p)) == 1 or p == "\n" for p in self.known)
         self.parts = _FINE if whole and not any(map(_SPLIT.search, self.known)) else _COARSE
         if any(re.search(r"[^ ] |.\n|\n.", p) for p in self.known):
@@ -78,26 +104,35 @@ class Vocabulary:
         ]
         return cls(usable, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
-    def edges(self, text: str, end: int) -> list[tuple[int, tuple[int, ...], float]]:
-        """(start, ids, score) of all lattice edges that end at ``end``; a character without a piece is its bytes."""
-        known, out = self.known, []
-        for start in range(max(0, end - self.longest), end):
-            found = known.get(text[start:end])
-            if found:
-                out.append((start, found[:1], found[1]))
-        if text[end - 1] not in known:
-            data = text[end - 1].encode("utf-8", "surrogatepass")
-            out.append((end - 1, tuple(self.bytes[b] for b in data), self.byte_cost * len(data)))
-        return out
+    def lattice(self, text: str) -> tuple[list[float], list[list[tuple[int, tuple[int, ...], float]]]]:
+        """The Viterbi score of every node, and by node the edges (start, ids, score) that end there."""
+        table, n = self.table, len(text)
+        best, edges = [0.0] + [-math.inf] * n, [[] for _ in range(n + 1)]
+        for start in range(n):
+            so_far = best[start]
+            for end in range(start + 1, n + 1):
+                found = table.get(text[start:end], _NO_PIECE)
+                if found is None:
+                    continue  # only the beginning of pieces
+                if found is _NO_PIECE:
+                    break
+                edges[end].append((start, *found))
+                if so_far + found[1] > best[end]:
+                    best[end] = so_far + found[1]
+            if text[start] not in self.known:
+                data = text[start].encode("utf-8", "surrogatepass")
+                score = self.byte_cost * len(data)
+                edges[start + 1].append((start, tuple(self.bytes[b] for b in data), score))
+                if so_far + score > best[start + 1]:
+                    best[start + 1] = so_far + score
+        return best, edges
 
     def nbest(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best paths as (score, ids), best first; ties go by where the earlier edges start."""
-        best, edges = [0.0], [[]]
-        for end in range(1, len(text) + 1):
-            edges.append(self.edges(text, end))
-            best.append(max(best[start] + score for start, _, score in edges[end]))
+        best, edges = self.lattice(text)
         order, out = count(), []
-        queue: list = [(-best[-1], next(order), len(text), 0.0, None)]
+        queue: list = [(-best[-1], 0, len(text), 0.0, None)]
+        next(order)
         while queue and len(out) < n:
             _, _, end, behind, path = heapq.heappop(queue)
             if not end:
@@ -112,6 +147,79 @@ class Vocabulary:
                 heapq.heappush(queue, (-(g + best[start]), next(order), start, g, (ids, path)))
         return out
 
+    def best(self, strings: list[str]) -> Iterator[tuple[str, tuple[tuple[int, ...], float, float]]]:
+        """(string, (best ids, score, what the second path costs)) of different strings, forward side by side.
+
+        Every node keeps the scores of its two best paths. Long strings and those with characters that have no piece
+        go one by one.
+        """
+        short = [s for s in strings if len(s) <= _SHORT]
+        for s in strings:
+            if len(s) > _SHORT:
+                yield s, self._one(s)
+        sizes = np.fromiter(map(len, short), np.int64, len(short))
+        points = np.frombuffer("".join(short).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        n = len(points)
+        if not n:
+            return
+        word = np.repeat(np.arange(len(short)), sizes)
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(n) - first[word]
+        left = sizes[word] - place
+        # Edges by length: as long as what was read so far begins a piece.
+        live, key, edges = np.arange(n), np.zeros(n, np.uint64), []
+        for size in range(1, self.longest + 1):
+            fits = left[live] >= size
+            live, key = live[fits], key[fits]
+            if not len(live):
+                break
+            key = _mix(key, points[live + size - 1])
+            at = np.minimum(np.searchsorted(self.begins, key), len(self.begins) - 1)
+            known = self.begins[at] == key
+            live, key, piece = live[known], key[known], self.begun[at[known]]
+            real = piece >= 0
+            edges.append((live[real], np.full(int(real.sum()), size), piece[real]))
+        start, size, piece = (np.concatenate(x) for x in zip(*edges)) if edges else [np.zeros(0, np.int64)] * 3
+        order = np.argsort(place[start] * (self.longest + 1) + size, kind="stable")
+        start, size, piece = start[order], size[order], piece[order]
+        step = place[start] * (self.longest + 1) + size
+        cuts = np.append(np.flatnonzero(np.diff(step, prepend=-1)), len(step))
+        # Nodes: one more than characters in every string.
+        node = start + word[start]
+        score = self.score_of[piece]
+        best, second = np.full(n + len(short), -np.inf), np.full(n + len(short), -np.inf)
+        best[first + np.arange(len(short))] = 0.0
+        came, by = np.full(n + len(short), -1), np.full(n + len(short), -1)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            at, to = node[a:b], node[a:b] + size[a]
+            one, two, old = best[at] + score[a:b], second[at] + score[a:b], best[to]
+            better = one > old
+            second[to] = np.maximum(np.minimum(old, one), np.maximum(second[to], two))
+            best[to[better]] = one[better]
+            came[to[better]], by[to[better]] = at[better], piece[a:b][better]
+        ends = first + np.arange(len(short)) + sizes
+        reached = np.isfinite(best[ends])
+        paths: list[np.ndarray] = []
+        now, begin = np.where(reached, ends, -1), first + np.arange(len(short))
+        while True:
+            open_ = (now >= 0) & (now != begin)
+            if not open_.any():
+                break
+            paths.append(np.where(open_, by[now], -1))
+            now = np.where(open_, came[now], now)
+        table = np.array(paths[::-1]).T if paths else np.zeros((len(short), 0), np.int64)
+        count_ = (table >= 0).sum(axis=1)
+        flat, upto = table[table >= 0].tolist(), np.cumsum(count_).tolist()
+        gaps = np.where(reached, best[ends], 0.0) - second[ends]
+        a = 0
+        for s, ok, b, total, gap in zip(short, reached.tolist(), upto, best[ends].tolist(), gaps.tolist()):
+            yield s, (tuple(flat[a:b]), total, gap) if ok else self._one(s)
+            a = b
+
+    def _one(self, text: str) -> tuple[tuple[int, ...], float, float]:
+        found = self.nbest(text, 2)
+        return found[0][1], found[0][0], found[0][0] - found[1][0] if len(found) > 1 else math.inf
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: pieces, and runs of bytes as UTF-8; the blank put before the text is taken off."""
         try:
@@ -125,15 +233,22 @@ class Vocabulary:
         return text[1:]
 
 
-def combine(parts: Sequence[Sequence[tuple[float, tuple[int, ...]]]], gaps: np.ndarray, n: int) -> list[tuple[float, dict[int, int]]]:
-    """The ``n`` cheapest choices over all parts: (cost over the best, {part: alternative}), cheapest first.
+def combine(
+    paths_of: Callable[[int], list[tuple[float, tuple[int, ...]]]], gaps: np.ndarray, n: int
+) -> tuple[list[tuple[float, dict[int, int]]], dict[int, list]]:
+    """The ``n`` cheapest choices over all parts: (cost over the best, {part: alternative}), cheapest first; and the
+    paths of the parts that may differ.
 
     ``gaps`` has for each part what its second path costs, infinity if it has one path only.
     """
     few = min(n - 1, len(gaps))
-    near = np.argpartition(gaps, few - 1)[:few] if 0 < few < len(gaps) else np.arange(len(gaps))
+    near = np.argpartition(gaps, few - 1)[:few] if 0 < few < len(gaps) else np.arange(len(gaps))[:few]
+    if few and few < len(gaps):  # of equal gaps the first parts
+        most = gaps[near].max()
+        near = np.concatenate([np.flatnonzero(gaps < most), np.flatnonzero(gaps == most)])[:few]
     near = sorted((int(i) for i in near if np.isfinite(gaps[i])), key=lambda i: (gaps[i], i))
-    costs = [[parts[i][0][0] - score for score, _ in parts[i]] for i in near]
+    paths = {i: paths_of(i) for i in near}
+    costs = [[paths[i][0][0] - score for score, _ in paths[i]] for i in near]
     start = (0,) * len(near)
     queue, seen, out = [(0.0, start)], {start}, []
     while queue and len(out) < n:
@@ -145,7 +260,14 @@ def combine(parts: Sequence[Sequence[tuple[float, tuple[int, ...]]]], gaps: np.n
                 if more not in seen:
                     seen.add(more)
                     heapq.heappush(queue, (sum(c[x] for c, x in zip(costs, more)), more))
-    return out
+    return out, paths
+
+
+def _first(paths: list[tuple[float, tuple[int, ...]]], ids: tuple[int, ...]) -> list[tuple[float, tuple[int, ...]]]:
+    """``paths`` with the path of these ids first: of equally good ones, the text may have taken another."""
+    if paths[0][1] == ids:
+        return paths
+    return [(paths[0][0], ids), *(p for p in paths if p[1] != ids)][: len(paths)]
 
 
 def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
@@ -160,33 +282,34 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
 
-        def look(part: str):
-            found = v.nbest(part, n)
-            return found[0][1], found[0][0], found[0][0] - found[1][0] if len(found) > 1 else math.inf, found
-
-        memo, find = Memo(look, 250_000), v.parts.findall
-        for batch in slices(batches, "text"):
+        memo, more, find = Memo(lambda s: v._one(s), 300_000), Memo(lambda s: v.nbest(s, n), 20_000), v.parts.findall
+        for batch in slices(batches, "text", 4 << 20):
+            texts = batch.column(1).to_pylist()
+            found = [find(" " + text) if text else [] for text in texts]
+            memo.fill(set(chain.from_iterable(found)), v.best)
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, strings in zip(batch.column(0).to_pylist(), texts, found):
                 if not text:
                     row = (doc, 0, None if text is None else 0.0, None if text is None else True, np.zeros(0, np.int32), [])
                 else:
-                    parts = list(map(memo.__getitem__, find(" " + text)))
+                    parts = list(map(memo.__getitem__, strings))
                     ids = np.fromiter(chain.from_iterable(map(itemgetter(0), parts)), np.int32)
                     score = math.fsum(map(itemgetter(1), parts))
                     gaps = np.fromiter(map(itemgetter(2), parts), np.float64, len(parts))
-                    picks = combine(_Paths(parts), gaps, n)
-                    starts = np.cumsum(np.fromiter((len(p[0]) for p in parts), np.int64, len(parts))) if len(picks) > 1 else None
+                    picks, paths = combine(lambda k: _first(more[strings[k]], parts[k][0]), gaps, n)
+                    sizes = np.fromiter(map(len, map(itemgetter(0), parts)), np.int64, len(parts))
+                    starts = np.cumsum(sizes) - sizes
                     nbest = []
                     for cost, pick in picks:
                         edits = []
                         for k, a in sorted(pick.items()):
-                            size = len(parts[k][0])
-                            edits.append({"start": int(starts[k]) - size, "size": size, "ids": list(parts[k][3][a][1])})
+                            edits.append({"start": int(starts[k]), "size": int(sizes[k]), "ids": list(paths[k][a][1])})
                         nbest.append({"score": score - cost, "edits": edits})
                     row = (doc, len(ids), score, v.decode(ids.tolist()) == text, ids, nbest)
                 for column, value in zip(out, row):
                     column.append(value)
+            del found
+            more.trim()
             memo.trim()
             sizes = np.cumsum([0, *map(len, out[4])])
             flat = np.concatenate(out[4]) if out[4] else np.zeros(0, np.int32)
@@ -204,15 +327,3 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
 
     return df.select(df["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 
-
-class _Paths(Sequence):
-    """The path lists of parts, by index."""
-
-    def __init__(self, parts: list) -> None:
-        self.parts = parts
-
-    def __getitem__(self, i):
-        return self.parts[i][3]
-
-    def __len__(self) -> int:
-        return len(self.parts)
