@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesship.llm import backoff, jaccard, language, outliers, packing, pieces, placement, winnow
+from seriesship.llm import backoff, jaccard, language, outliers, packing, pieces, placement, surrogates, winnow
 from seriesship.llm.common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,13 @@ def op6_winnow_benchmark(spark, sf):
 @query
 def op9_jaccard_components(spark, sf):
     return jaccard.similarity_components(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+#: Keys the surrogates; a deployment passes its own.
+SECRET = "surrogates of the sample corpus"
+
+
+@query
+def op3_surrogates(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, SECRET, count_column="n_replaced")
