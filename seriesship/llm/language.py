@@ -235,25 +235,25 @@ def identify(docs: DataFrame, learn_from: Column) -> DataFrame:
     Repeated rows are answered each; ties go to the language that sorts first. Other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs.where(learn_from).select("text", "lang")))
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(_labeller(model, False), SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(_labeller(model, None), SCHEMA)
 
 
-def annotate(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` added; columns of these names are replaced. ``model`` is broadcast."""
-    docs = docs.drop("lang_pred", "score")
+def annotate(docs: DataFrame, model, language: str = "lang_pred", share: str = "score") -> DataFrame:
+    """``docs`` with two columns added, of these names; columns that have them are replaced. ``model`` is broadcast."""
+    docs = docs.drop(language, share)
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_labeller(model, True), f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(_labeller(model, (language, share)), f"{schema}, `{language}` string, `{share}` double")
 
 
-def _labeller(model, whole: bool):
+def _labeller(model, added: tuple[str, str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         names = np.array([*m.languages, UNKNOWN], dtype=object)
         for batch in slices(batches, "text", 4 << 20):
             found, score, switches = label(m, batch.column("text"))
             more = [pa.array(names[found], pa.string()), pa.array(score)]
-            if whole:
-                yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score"])
+            if added:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *added])
             else:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *more, pa.array(switches)], ["doc_id", "lang_pred", "score", "n_switches"])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesship.llm import backoff, jaccard, language, outliers, packing, pieces, placement, surrogates, winnow
+from seriesship.llm import backoff, jaccard, language, outliers, packing, pieces, placement, surrogates, url_templates, winnow
 from seriesship.llm.common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,14 @@ SECRET = "surrogates of the sample corpus"
 def op3_surrogates(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return surrogates.pseudonymise(docs, SECRET, count_column="n_replaced")
+
+
+@query
+def op7_url_templates(spark, sf):
+    """Labels: a page's path ends with the number of its document, and that is bad if of low quality or toxic."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    labels = table(spark, sf, "labels")
+    labels = labels.groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    number = F.regexp_extract(url_templates.path_of(F.col("url")), r"/([0-9]{1,18})[^/0-9]*/?\z", 1)
+    pages = pages.withColumn("number", number.try_cast("long"))
+    return url_templates.judge(pages.join(labels, pages["number"] == labels["doc_id"], "left"))

@@ -70,7 +70,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _key(df: DataFrame) -> DataFrame:
-    return df.select(F.col("doc_id").alias("_doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), F.col("text"))
+    return df.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), F.col("text"))
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
