@@ -128,13 +128,12 @@ class Vocabulary:
         return best, edges
 
     def nbest(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best paths as (score, ids), best first; ties go by where the earlier edges start."""
+        """The ``n`` best paths as (score, ids), best first (to six decimals)."""
         best, edges = self.lattice(text)
         order, out = count(), []
-        queue: list = [(-best[-1], 0, len(text), 0.0, None)]
-        next(order)
+        queue: list = [(0.0, len(text), next(order), 0.0, None)]
         while queue and len(out) < n:
-            _, _, end, behind, path = heapq.heappop(queue)
+            _, end, _, behind, path = heapq.heappop(queue)
             if not end:
                 ids: list[int] = []
                 while path:
@@ -144,7 +143,8 @@ class Vocabulary:
                 continue
             for start, ids, score in edges[end]:
                 g = behind + score
-                heapq.heappush(queue, (-(g + best[start]), next(order), start, g, (ids, path)))
+                # Of equally good ways, the one that is nearest to its end: else all of them would be begun.
+                heapq.heappush(queue, (round(best[-1] - g - best[start], 6), start, next(order), g, (ids, path)))
         return out
 
     def best(self, strings: list[str]) -> Iterator[tuple[str, tuple[tuple[int, ...], float, float]]]:
