@@ -78,7 +78,7 @@ def header_name(c: Column) -> Column:
     """Canonical header spelling; names with characters outside the token set stay as they are."""
     parts = F.transform(
         F.split(c, "-"),
-        lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 1 << 20))),
+        lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2)))),
     )
     return F.when(c.rlike(HEADER_TOKEN), F.array_join(parts, "-")).otherwise(c)
 

@@ -1,14 +1,19 @@
 """The durable outbox: admission under a byte budget, FIFO drains, outcomes and counters.
 
-An outbox is a folder of append-only tables, one sub-folder per epoch, so that a repeated epoch replaces
-its own rows: ``records`` (accepted), ``attempts`` (the delivery ledger) and ``finished`` (record ids that
-left the queue, and why). What waits is records without finished ones; nothing is rewritten on a drain.
-Delivery is at least once.
+An outbox is a folder of append-only tables, one sub-folder per writer and epoch: ``records`` (accepted),
+``rejected`` (all others, with the reason), ``epochs`` (what a finished append had been given), ``attempts``
+(the delivery ledger) and ``finished`` (record ids that left the queue, and why). What waits is records without
+finished ones; nothing is rewritten on a drain.
+
+An append shows once its row in ``epochs`` is written. Given again, it changes nothing, whatever was drained in
+between; a writer's epoch that comes with other requests is an error, as when a stream starts anew under the name
+of an earlier one. Delivery is at least once.
 """
 
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -178,16 +183,17 @@ def apply_outcomes(outbox: DataFrame, attempts: DataFrame, retry: RetryPolicy) -
 
     Retryable failures stay however many there were.
     """
+    keys = ["queue", "record_id"]  # ids count per queue
     what = F.struct("attempt", "at_ms", "status", "error_class", "error_text", "retry_after")
-    latest = attempts.groupBy("record_id").agg(F.max(what).alias("a")).select("record_id", "a.*")
+    latest = attempts.groupBy(*keys).agg(F.max(what).alias("a")).select(*keys, "a.*")
     judged = with_due(latest.withColumn("outcome", attempt_class()), retry.for_outbox())
     known = judged.select(
-        "record_id",
+        *keys,
         removal(F.col("outcome"), F.col("error_class")).alias("removed"),
         F.when(F.col("outcome") == RETRYABLE, F.col("next_due_ms")).alias("due"),
     )
     return (
-        outbox.join(known, "record_id", "left")
+        outbox.join(known, keys, "left")
         .where("removed is null")
         .withColumn("next_due_ms", F.coalesce("due", "next_due_ms"))
         .drop("removed", "due")
@@ -277,6 +283,9 @@ def with_record_ids(
 
 # --- stored outbox -----------------------------------------------------------------------------------
 
+#: Writers name folders.
+WRITER = re.compile(r"[A-Za-z0-9_.-]+")
+OVER_BUDGET, FORBIDDEN = "over budget", "forbidden header"
 RECORDS = (
     "record_id bigint, queue string, tenant_id string, body binary, content_type string, "
     "content_encoding string, protocol_version string, headers map<string,array<string>>, "
@@ -284,6 +293,14 @@ RECORDS = (
 )
 FINISHED = "record_id bigint, queue string, why string, at_ms bigint"
 LEDGER = f"{ATTEMPTS}, next_due_ms bigint"
+REJECTED = f"request_id bigint, arrival_ms bigint, {RECORDS.removeprefix('record_id bigint, ')}, reason string"
+EPOCHS = "requests bigint, digest string"
+PLACE = "writer string, epoch bigint"
+DRAINS = "drain"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 class Outbox:
@@ -292,30 +309,42 @@ class Outbox:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _read(self, table: str, schema: str, without: int | None = None) -> DataFrame:
-        folder = posixpath.join(self.path, table)
+    def _stored(self, table: str, schema: str) -> DataFrame:
+        """All rows of a table, with the writer and epoch they are from."""
         try:
-            rows = self.spark.read.schema(f"{schema}, epoch bigint").parquet(folder)
+            return self.spark.read.schema(f"{schema}, {PLACE}").parquet(posixpath.join(self.path, table))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], f"{schema}, {PLACE}")
+
+    def _read(self, table: str, schema: str, without: tuple[str, int] | None = None) -> DataFrame:
+        rows = self._stored(table, schema)
         if without is not None:
-            rows = rows.where(F.col("epoch") != without)
-        return rows.drop("epoch")
+            rows = rows.where((F.col("writer") != without[0]) | (F.col("epoch") != without[1]))
+        return rows.drop("writer", "epoch")
 
-    def _write(self, df: DataFrame, table: str, epoch_id: int) -> None:
+    def _write(self, df: DataFrame, table: str, writer: str, epoch_id: int) -> None:
         df.write.mode("overwrite").parquet(
-            posixpath.join(self.path, table, f"epoch={epoch_id}")
+            posixpath.join(self.path, table, f"writer={writer}", f"epoch={epoch_id}")
         )
 
-    def records(self, without: int | None = None) -> DataFrame:
-        return self._read("records", RECORDS, without)
+    def _shown(self, table: str, schema: str) -> DataFrame:
+        """Rows of finished appends only."""
+        done = self._stored("epochs", EPOCHS).select("writer", "epoch")
+        return self._stored(table, schema).join(done, ["writer", "epoch"], "left_semi")
+
+    def records(self) -> DataFrame:
+        return self._shown("records", RECORDS).drop("writer", "epoch")
 
-    def attempts(self, without: int | None = None) -> DataFrame:
+    def rejected(self) -> DataFrame:
+        """Requests that were not taken, and why."""
+        return self._shown("rejected", REJECTED).drop("writer", "epoch")
+
+    def attempts(self, without: tuple[str, int] | None = None) -> DataFrame:
         return self._read("attempts", LEDGER, without)
 
-    def finished(self, without: int | None = None) -> DataFrame:
+    def finished(self, without: tuple[str, int] | None = None) -> DataFrame:
         return self._read("finished", FINISHED, without)
 
     def append(
@@ -324,26 +353,57 @@ class Outbox:
         epoch_id: int,
         max_pending_bytes: int = 0,
         order: tuple[str, ...] = ("arrival_ms", "request_id"),
+        writer: str = "main",
+        refused: DataFrame | None = None,
     ) -> None:
-        """Store the requests that fit the budget. A repeated epoch gives the same rows and ids again."""
-        mine = self.records(without=epoch_id)
+        """Store the requests that fit the budget, and all others as rejected.
+
+        ``refused`` has further requests with a ``reason``, which are not taken in any case. A repeated epoch of a
+        writer changes nothing; one with other requests raises ``ValueError``.
+        """
+        if not WRITER.fullmatch(writer) or writer == DRAINS:
+            raise ValueError(f"not a writer's name: {writer!r}")
+        given = self._digest(requests, order)
+        known = self._stored("epochs", EPOCHS).where((F.col("writer") == writer) & (F.col("epoch") == epoch_id))
+        before = known.select(*_names(EPOCHS)).first()
+        if before is not None:
+            if tuple(before) != given:
+                raise ValueError(f"epoch {epoch_id} of writer {writer!r} was stored with other requests")
+            return
+        mine = self.records()
         gone = self.finished().select("queue", "record_id")
-        waiting = pending(mine.join(gone, ["queue", "record_id"], "left_anti"))
-        flags = admit(requests, "queue", list(order), max_pending_bytes, pending=waiting)
+        left = mine.select("queue", "record_id", "size_bytes").join(gone, ["queue", "record_id"], "left_anti")
+        flags = admit(requests, "queue", list(order), max_pending_bytes, pending=pending(left))
         accepted = with_record_ids(flags.where("accepted"), next_ids(mine))
         kept = requests.join(accepted.select("queue", *order, "record_id"), ["queue", *order])
-        names = [c.split()[0] for c in RECORDS.split(", ")]
-        self._write(kept.select(*names), "records", epoch_id)
-
-    def waiting(self, without: int | None = None) -> DataFrame:
-        """Records still to deliver and when each is due, not counting one drain's own rows."""
+        self._write(kept.select(*_names(RECORDS)), "records", writer, epoch_id)
+        over = requests.join(flags.where("accepted").select("queue", *order), ["queue", *order], "left_anti")
+        over = over.withColumn("reason", F.lit(OVER_BUDGET))
+        if refused is not None:
+            over = over.select(*_names(REJECTED)).unionByName(refused.select(*_names(REJECTED)))
+        self._write(over.select(*_names(REJECTED)), "rejected", writer, epoch_id)
+        self._write(self.spark.createDataFrame([given], EPOCHS), "epochs", writer, epoch_id)
+
+    @staticmethod
+    def _digest(requests: DataFrame, order: tuple[str, ...]) -> tuple[int, str]:
+        """What a set of requests is known by: their number, and the sum of their hashes."""
+        what = F.xxhash64("queue", "tenant_id", "body", "content_type", "content_encoding", *order)
+        total = F.coalesce(F.sum(what.cast("decimal(38,0)")), F.lit(0)).cast("string")
+        return tuple(requests.agg(F.count("*"), total).first())
+
+    def waiting(self, without: tuple[str, int] | None = None) -> DataFrame:
+        """Records still to deliver and when each is due, not counting one drain's own rows.
+
+        Bodies and headers are left out: :meth:`whole` gets them for the few that are picked.
+        """
         gone = self.finished(without).select("queue", "record_id")
         due = (
             self.attempts(without)
             .groupBy("queue", "record_id")
             .agg(F.max_by("next_due_ms", "attempt").alias("next_due_ms"), F.max("attempt").alias("tries"))
         )
-        left = self.records().join(gone, ["queue", "record_id"], "left_anti")
+        narrow = self._shown("records", RECORDS).select("queue", "record_id", "size_bytes", "writer", "epoch")
+        left = narrow.join(gone, ["queue", "record_id"], "left_anti")
         return left.join(due, ["queue", "record_id"], "left").withColumns(
             {
                 "next_due_ms": F.coalesce("next_due_ms", F.lit(0).cast("bigint")),
@@ -351,6 +411,12 @@ class Outbox:
             }
         )
 
+    def whole(self, picked: DataFrame) -> DataFrame:
+        """The records that ``picked``, rows of :meth:`waiting`, stand for, with ``tries``."""
+        keys = ["writer", "epoch", "queue", "record_id"]
+        found = self._stored("records", RECORDS).join(picked.select(*keys, "tries"), keys)
+        return found.drop("writer", "epoch")
+
     def settle(
         self,
         attempts: DataFrame,
@@ -358,14 +424,14 @@ class Outbox:
         retry: RetryPolicy,
         corrupt: DataFrame | None = None,
         now_ms: int = 0,
+        writer: str = DRAINS,
     ) -> None:
         """Write a drain's attempts to the ledger, then finish what they ended and what is corrupt."""
         judged = with_due(attempts.withColumn("outcome", attempt_class()), retry.for_outbox())
-        names = [c.split()[0] for c in LEDGER.split(", ")]
         due = F.when(F.col("outcome") == RETRYABLE, F.col("next_due_ms")).otherwise(F.lit(0))
-        self._write(judged.withColumn("next_due_ms", due).select(*names), "attempts", epoch_id)
+        self._write(judged.withColumn("next_due_ms", due).select(*_names(LEDGER)), "attempts", writer, epoch_id)
         ledger = self.spark.read.schema(LEDGER).parquet(
-            posixpath.join(self.path, "attempts", f"epoch={epoch_id}")
+            posixpath.join(self.path, "attempts", f"writer={writer}", f"epoch={epoch_id}")
         )
         why = removal(attempt_class(), F.col("error_class"))
         ended = ledger.select("record_id", "queue", why.alias("why"), "at_ms").where("why is not null")
@@ -374,4 +440,4 @@ class Outbox:
             ended = ended.unionByName(
                 corrupt.select("record_id", "queue", F.lit("corrupt").alias("why"), at)
             )
-        self._write(ended, "finished", epoch_id)
+        self._write(ended, "finished", writer, epoch_id)

@@ -124,21 +124,47 @@ def eof_replays(attempts: DataFrame, key: str = "request_id") -> DataFrame:
     )
 
 
-# Escapes of a quoted text, backslash first.
-ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
-
+# Escapes of a quoted text.
+ESCAPES = {'"': '\\"', "\\": "\\\\", "\a": "\\a", "\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\v": "\\v"}
+PRINTED = r"[\p{L}\p{M}\p{N}\p{P}\p{S} ]"
+# Whole UTF-8 characters and, failing that, single bytes, in text that has one character for each byte.
+UTF8 = (
+    r"[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    r"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
+    r"|\xf4[\x80-\x8f][\x80-\xbf]{2}|[\x80-\xff]"
+)
+
+
+# Fixed value: how a failure's message begins.
+FAILED = "remote_write failed"
+
+
+def quoted(data: Column) -> Column:
+    """Bytes as quoted text: control and other unprinted characters and broken bytes are escaped."""
+    parts = F.regexp_extract_all(F.decode(data, "iso-8859-1"), F.lit(UTF8), F.lit(0))
+
+    def shown(part: Column) -> Column:
+        raw = F.encode(part, "iso-8859-1")
+        byte = F.concat(F.lit("\\x"), F.lower(F.lpad(F.hex(raw), 2, "0")))
+        char = raw.cast("string")
+        code = F.lower(F.hex(F.encode(char, "utf-32")))
+        wide = F.when(code.startswith("0000"), F.concat(F.lit("\\u"), F.right(code, F.lit(4)))).otherwise(
+            F.concat(F.lit("\\U"), code)
+        )
+        out = F.when((F.length(part) == 1) & ((part > "\x7e") | (part < " ")), byte)
+        out = out.when(char.rlike(PRINTED), char).otherwise(wide)
+        for plain, escape in ESCAPES.items():
+            out = F.when(part == plain, F.lit(escape)).otherwise(out)
+        return out
 
-def quoted(c: Column) -> Column:
-    for char, text in ESCAPES:
-        c = F.replace(c, F.lit(char), F.lit(text))
-    return F.concat(F.lit('"'), c, F.lit('"'))
+    return F.concat(F.lit('"'), F.array_join(F.transform(parts, shown), ""), F.lit('"'))
 
 
 def failure_text(df: DataFrame) -> DataFrame:
     """Add ``message``, by which of status and error is present. The body is cut to its first 4 KiB."""
-    start = F.substring("body", 1, ERROR_BODY_BYTES).cast("string")
-    body = quoted(F.coalesce(start, F.lit("")))
-    prefix = F.lit("remote_write failed")
+    start = F.substring("body", 1, ERROR_BODY_BYTES)
+    body = quoted(F.coalesce(start, F.lit(b"")))
+    prefix = F.lit(FAILED)
     has_error, has_status = F.col("error_text").isNotNull(), F.col("status_text").isNotNull()
     return df.withColumn(
         "message",

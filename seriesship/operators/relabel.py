@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesship.functions import labels as L
+from seriesship.functions.regex import Translated, translate
 from seriesship.functions.text import let
 
 ANY = "(.*)"
@@ -30,8 +31,6 @@ ACTIONS = (
 NEED_TARGET = {"replace", "keepequal", "dropequal", "hashmod", "lowercase", "uppercase"}
 LEGACY_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*\Z")
 LEGACY_TEMPLATE = re.compile(r"(?:[A-Za-z_]|\$(?:\{\w+\}|\w+))(?:\w|\$(?:\{\w+\}|\w+))*\Z")
-# Regex forms that only backtracking engines know; rules must not depend on them.
-UNSUPPORTED = re.compile(r"\(\?<?[=!]|\(\?>|\\[1-9]|[*+?}]\+")
 REFERENCE = re.compile(r"\$(?:\$|\{(\w+)\}|(\w+))", re.ASCII)
 
 
@@ -58,13 +57,11 @@ def _valid_name(name: str, scheme: str, template: bool = False) -> bool:
     return bool((LEGACY_TEMPLATE if template else LEGACY_NAME).match(name))
 
 
-def _parsed(regex: str) -> re.Pattern:
-    if UNSUPPORTED.search(regex):
-        raise ValueError(f"invalid rule: unsupported regex {regex!r}")
+def _parsed(regex: str) -> Translated:
     try:
-        return re.compile(re.sub(r"\(\?<(?=[A-Za-z_])", "(?P<", regex))
-    except re.error as e:
-        raise ValueError(f"invalid rule: regex {regex!r}: {e}") from e
+        return translate(regex)
+    except ValueError as e:
+        raise ValueError(f"invalid rule: regex: {e}") from e
 
 
 def check_rules(rules: Sequence[Rule], name_scheme: str = "legacy") -> tuple[Rule, ...]:
@@ -107,7 +104,7 @@ def _problem(r: Rule, scheme: str) -> str | None:
 
 def anchored(regex: str) -> str:
     """The regex as a full match in the JVM's dialect."""
-    return r"\A(?s:" + regex.replace("(?P<", "(?<") + r")\z"
+    return rf"\A(?:{_parsed(regex).pattern})\z"
 
 
 def expand(template: str, regex: str, text: Column) -> Column:
@@ -123,7 +120,7 @@ def expand(template: str, regex: str, text: Column) -> Column:
         if ref is None:
             parts.append(F.lit("$"))
             continue
-        group = int(ref) if ref.isdigit() else parsed.groupindex.get(ref, -1)
+        group = int(ref) if ref.isdigit() else parsed.names.get(ref, -1)
         if 0 <= group <= parsed.groups:
             parts.append(F.regexp_extract(text, anchored(regex), group))
     if at < len(template):

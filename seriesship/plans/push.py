@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,11 @@ from seriesship.operators.relabel import check_rules, relabel
 FAMILY_ORDER = ["family_ord", "metric_ord", "point_ord"]
 
 
+def started(cfg: PushConfig) -> PushConfig:
+    """The push with its clock read, once, if it has none given: points and deliveries share one time."""
+    return cfg if cfg.now_ms is not None else replace(cfg, now_ms=time.time_ns() // 1_000_000)
+
+
 def push_series_rows(metrics: DataFrame, cfg: PushConfig) -> DataFrame:
     """Flattened and relabelled series. Rules are checked before anything is read."""
     check_rules(cfg.rules, cfg.name_scheme)
@@ -68,10 +76,11 @@ def push(
     transport: Transport | None = None,
 ) -> DataFrame:
     """Encoded requests of a push; with a transport, the attempts of delivering them."""
+    cfg = started(cfg)
     encoded = encode_batches(push_batches(metrics, cfg), order=FAMILY_ORDER)
     if transport is None:
         return encoded
-    return _send(encoded, client or ClientConfig(), transport, cfg.now_ms or 0)
+    return _send(encoded, client or ClientConfig(), transport, cfg.now_ms)
 
 
 def push_series(
@@ -81,10 +90,11 @@ def push_series(
     transport: Transport | None = None,
 ) -> DataFrame:
     """The same for ready-made series: no label merge, no rules, a check after every series."""
+    cfg = started(cfg)
     batched = assign_batches(
         series, order="ord", max_series=cfg.max_series, max_bytes=cfg.max_bytes, atomic="series"
     )
     encoded = encode_batches(batched, order="ord")
     if transport is None:
         return encoded
-    return _send(encoded, client or ClientConfig(), transport, cfg.now_ms or 0)
+    return _send(encoded, client or ClientConfig(), transport, cfg.now_ms)

@@ -31,12 +31,6 @@ def explode_families(families: DataFrame) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a scan has fewer splits, as few large row groups give; else leave it alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _read(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
 

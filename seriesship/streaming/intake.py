@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from seriesship.config import ClientConfig, PushConfig, RetryPolicy
 from seriesship.operators.encode import with_body_error
 from seriesship.operators.deliver import Transport, deliver
-from seriesship.operators.outbox import Outbox, drain_slice
+from seriesship.operators.outbox import DRAINS, FORBIDDEN, Outbox, drain_slice
 from seriesship.operators.requests import canonical_headers, record_size, split_reserved, with_defaults
 from seriesship.plans.push import push
 
@@ -35,12 +35,14 @@ def enqueue(
     epoch_id: int,
     client: ClientConfig,
     max_pending_bytes: int = 0,
+    writer: str = "main",
 ) -> None:
-    """Requests into the outbox. Forbidden headers are refused here, not found out at every send."""
-    allowed, _ = split_reserved(requests, client)
+    """Requests into the outbox. Those with forbidden headers, like those that don't fit, go to its rejected table."""
+    allowed, forbidden = split_reserved(requests, client)
     # Admission looks at sizes first and takes the bodies later, so they are kept, not made twice.
     sized = record_size(canonical_headers(with_defaults(allowed, client))).persist()
-    outbox.append(sized, epoch_id, max_pending_bytes)
+    refused = record_size(forbidden).withColumn("reason", F.lit(FORBIDDEN))
+    outbox.append(sized, epoch_id, max_pending_bytes, writer=writer, refused=refused)
     sized.unpersist()
 
 
@@ -50,16 +52,18 @@ def stream_push(
     cfg: PushConfig,
     client: ClientConfig | None = None,
     max_pending_bytes: int = 0,
+    writer: str = "main",
 ) -> DataStreamWriter:
     """A writer that pushes every micro-batch of metrics into the outbox.
 
     The batch plan runs on each micro-batch, so a hot queue is split as in batch work; the state between
-    micro-batches is the outbox itself. Start it with a checkpoint location.
+    micro-batches is the outbox itself. Start it with a checkpoint location, and give every stream into an outbox,
+    also one that starts anew without its old checkpoint, a ``writer`` name of its own.
     """
     client = client or ClientConfig()
 
     def one(batch: DataFrame, epoch_id: int) -> None:
-        enqueue(outbox, to_requests(push(batch, cfg)), epoch_id, client, max_pending_bytes)
+        enqueue(outbox, to_requests(push(batch, cfg)), epoch_id, client, max_pending_bytes, writer)
 
     return metrics.writeStream.foreachBatch(one)
 
@@ -71,12 +75,17 @@ def drain(
     epoch_id: int,
     now_ms: int,
     concurrency: int = 1,
+    writer: str = DRAINS,
 ) -> None:
-    """One drain pass: pick what is due, quarantine corrupt records, send, write down the outcome."""
-    due = drain_slice(outbox.waiting(without=epoch_id), now_ms, concurrency)
-    checked = with_body_error(due).persist()
+    """One drain pass: pick what is due, quarantine corrupt records, send, write down the outcome.
+
+    Picking sees ids and due times only; bodies are read for what was picked. Drains that run side by side, or
+    count their epochs anew, need a ``writer`` name each.
+    """
+    due = drain_slice(outbox.waiting(without=(writer, epoch_id)), now_ms, concurrency)
+    checked = with_body_error(outbox.whole(due)).persist()
     good = checked.where("error is null").drop("error")
     attempts = deliver(good, client, transport, now_ms, concurrency)
     corrupt = checked.where("error is not null")
-    outbox.settle(attempts, epoch_id, client.retry or RetryPolicy(), corrupt, now_ms)
+    outbox.settle(attempts, epoch_id, client.retry or RetryPolicy(), corrupt, now_ms, writer)
     checked.unpersist()

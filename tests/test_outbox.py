@@ -62,6 +62,7 @@ def test_ids_continue_and_epochs_repeat(spark, box):
 def test_forbidden_headers_are_refused_at_the_door(spark, box):
     enqueue(box, requests(spark, request(1, headers={"content-type": ["x"]}), request(2)), 0, CLIENT)
     assert [value(r.body) for r in box.records().collect()] == [2]
+    assert [(value(r.body), r.reason) for r in box.rejected().collect()] == [(1, X.FORBIDDEN)]
 
 
 def test_budget_counts_what_still_waits(spark, box):
@@ -74,6 +75,64 @@ def test_budget_counts_what_still_waits(spark, box):
     assert box.records().count() == kept + 1
 
 
+def test_what_does_not_fit_is_kept_as_rejected(spark, box):
+    enqueue(box, requests(spark, *[request(i, at=i) for i in range(5)]), 0, CLIENT, max_pending_bytes=120)
+    kept = {value(r.body) for r in box.records().collect()}
+    lost = {(value(r.body), r.reason) for r in box.rejected().collect()}
+    assert kept and {i for i, _ in lost} == set(range(5)) - kept and {w for _, w in lost} == {X.OVER_BUDGET}
+
+
+def plain(spark, *rows):
+    return spark.createDataFrame([(i, "q", "t", b"x" * 3 + bytes([i]), "", "", "", None, i, size) for i, size in rows], REQUESTS)
+
+
+def test_repeat_after_a_drain(spark, box):
+    """Epoch 2 given again, with more room by now, gives the same records and ids."""
+    box.append(plain(spark, (1, 90)), 1, 100)
+    second = plain(spark, (2, 50), (3, 10))
+    box.append(second, 2, 100)
+    stored = sorted((r.record_id, r.size_bytes) for r in box.records().collect())
+    assert stored == [(1, 90), (2, 10)]
+    drained = spark.createDataFrame([(1, "q", 1, 0, "send", 200, None, None, None, None)], ATTEMPTS)
+    box.settle(drained, 0, RetryPolicy())
+    box.append(second, 2, 100)
+    assert sorted((r.record_id, r.size_bytes) for r in box.records().collect()) == stored
+    assert [(r.record_id, r.size_bytes) for r in box.waiting().collect()] == [(2, 10)]
+    assert [r.size_bytes for r in box.rejected().collect()] == [50]
+
+
+def test_writers_and_new_checkpoints(spark, box):
+    box.append(plain(spark, (1, 5)), 0, writer="a")
+    box.append(plain(spark, (2, 5)), 0, writer="b")
+    assert ids(box.records()) == [("q", 1), ("q", 2)]
+    with pytest.raises(ValueError, match="other requests"):  # a stream that counts from 0 again
+        box.append(plain(spark, (3, 5)), 0, writer="a")
+    box.append(plain(spark, (3, 5)), 0, writer="a2")
+    assert ids(box.records()) == [("q", 1), ("q", 2), ("q", 3)]
+    with pytest.raises(ValueError):
+        box.append(plain(spark, (4, 5)), 0, writer="../x")
+
+
+def test_an_append_that_broke_off_does_not_show(spark, box):
+    box._write(plain(spark, (9, 5)).withColumn("record_id", F.lit(1)).select(*X._names(X.RECORDS)), "records", "main", 0)
+    assert box.records().count() == 0 == box.waiting().count()
+    box.append(plain(spark, (1, 5)), 0)
+    assert ids(box.records()) == [("q", 1)]
+
+
+def test_picking_reads_no_bodies(spark, box):
+    box.append(plain(spark, (1, 5)), 0)
+    plan = X.drain_slice(box.waiting(), 0)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert scans and not any("body" in line or "headers" in line for line in scans)
+
+
+def test_outcomes_stay_in_their_queue(spark):
+    snapshot = spark.createDataFrame([(1, "a", 5, 0), (1, "b", 5, 0)], "record_id bigint, queue string, size_bytes bigint, next_due_ms bigint")
+    tries = spark.createDataFrame([(1, "a", 1, 0, "send", 200, None, None, None, None)], ATTEMPTS)
+    assert ids(X.apply_outcomes(snapshot, tries, RetryPolicy())) == [("b", 1)]
+
+
 def test_fifo_delivery_and_counters(spark, box, tmp_path):
     log = tmp_path / "sent"
 

@@ -122,3 +122,22 @@ def test_messages(spark):
         "remote_write failed",
     ]
     assert got[4].endswith('="' + "y" * 4096 + '"')
+
+
+def test_quoted_bytes(spark):
+    golden = {
+        b"plain text": '"plain text"',
+        b'a"b\\c': '"a\\"b\\\\c"',
+        b"\n\r\t\x07\x08\x0c\x0b": '"\\n\\r\\t\\a\\b\\f\\v"',
+        b"\x00\x1b\x7f": '"\\x00\\x1b\\x7f"',
+        "n\u00e9 \u4e2d \U0001f642".encode(): '"n\u00e9 \u4e2d \U0001f642"',
+        b"\xc2\xa0": '"\\u00a0"',
+        b"\xe2\x80\x8b": '"\\u200b"',
+        b"\xf3\xa0\x80\x81": '"\\U000e0001"',
+        b"cut \xc3": '"cut \\xc3"',
+        b"\xff\xe4\xb8": '"\\xff\\xe4\\xb8"',
+        b"": '""',
+    }
+    df = spark.createDataFrame([(bytearray(b), w) for b, w in golden.items()], "b binary, want string")
+    for r in df.select("want", O.quoted(F.col("b")).alias("got")).collect():
+        assert r["got"] == r["want"]

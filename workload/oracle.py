@@ -82,11 +82,11 @@ waits AS (
 
 OUTBOX = f"""
 box AS (
-  SELECT event_id // 4 AS record_id, 'q' || (event_id // 4 % 8) AS queue,
-    round(value * 100)::BIGINT + 20 AS size_bytes,
-    CASE event_id // 4 % 9 WHEN 0 THEN 'sending' WHEN 1 THEN 'corrupt' ELSE 'pending' END AS state,
-    CASE WHEN event_id // 4 % 9 = 2 THEN {NOW + 1} ELSE event_id // 4 END::BIGINT AS next_due_ms
-  FROM events WHERE event_id % 4 = 0)"""
+  SELECT rid // 8 AS record_id, 'q' || (rid % 8) AS queue, size_bytes,
+    CASE rid % 9 WHEN 0 THEN 'sending' WHEN 1 THEN 'corrupt' ELSE 'pending' END AS state,
+    CASE WHEN rid % 9 = 2 THEN {NOW + 1} ELSE rid END::BIGINT AS next_due_ms
+  FROM (SELECT event_id // 4 AS rid, (sum(round(value * 100)::BIGINT) + 20)::BIGINT AS size_bytes
+        FROM events GROUP BY 1))"""
 
 EVENT_SERIES = """
 es AS (
@@ -430,10 +430,9 @@ flags AS (
   SELECT *, count(*) FILTER (accepted) OVER (PARTITION BY queue ORDER BY i) AS place FROM run)"""
 ORACLE["budget_admission"] = f"""{ADMITTED}
 SELECT queue, request_id, accepted, CASE WHEN accepted THEN place END AS accept_no FROM flags"""
-ORACLE["outbox_append"] = f"""{ADMITTED},
-given AS (SELECT 'tenant-' || (c_custkey % 20) AS queue, max(c_custkey) AS m FROM customer GROUP BY 1)
-SELECT f.queue, request_id, coalesce(m, 0) + place AS record_id
-FROM flags f LEFT JOIN given USING (queue) WHERE accepted"""
+ORACLE["outbox_append"] = f"""{ADMITTED}
+SELECT queue, request_id, CASE WHEN accepted THEN place END AS record_id,
+  CASE WHEN NOT accepted THEN 'over budget' END AS reason FROM flags"""
 
 ORACLE["http_deliver"] = f"""WITH {REQUESTS},
 judged AS (
@@ -461,7 +460,7 @@ latest AS (
     PARTITION BY request_id ORDER BY attempt DESC, at_ms DESC) = 1)
 SELECT record_id, b.queue,
   CASE WHEN outcome = 'retryable' THEN at_ms + wait_ms ELSE next_due_ms END AS next_due_ms
-FROM box b LEFT JOIN latest l ON l.request_id = b.record_id
+FROM box b LEFT JOIN latest l ON l.queue = b.queue AND l.request_id // 8 = b.record_id
 WHERE l.request_id IS NULL OR outcome = 'retryable'
   OR (outcome = 'permanent' AND coalesce(error_class, '') IN ('cancelled', 'deadline'))"""
 

@@ -18,7 +18,7 @@ from seriesship.operators.flatten import flatten
 from seriesship.operators.ordered import ensure_checkpoint_dir
 from seriesship.operators.relabel import Rule, relabel
 from seriesship.plans.push import push, push_batches, push_series
-from seriesship.sources.tables import explode_families, recover_records, spread
+from seriesship.sources.tables import explode_families, recover_records
 from seriesship.streaming.intake import stream_push
 from workload import tables as T
 
@@ -209,7 +209,7 @@ def timestamp_default(spark, sf):
 def format_bound_(spark, sf):
     price = F.col("o_totalprice")
     scaled = F.array(price, price / 1e9, price * 1e3, -price / 7.0, price * 1e20, price / 3e7)
-    orders = spread(T.table(spark, sf, "orders"))
+    orders = T.table(spark, sf, "orders")
     rows = orders.select("o_orderkey", F.posexplode(scaled).alias("form", "bound"))
     return rows.select("o_orderkey", "form", format_bound("bound").alias("bound_text"))
 
@@ -453,13 +453,13 @@ BUDGET = 20_000_000
 
 @query
 def outbox_append(spark, sf):
-    line = T.requests(spark, sf)
-    given = T.table(spark, sf, "customer").groupBy(
-        F.concat(F.lit("tenant-"), T.text(F.col("c_custkey") % 20)).alias("queue")
-    ).agg(F.max("c_custkey").alias("max_id"))
-    flags = outbox.admit(line, "queue", ["arrival_ms", "request_id"], BUDGET)
-    ids = outbox.with_record_ids(flags.where("accepted"), given)
-    return ids.select("queue", "request_id", "record_id")
+    box = outbox.Outbox(spark, scratch(spark, "outbox"))
+    for _ in range(2):  # a repeated epoch changes nothing
+        box.append(T.requests(spark, sf), 0, BUDGET)
+    request = F.split(F.col("body").cast("string"), "/")[1].cast("bigint").alias("request_id")
+    kept = box.records().select("queue", request, "record_id", F.lit(None).cast("string").alias("reason"))
+    none = F.lit(None).cast("bigint").alias("record_id")
+    return kept.union(box.rejected().select("queue", request, none, "reason"))
 
 
 def fake_transport(url: str, headers: dict, body: bytes) -> dict:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from seriesship.functions.labels import pair
 from seriesship.schema import HISTOGRAM, LABELS, SUMMARY
-from seriesship.sources.tables import spread
 
 NOW_MS = 1_700_000_000_000
 BLOCK = 256
@@ -185,7 +184,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One push per priority, one family per customer, one metric per order."""
-    return order_gauges_of(spread(table(spark, sf_dir, "orders")))
+    return order_gauges_of(table(spark, sf_dir, "orders"))
 
 
 def order_gauges_of(orders: DataFrame) -> DataFrame:
@@ -311,7 +310,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
         request.alias("request_id"),
-        request.alias("record_id"),
+        record_of(request).alias("record_id"),
         F.concat(F.lit("q"), text(request % 8)).alias("queue"),
         (F.when(replayed & (slot > 0), slot).otherwise(slot + 1)).cast("int").alias("attempt"),
         millis("ts").alias("at_ms"),
@@ -325,17 +324,20 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per request of ``attempts``."""
-    request = F.expr("event_id div 4")
+    """One record per request of ``attempts``, as large as its four events together."""
+    size = F.sum(F.round(F.col("value") * 100).cast("bigint")) + 20
+    requests = table(spark, sf_dir, "events").groupBy(F.expr("event_id div 4").alias("request")).agg(size.alias("size_bytes"))
+    request = F.col("request")
     case = request % 9
-    return (
-        table(spark, sf_dir, "events")
-        .where("event_id % 4 = 0")
-        .select(
-            request.alias("record_id"),
-            F.concat(F.lit("q"), text(request % 8)).alias("queue"),
-            (F.round(F.col("value") * 100).cast("bigint") + 20).alias("size_bytes"),
-            F.when(case == 0, "sending").when(case == 1, "corrupt").otherwise("pending").alias("state"),
-            F.when(case == 2, NOW_MS + 1).otherwise(request).cast("bigint").alias("next_due_ms"),
-        )
+    return requests.select(
+        record_of(request).alias("record_id"),
+        F.concat(F.lit("q"), text(request % 8)).alias("queue"),
+        "size_bytes",
+        F.when(case == 0, "sending").when(case == 1, "corrupt").otherwise("pending").alias("state"),
+        F.when(case == 2, NOW_MS + 1).otherwise(request).cast("bigint").alias("next_due_ms"),
     )
+
+
+def record_of(request: Column) -> Column:
+    """The record of a request in one of eight queues; each queue counts its own."""
+    return F.floor(request / 8).cast("bigint")
