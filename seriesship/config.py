@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 CONTENT_TYPE = "application/x-protobuf"
 CONTENT_ENCODING = "snappy"
 PROTOCOL_VERSION = "0.1.0"
+# Receivers require this header by its name.
 VERSION_HEADER = "X-Prometheus-Remote-Write-Version"
 ERROR_BODY_BYTES = 4096
 DEFAULT_MAX_SERIES = 10000

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 import os
-import tempfile
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +33,7 @@ UNLIMITED = 1 << 60
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; fall back to a local one only in local mode."""
+    """Use the cluster's checkpoint folder; only in local mode, and where none is set, one beside the warehouse."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
@@ -42,7 +41,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = os.path.join(tempfile.mkdtemp(prefix="seriesship-"), "checkpoints")
+        path = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
     sc.setCheckpointDir(path)
 
 

@@ -116,10 +116,10 @@ def test_messages(spark):
     df = spark.createDataFrame(rows, "error_text string, status_text string, body binary")
     got = [r.message for r in O.failure_text(df).collect()]
     assert got[:4] == [
-        "remote_write failed: status=503 Service Unavailable err=refused",
-        "remote_write failed: refused",
-        'remote_write failed: status=400 Bad Request body="say \\"no\\"\\n"',
-        "remote_write failed",
+        f"{O.FAILED}: status=503 Service Unavailable err=refused",
+        f"{O.FAILED}: refused",
+        f'{O.FAILED}: status=400 Bad Request body="say \\"no\\"\\n"',
+        O.FAILED,
     ]
     assert got[4].endswith('="' + "y" * 4096 + '"')
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from seriesship import ClientConfig, RetryPolicy
+from seriesship.config import VERSION_HEADER
 from seriesship.functions.text import header_name, path_escape
 from seriesship.operators import requests as Q
 
@@ -56,7 +57,7 @@ def test_canonical_headers_do_not_depend_on_spelling(spark):
 
 def test_reserved_headers(spark):
     cfg = ClientConfig(tenant_header="X-Scope-OrgID", bearer_token="t")
-    names = ["CONTENT-TYPE", "content-encoding", "User-agent", "x-prometheus-remote-write-version",
+    names = ["CONTENT-TYPE", "content-encoding", "User-agent", VERSION_HEADER.lower(),
              "authorization", "x-scope-ORGID"]
     maps = [{n: ["v"]} for n in names]
     assert column(spark, maps, lambda c: Q.reserved_header(c, cfg), MAP) == [True] * 6
@@ -72,7 +73,7 @@ def test_send_headers(spark):
     )
     a, b = [r.send_headers for r in Q.request_headers(Q.with_defaults(df, cfg), cfg).collect()]
     assert a == {
-        "User-Agent": ["ua"], "Content-Type": ["ct"], "X-Prometheus-Remote-Write-Version": ["1"],
+        "User-Agent": ["ua"], "Content-Type": ["ct"], VERSION_HEADER: ["1"],
         "X-Tenant": ["t"], "Authorization": ["Bearer s"], "x": ["1", "2"],
     }
     assert b == {"User-Agent": ["ua"], "Content-Type": ["own"], "Content-Encoding": ["gz"],

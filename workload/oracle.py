@@ -6,6 +6,9 @@ without an entry here are covered by tests against brute force.
 
 from __future__ import annotations
 
+from seriesship.config import VERSION_HEADER
+from seriesship.operators.outcome import FAILED
+
 NOW = 1_700_000_000_000
 ORACLE: dict[str, str] = {}
 
@@ -535,7 +538,7 @@ SELECT request_id, 'Authorization=Bearer secret;Content-Encoding='
   || CASE WHEN request_id % 4 = 0 THEN 'gzip' ELSE 'snappy' END || ';Content-Type='
   || CASE WHEN request_id % 3 = 0 THEN 'text/plain' ELSE 'application/x-protobuf' END
   || ';User-Agent=shipper'
-  || CASE WHEN request_id % 5 = 0 THEN ';X-Prometheus-Remote-Write-Version=9.9' ELSE '' END
+  || CASE WHEN request_id % 5 = 0 THEN ';{VERSION_HEADER}=9.9' ELSE '' END
   || CASE WHEN request_id % 6 <> 0 THEN ';X-Scope-OrgID=' || queue ELSE '' END
   || ';x-priority=' || o_orderpriority AS headers
 FROM line"""
@@ -598,8 +601,10 @@ PAIRS = "regexp_replace(substr(hex(encode(text)), 1, 8192), '(..)', '\\1 ', 'g')
 ESCAPED = PAIRS
 for code, text in (("5C", "5C 5C"), ("22", "5C 22"), ("0A", "5C 6E"), ("0D", "5C 72"), ("09", "5C 74")):
     ESCAPED = f"replace({ESCAPED}, '{code} ', '{text} ')"
+# Two-byte letters that the cut leaves half of.
+ESCAPED = f"regexp_replace({ESCAPED}, 'C3 $', '5C 78 63 33 ')"
 ORACLE["failure_message"] = f"""WITH m AS (
-  SELECT doc_id, hex(encode('remote_write failed')) || CASE doc_id % 4
+  SELECT doc_id, hex(encode('{FAILED}')) || CASE doc_id % 4
     WHEN 0 THEN hex(encode(': status=503 Service Unavailable err=refused: ' || source))
     WHEN 1 THEN hex(encode(': refused: ' || source))
     WHEN 2 THEN hex(encode(': status=503 Service Unavailable body="')) || replace({ESCAPED}, ' ', '') || '22'

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesship.config import ClientConfig, PushConfig, RetryPolicy
+from seriesship.config import VERSION_HEADER, ClientConfig, PushConfig, RetryPolicy
 from seriesship.functions import labels as L
 from seriesship.functions.text import format_bound
 from seriesship.operators import batching, encode, outbox, outcome, rate, requests
@@ -621,7 +621,7 @@ def tenant_header(spark, sf):
 @query
 def reject_reserved_headers(spark, sf):
     names = ["content-TYPE", "X-Fine", "AUTHORIZATION", "x-scope-orgid", "user-agent", "Accept"]
-    names.append("x-Prometheus-remote-write-VERSION")
+    names.append(VERSION_HEADER.swapcase())
     picked = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("request_id") % 7 + 1).cast("int"))
     line = T.requests(spark, sf).withColumn(
         "headers", F.create_map(picked, F.array("queue"), F.lit("x-more"), F.array("queue"))
