@@ -75,7 +75,7 @@ def admit(
     A queue may span partitions. Over those the driver carries (pending bytes, count) along: a partition
     that fits as a whole, or of which nothing can fit, follows from its sum and its smallest size. Only one
     in which the queue fills up is run for its exit state, after which the room left is smaller than the
-    record that did not fit.
+    record that did not fit. Queues do not wait for each other: one job settles such a partition of all of them.
     """
     limit = max_bytes if max_bytes > 0 else UNLIMITED
     rows = df.select(key, *order, F.col(size).cast("bigint").alias("size"))
@@ -113,21 +113,31 @@ def admit(
 
     # Exit states that do not depend on an entry.
     known = exits({p.id: None for p in split.parts if p.id in feeding and not (p.continues and p.single)})
-    entries: dict[int, tuple[int, int]] = {}
-    state = None
+    # The others follow from the one before, in chains that do not touch each other.
+    chains: list[tuple[list, tuple[int, int]]] = []
     for p in split.parts:
         if p.id in carried:
-            entries[p.id] = state
-        if p.id not in feeding:
-            continue
+            chains[-1][0].append(p)
         if p.id in known:
-            state = known[p.id]
-            continue
-        waiting, count = state
-        if waiting < limit and waiting + p.stats["bytes"] < limit:
-            state = (waiting + p.stats["bytes"], count + p.rows)
-        elif waiting < limit and waiting + p.stats["smallest"] <= limit:
-            state = exits({p.id: state})[p.id]
+            chains.append(([], known[p.id]))
+    entries: dict[int, tuple[int, int]] = {}
+    while chains:
+        asked: dict[int, tuple[int, int]] = {}
+        open_ = []
+        for parts, state in chains:
+            for at, p in enumerate(parts):
+                entries[p.id] = state
+                if p.id not in feeding or p.id in known:
+                    continue
+                waiting, count = state
+                if waiting < limit and waiting + p.stats["bytes"] < limit:
+                    state = (waiting + p.stats["bytes"], count + p.rows)
+                elif waiting < limit and waiting + p.stats["smallest"] <= limit:
+                    asked[p.id] = state
+                    open_.append((p.id, parts[at + 1 :]))
+                    break
+        done = exits(asked)
+        chains = [(rest, done[part]) for part, rest in open_]
 
     def run(batches):
         table = read_partition(batches)

@@ -176,3 +176,20 @@ def test_unlimited_admission(line):
     rows, df = line
     got = admit(df, "k", ["arrival_ms", "request_id"], 0, partitions=5).collect()
     assert len(got) == len(rows) and all(r.accepted for r in got)
+
+
+def test_admission_settles_queues_side_by_side(spark):
+    """Many queues that fill up take no more jobs than one."""
+
+    def jobs(queues):
+        rng = random.Random(7)
+        rows = [(f"q{i % queues}", i, i, rng.randint(50, 60)) for i in range(40 * queues)]
+        df = spark.createDataFrame(rows, "k string, arrival_ms bigint, request_id bigint, size_bytes bigint")
+        group = f"admission-{queues}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = admit(df, "k", ["arrival_ms", "request_id"], 700, partitions=2 * queues).collect()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sum(r.accepted for r in got) in range(11 * queues, 14 * queues + 1)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(8) <= jobs(2) + 3
