@@ -8,7 +8,8 @@
    most that may follow such a token in any member, and the members' sizes, the overlap that a document of one group
    can have with one of the other is bounded from above.
 4. Only pairs of groups whose bound reaches what a link needs are opened: there the smaller group's documents are
-   compared with the members of the larger one, in blocks of bounded size, exactly.
+   compared with the members of the larger one, in blocks of bounded size, exactly. Groups of one first compare
+   how their tokens spread over 256 bins: what the bins have in common bounds the overlap too.
 5. Links make components, by the smallest label along links with jumps.
 
 Frequent tokens come last in the order, so no token's list grows with the number of documents that merely share it;
@@ -80,9 +81,9 @@ def _bytes(df: DataFrame) -> DataFrame:
 
 
 def _survey(docs: DataFrame) -> DataFrame:
-    """Rows of documents (doc_id, n, digest, keys) and rows of tokens (token, n) seen in several texts of a batch."""
-    schema = "doc_id long, n long, digest binary, keys array<long>, token long"
-    names = ["doc_id", "n", "digest", "keys", "token"]
+    """Rows of documents (doc_id, n, digest, keys, sketch) and of tokens (token, n) seen in several texts of a batch."""
+    schema = "doc_id long, n long, digest binary, keys array<long>, sketch binary, token long"
+    names = ["doc_id", "n", "digest", "keys", "sketch", "token"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -96,6 +97,7 @@ def _survey(docs: DataFrame) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array([_sketch(s) for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.int64()),
                 ],
                 names,
@@ -105,7 +107,7 @@ def _survey(docs: DataFrame) -> DataFrame:
             if len(token):
                 none = len(token)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(none, pa.int64()), pa.array(n, pa.int64()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.list_(pa.int64())), pa.array(token)],
+                    [pa.nulls(none, pa.int64()), pa.array(n, pa.int64()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.binary()), pa.array(token)],
                     names,
                 )
 
@@ -143,6 +145,28 @@ def _tokens_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "id long, tokens binary").dropDuplicates(["id"])
 
 
+def _sketch(tokens: np.ndarray) -> bytes:
+    """How many tokens fall in each of 256 bins, at most 255."""
+    return np.minimum(np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def _plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sketches leave room for a link: an overlap is at most the bins' common part."""
+    left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("of_a"))
+    right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("of_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 256) for c in ("of_a", "of_b"))
+            least = np.minimum(a, b)
+            room = least.sum(axis=1, dtype=np.int64)
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            keep = (NUM * room >= DEN * total) | (least == 255).any(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+
+
 def overlap(a: bytes, b: bytes) -> int:
     return len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
 
@@ -347,7 +371,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     survey = cut(_survey(docs))
     rows = survey.where(F.col("token").isNull())
     usable = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    classes = rows.where(usable).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("keys").alias("keys"))
+    classes = rows.where(usable).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     classes = cut(classes)
 
     often = survey.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_FROM)
@@ -356,8 +380,11 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     order = np.argsort(known)
     hot = spark.sparkContext.broadcast((known[order], -order))  # rarer ones first
 
-    reps = classes.groupBy("rep").agg(F.min("n").alias("n"), F.first("keys").alias("keys"))
-    near = cut(_candidates(reps))
+    # One row for each id; where an id has several texts, they are tried together.
+    repeated = not classes.groupBy("rep").count().where(F.col("count") > 1).isEmpty()
+    reps = classes.select("rep", "n", "keys", "sketch")
+    near = _candidates(reps.dropDuplicates(["rep"]) if repeated else reps)
+    near = cut(_plausible(near, reps).distinct())
     joined = cut(_linked(near, _tokens_of(docs, near.select(F.col("a").alias("id")).union(near.select("b")))))
     leaders = joined.select(F.col("b").alias("id")).distinct()
     members = joined.join(leaders, joined["a"] == leaders["id"], "left_anti").select(F.col("a").alias("id"), F.col("b").alias("grp"))
@@ -382,9 +409,10 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     inside = open_.select(F.col("q").alias("grp")).union(open_.select("g")).distinct()
     own = groups.join(inside, "grp").select("id", "grp").union(inside.join(groups, "grp", "left_anti").select("grp", "grp"))
     own = cut(own)
-    needed = both.where(alone).select(F.col("a").alias("id")).union(both.where(alone).select("b")).union(own.select("id"))
+    single = cut(_plausible(both.where(alone).select("a", "b"), reps).distinct())
+    needed = single.select(F.col("a").alias("id")).union(single.select("b")).union(own.select("id"))
     tokens = cut(_tokens_of(docs, needed))
-    links = joined.union(_linked(both.where(alone).select("a", "b"), tokens)).union(_opened(open_, own, tokens))
+    links = joined.union(_linked(single, tokens)).union(_opened(open_, own, tokens))
     found = components(cut(links))
     labels = classes.select("digest", "rep").join(found, F.col("rep") == F.col("id"), "left")
     labels = labels.select(F.col("digest").alias("of"), F.coalesce("component", "rep").alias("component"))
