@@ -7,6 +7,7 @@ the shared checkpoint folder, so that no stage works out the ones before it agai
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,24 @@ from seriesship.llm.queries import SECRET, TOKENIZERS, learned_from
 
 #: A document goes if it has no language, or less than this share of its words is in its main one.
 LEAST_SHARE = 0.5
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+USED = ("doc_id", "text", "lang", "n_chars")
 
 
+def packed(stage: Stage) -> Stage:
+    """All columns that no stage uses go through in one, so that their names can't meet those of a stage."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rest = [c for c in docs.columns if c not in USED]
+        used = [c for c in docs.columns if c in USED]
+        out = stage(spark, docs.select(*used, F.struct(*rest).alias("_rest")) if rest else docs, sf_dir)
+        return out.select(*(F.col("_rest").getField(c).alias(c) if c in rest else F.col(c) for c in docs.columns))
+
+    return run
+
+
+@packed
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those in no main language."""
     model = language.train(docs.where(learned_from(docs)).select("text", "lang"))
@@ -27,6 +44,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return told.where(kept).select(docs.columns)
 
 
+@packed
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every component; of repeated rows, one. Rows without id stay."""
     found = jaccard.similarity_components(docs.select("doc_id", "text"))
@@ -42,6 +60,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return once.union(kept.where(F.col("_rows").isNotNull()).select(docs.columns).dropDuplicates(["doc_id", "text"]))
 
 
+@packed
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more stands in benchmark items."""
     found = winnow.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -52,6 +71,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(bad, same, "left_anti").select(docs.columns)
 
 
+@packed
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to surrogates; the number of characters follows."""
     out = surrogates.pseudonymise(docs, SECRET)
@@ -66,7 +86,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pieces.encode(docs, pieces.Vocabulary.load(f"{TOKENIZERS}/piece_bpe_32k.model"), n=4)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language", identify_language),
     ("near copies", drop_near_copies),
     ("benchmark", drop_contaminated),
