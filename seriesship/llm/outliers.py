@@ -209,12 +209,16 @@ def judge(docs: DataFrame, quantile: float = 0.9999) -> DataFrame:
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     measured = cut(statistics(docs).withColumn("base_failed", failed))
     fits = estimates(measured.where(~F.col("base_failed")).select("lang", "source", "x")).where(F.col("n") >= FEWEST)
-    lang, source, none = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit("")), F.lit("")
+    lang, source = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
     out = measured.select("*", lang.alias("_lang"), source.alias("_source"))
-    for level, (a, b) in enumerate(((F.col("_lang"), F.col("_source")), (F.col("_lang"), none), (none, none))):
-        own = fits.where(F.col("level") == level).select(F.col("lang_key").alias(f"_l{level}"), F.col("source_key").alias(f"_s{level}"), F.struct("place", "inverse").alias(f"_f{level}"))
-        out = out.join(own, (a == F.col(f"_l{level}")) & (b == F.col(f"_s{level}")), "left")
-    out = out.withColumn("_fit", F.coalesce("_f0", "_f1", "_f2"))
+    overall = fits.where(F.col("level") == 2).select("place", "inverse").first()
+    last = F.lit(None).cast("struct<place:array<double>,inverse:array<double>>")
+    if overall:
+        last = F.struct(*(F.array(*map(F.lit, overall[k])).alias(k) for k in ("place", "inverse")))
+    for level, keys in enumerate((["_lang", "_source"], ["_lang"])):
+        own = fits.where(F.col("level") == level).select(F.col("lang_key").alias("_lang"), F.col("source_key").alias("_source"), F.struct("place", "inverse").alias(f"_f{level}"))
+        out = out.join(own.select(*keys, f"_f{level}"), keys, "left")
+    out = out.withColumn("_fit", F.coalesce("_f0", "_f1", last))
     d2 = F.when(~F.col("base_failed"), _distance(F.col("x"), F.col("_fit.place"), F.col("_fit.inverse")))
     limit = chi_square_quantile(quantile, P)
     return out.select(
