@@ -3,23 +3,27 @@
 The model has word n-grams up to order 3. Its base is the smoothed unigram (c + 0.1) / (N + 0.1 (V + 1)) over all
 training tokens; higher orders are discounted by 0.75 and back off with weights that make every distribution sum to 1.
 As an automaton: each context is a state; an arc leads over a word to the longest context that follows, and a failure
-arc leads to the context one word shorter. One traversal from left to right carries the state and adds up arcs.
-
-What must be in memory is bounded, whatever the corpus: contexts are words of at least ``word_share`` of all tokens
-(so at most 1 / word_share) and n-grams at least ``gram_share`` of them, so the automaton can be broadcast. Counts of
-all other words, which grow with the corpus, are never gathered: documents are dealt into blocks of some MB, every
-block asks for the counts of its distinct words in one join, and gets them as a table of its own.
+arc leads to the context one word shorter.
+
+All words can stand in n-grams and every n-gram seen ``LEAST`` times is kept, so the model grows with the corpus and is
+never in one place. Texts become numbers of words once, in blocks of some MB. Every block sends its distinct pairs, and
+then the triples whose two pairs are kept, to buckets; a bucket adds up the counts of all blocks, works out the
+backoff weights of its contexts, and answers each block for the arcs that it asked for. Contexts that alone would fill a
+bucket are spread over all, and their few sums are broadcast. Words are numbered by falling count, so a table of
+the distinct counts (at most sqrt(2 N) of them) tells the count of any word.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +33,8 @@ from seriesship.llm.common import cut, slices
 END = b"\n"
 DISCOUNT = 0.75
 SMOOTH = 0.1
+#: n-grams seen so often are kept, whatever the size of the corpus.
+LEAST = 2
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -52,7 +58,7 @@ def words(text: bytes | None) -> list[bytes]:
 
 @dataclass
 class Automaton:
-    """States are contexts: 0 the empty one, 1 + i word i, then pairs of words. ``arcs`` are state * width + word."""
+    """The model in one place, for small data. States are contexts: 0 the empty one, 1 + i word i, then pairs of words. ``arcs`` are state * width + word."""
 
     ids: dict[bytes, int]
     width: int
@@ -163,122 +169,391 @@ def _find(known: np.ndarray, keys: np.ndarray, first: int) -> np.ndarray:
     return np.where(known[at] == keys, first + at, -1)
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, n) over all rows of ``docs`` (text as binary), with one end for each row. Counted in the tasks first."""
+def pack(a: np.ndarray) -> bytes:
+    """Numbers, compressed, their bytes of equal weight side by side."""
+    if a.dtype.kind == "i" and (not len(a) or (a.max() < 1 << 31 and a.min() >= -(1 << 31))):
+        a = a.astype(np.int32)
+    raw = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+    return a.dtype.char.encode() + struct.pack("<q", len(a)) + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                seen.update(words(text))
-            seen[END] += batch.num_rows
-            if len(seen) > 500_000:
-                yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-                seen.clear()
-        yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def unpack(b: bytes) -> np.ndarray:
+    kind, n = np.dtype(b[:1].decode()), struct.unpack("<q", b[1:9])[0]
+    raw = pa.decompress(b[9:], decompressed_size=n * kind.itemsize, codec="zstd", asbytes=True)
+    a = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, n).T).view(kind).reshape(n)
+    return a.astype(np.int64) if kind.kind == "i" else a
+
+
+def _packed(x: bytes) -> bytes:
+    return struct.pack("<q", len(x)) + pa.compress(x, codec="zstd", asbytes=True)
+
+
+def _unpacked(b: bytes) -> bytes:
+    return pa.decompress(b[8:], decompressed_size=struct.unpack("<q", b[:8])[0], codec="zstd", asbytes=True)
+
+
+@dataclass
+class Base:
+    """Unigrams. Word ids go by falling count; ``n[i]`` is the count of ids from ``first[i]`` on. The id after the last
+    stands for the start of a text, and as a predicted word, which it never is, for any word without an arc."""
+
+    first: np.ndarray
+    n: np.ndarray
+    tokens: int
+    distinct: int
+    texts: int
+    words: int  #: smaller ids may stand in n-grams
+    least: int
+    buckets: int
+    heavy: int  #: contexts seen more often are spread over the buckets
+
+    @property
+    def start(self) -> int:
+        return self.distinct
+
+    @property
+    def width(self) -> int:
+        return self.distinct + 1
+
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        if not len(self.first):
+            return np.where(ids == self.start, self.texts, 0)
+        n = self.n[np.maximum(np.searchsorted(self.first, ids, "right") - 1, 0)]
+        return np.where(ids < 0, 0, np.where(ids == self.start, self.texts, n))
+
+    def unigram(self, ids: np.ndarray) -> np.ndarray:
+        return (self.count(ids) + SMOOTH) / (self.tokens + SMOOTH * (self.distinct + 1))
+
+
+def _mixed(key: np.ndarray) -> np.ndarray:
+    x = key.astype(np.uint64)
+    for by, shift in ((0xBF58476D1CE4E5B9, 30), (0x94D049BB133111EB, 27)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return x ^ (x >> np.uint64(31))
+
+
+class Asked:
+    """The distinct (context, word) of a block at one order, by bucket, and the place of each token among them."""
+
+    def __init__(self, base: Base, head: np.ndarray, word: np.ndarray, inverse: np.ndarray, seen: np.ndarray) -> None:
+        """``head`` and ``word`` are sorted; ``seen`` tells how often the context occurs."""
+        light, spread = _mixed(head), _mixed(_mixed(head) + word.astype(np.uint64))
+        n = np.uint64(base.buckets)
+        bucket = np.where(seen > base.heavy, spread % n + n, light % n).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        self.head, self.word, self.bucket = head[order], word[order], bucket[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.order, self.inverse = order, place[inverse]
+        first = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        self.parts = {int(self.bucket[i]): slice(i, j) for i, j in zip(first, np.append(first[1:], len(order)))}
+
+    def rows(self, block: int, count: np.ndarray, lower: np.ndarray | None = None) -> pa.Table:
+        """What goes to the buckets; ``count`` and ``lower`` in this object's order."""
+        out: list[tuple] = []
+        for b, at in self.parts.items():
+            low = None if lower is None else pack(lower[at])
+            out.append((b, block, pack(np.diff(self.head[at], prepend=0)), pack(self.word[at]), pack(count[at]), low))
+        return pa.table([pa.array(list(c), t.type) for c, t in zip(list(zip(*out)) or [()] * 6, _ASK)], schema=_ASK)
+
+    def read(self, base: Base, answers: pa.Table, spread: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each (context, word): its count if kept, else 0; and the sums of its context."""
+        n, taken, lower = np.zeros(len(self.head), np.int64), np.zeros(len(self.head)), np.zeros(len(self.head))
+        for b, x, t, low in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "taken", "lower"))):
+            at = self.parts[b]
+            n[at] = unpack(x)
+            if b < base.buckets:
+                of = np.cumsum(np.diff(self.head[at], prepend=-1) != 0) - 1
+                taken[at], lower[at] = unpack(t)[of], unpack(low)[of]
+        heads, sums, lows = spread
+        far = np.flatnonzero(self.bucket >= base.buckets)
+        if len(far):
+            at = np.searchsorted(heads, self.head[far])
+            taken[far], lower[far] = sums[at], lows[at]
+        return n, taken, lower
+
+
+_ASK = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("head", pa.binary()), ("word", pa.binary()), ("count", pa.binary()), ("low", pa.binary())])
+_ANSWER = pa.schema(
+    [("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), ("taken", pa.binary()), ("lower", pa.binary())]
+    + [("head", pa.int64()), ("sum_taken", pa.float64()), ("sum_lower", pa.float64())]
+)
 
 
-def count_grams(docs: DataFrame, shared, least: int) -> DataFrame:
-    """(size, gram, n) of pairs and triples of context words that occur ``least`` times or more, the start included."""
+def _ddl(schema: pa.Schema) -> str:
+    names = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double", pa.binary(): "binary"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+
+
+def answered(asks: DataFrame, shared, order: int) -> DataFrame:
+    """The buckets' answers, and the parts of the sums of spread contexts (without a block)."""
+
+    def run(here: pa.Table) -> pa.Table:
+        base: Base = shared.value
+        bucket = here.column("bucket")[0].as_py()
+        blocks = here.column("block").to_pylist()
+        parts = [np.cumsum(unpack(x)) for x in here.column("head").to_pylist()]
+        sizes = [len(x) for x in parts]
+        word = np.concatenate([unpack(x) for x in here.column("word").to_pylist()])
+        count = np.concatenate([unpack(x) for x in here.column("count").to_pylist()])
+        heads, of = np.unique(np.concatenate(parts), return_inverse=True)
+        del parts
+        grams, place = np.unique(of * base.width + word, return_inverse=True)
+        n = np.bincount(place, count, len(grams)).astype(np.int64)
+        n[n < base.least] = 0
+        head = grams // base.width
+        if order == 2:
+            weight = base.unigram(grams % base.width)
+        else:
+            pair = np.zeros(len(grams), np.int64)
+            pair[place] = np.concatenate([unpack(x) for x in here.column("low").to_pylist()])
+            weight = (pair - DISCOUNT) / np.maximum(base.count(heads % base.width), 1)[head]
+        taken = np.bincount(head, np.where(n > 0, n - DISCOUNT, 0.0), len(heads))
+        lower = np.bincount(head, np.where(n > 0, weight, 0.0), len(heads))
+        spread, out, i = bucket >= base.buckets, [], 0
+        for block, size in zip(blocks, sizes):
+            at = of[i : i + size]
+            own = at[np.diff(at, prepend=-1) != 0]
+            sums = (None, None) if spread else (pack(taken[own]), pack(lower[own]))
+            out.append((block, bucket, pack(n[place[i : i + size]]), *sums, None, None, None))
+            i += size
+        if spread:
+            out += [(None, bucket, None, None, None, *x) for x in zip(heads.tolist(), taken.tolist(), lower.tolist())]
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*out), _ANSWER)], schema=_ANSWER)
+
+    return cut(asks.groupBy("bucket").applyInArrow(run, _ddl(_ANSWER)))
+
+
+def spread_sums(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, taken, lower) of spread contexts, of which there are fewer than a few times the buckets."""
+    sums = answers.where(F.col("block").isNull()).groupBy("head").agg(F.sum("sum_taken").alias("t"), F.sum("sum_lower").alias("l"))
+    found = sums.toArrow().sort_by("head")
+    return tuple(found.column(c).to_numpy() for c in ("head", "t", "l"))
+
+
+@dataclass
+class Block:
+    """Texts as ids (-1: unknown), one after another with their ends."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    trained: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def pairs(self, base: Base) -> tuple[Asked, np.ndarray]:
+        """What is asked about pairs, and the tokens (by number) that have a context."""
+        w = np.where(self.ids < base.words, self.ids, -1)
+        v = np.roll(w, 1)
+        v[self.first] = base.start
+        n = base.count(v)
+        at = np.flatnonzero((v >= 0) & (n >= base.least))
+        w, v = np.where(base.count(w) >= base.least, w, base.start)[at], v[at]
+        grams, inverse = np.unique(v * base.width + w, return_inverse=True)
+        head, word = grams // base.width, grams % base.width
+        return Asked(base, head, word, inverse, base.count(head)), at
+
+    def triples(self, base: Base, two: Asked, at: np.ndarray, n: np.ndarray) -> tuple[Asked, np.ndarray, np.ndarray]:
+        """What is asked about triples, the tokens that have a kept pair for context, and the count of that pair."""
+        pair, kept = np.full(len(self.ids), -1), np.zeros(len(self.ids), np.int64)
+        pair[at], kept[at] = two.inverse, n[two.inverse]
+        before = np.roll(pair, 1)
+        before[self.first] = -1
+        at3 = np.flatnonzero((before >= 0) & (np.roll(kept, 1) > 0))
+        before, word = before[at3], np.where(kept > 0, self.ids, base.start)[at3]
+        whole = two.head * base.width + two.word
+        heads, of = np.unique(whole[before], return_inverse=True)
+        grams, inverse = np.unique(of * base.width + word, return_inverse=True)
+        head = heads[grams // base.width]
+        seen = np.zeros(len(heads), np.int64)
+        seen[of] = n[before]
+        low = np.zeros(len(grams), np.int64)
+        low[inverse] = kept[at3]
+        return Asked(base, head, grams % base.width, inverse, seen[grams // base.width]), at3, low
+
+    def times(self, base: Base, asked: Asked, at: np.ndarray) -> np.ndarray:
+        """How often each of ``asked`` stands in training texts."""
+        n = np.bincount(asked.inverse, np.repeat(self.trained, self.sizes)[at], len(asked.head)).astype(np.int64)
+        return np.where(asked.word == base.start, 0, n)
+
+    def score(self, base: Base, two: Asked, at2: np.ndarray, told2: tuple, three: Asked, at3: np.ndarray, told3: tuple) -> np.ndarray:
+        """log10 of the probability of every token."""
+        out = np.log10(base.unigram(self.ids))
+        n2 = told2[0]
+        for asked, at, (n, taken, lower), seen in (
+            (two, at2, told2, base.count(two.head)),
+            (three, at3, told3, None),
+        ):
+            if seen is None:
+                pair = np.full(len(self.ids), -1)
+                pair[at2] = two.inverse
+                seen = np.ones(len(asked.head), np.int64)
+                seen[asked.inverse] = n2[np.roll(pair, 1)[at]]
+            back = np.maximum((1 - taken / seen) / np.maximum(1 - lower, 1e-12), 1e-12)
+            back = np.log10(np.where(taken > 0, back, 1.0))[asked.inverse]
+            arc = np.log10(np.maximum(n - DISCOUNT, 1e-300) / seen)[asked.inverse]
+            out[at] = np.where(n[asked.inverse] > 0, arc, back + out[at])
+        return out
+
+
+_BLOCK = "block long, doc_id array<long>, held_out array<boolean>, sizes binary, tokens binary"
+
+
+def read_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Texts by block, as places in the block's own list of words (the end comes first), with the words' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: dict[bytes, int] = shared.value
-        start, width = len(ids), len(ids) + 1
-        end = ids.get(END, -1)
-        for batch in slices(batches, "text"):
-            flat: list[int] = []
-            for text in batch.column("text").to_pylist():
-                flat += (-1, start)
-                flat += [ids.get(w, -1) for w in words(text)]
-                flat.append(end)
-            a = np.array(flat, np.int64)
-            two = (a[:-1] >= 0) & (a[1:] >= 0)
-            three = two[:-1] & two[1:]
-            pair = a[:-1] * width + a[1:]
-            for size, grams in ((2, pair[two]), (3, (pair[:-1] * width + a[2:])[three])):
-                gram, n = np.unique(grams, return_counts=True)
-                yield pa.record_batch([pa.array(np.full(len(gram), size), pa.int32()), pa.array(gram), pa.array(n)], ["size", "gram", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "size int, gram long, n long")
-    return counted.groupBy("size", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-
-
-def learn(train: DataFrame, counts: DataFrame, word_share: float, gram_share: float) -> Automaton:
-    """The automaton of ``train``; ``counts`` is :func:`count_words` of it.
-
-    At most 1 / word_share words and 2 / gram_share n-grams reach the driver. A share that is a single occurrence or
-    less keeps n-grams seen twice.
-    """
-    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    often = counts.where(F.col("n") >= max(1.0, word_share * tokens)).toArrow().sort_by("word")
-    ids = {w: i for i, w in enumerate(often.column("word").to_pylist())}
-    texts = next((n for w, n in zip(often.column("word").to_pylist(), often.column("n").to_pylist()) if w == END), 0)
-    texts = texts or (counts.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0)
-    shared = train.sparkSession.sparkContext.broadcast(ids)
-    grams = count_grams(train, shared, max(2, math.ceil(gram_share * tokens))).toArrow().sort_by([("size", "ascending"), ("gram", "ascending")])
-    size, gram, n = (grams.column(c).to_numpy() for c in ("size", "gram", "n"))
-    two, three = size == 2, size == 3
-    return automaton(ids, often.column("n").to_numpy(), gram[two], n[two], gram[three], n[three], texts, tokens, distinct)
+        number = TaskContext.get().partitionId() << 32
+        names = ["block", "doc_id", "held_out", "sizes", "tokens", "words", "n"]
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def one() -> pa.RecordBatch:
+            here = pa.Table.from_batches(held)
+            place, at, sizes = {END: 0}, [], []
+            for text in here.column("text").to_pylist():
+                found = words(text)
+                sizes.append(len(found) + 1)
+                at.extend([place.setdefault(w, len(place)) for w in found])
+                at.append(0)
+            tokens, sizes = np.array(at, np.int64), np.array(sizes, np.int64)
+            trained = np.array([x is False for x in here.column("held_out").to_pylist()], np.float64)
+            n = np.bincount(tokens, np.repeat(trained, sizes), len(place)).astype(np.int64)
+            ids, out = [here.column(c).to_pylist() for c in ("doc_id", "held_out")], b" ".join(list(place)[1:])
+            data = [pa.array([number]), pa.array([ids[0]], pa.list_(pa.int64())), pa.array([ids[1]], pa.list_(pa.bool_()))]
+            return pa.record_batch([*data, *(pa.array([x], pa.binary()) for x in (pack(sizes), pack(tokens), _packed(out), pack(n)))], names)
+
+        for batch in slices(batches, "text", block_bytes):
+            more = batch.get_total_buffer_size() if batch.num_rows == 1 else pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0
+            more += 100 * batch.num_rows
+            if held and size + more > block_bytes:
+                yield one()
+                number, held, size = number + 1, [], 0
+            held.append(batch)
+            size += more
+        if held:
+            yield one()
+
+    return cut(docs.mapInArrow(run, f"{_BLOCK}, words binary, n binary"))
+
+
+def words_of(blocks: DataFrame) -> DataFrame:
+    """(block, place, word, n) of the distinct words of each block; n counts training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, found, n in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "n"))):
+                found = [END, *_unpacked(found).split()]
+                data = [pa.array(np.full(len(found), block)), pa.array(np.arange(len(found), dtype=np.int32)), pa.array(found, pa.binary()), pa.array(unpack(n))]
+                yield pa.record_batch(data, ["block", "place", "word", "n"])
+
+    return blocks.select("block", "words", "n").mapInArrow(run, "block long, place int, word binary, n long")
+
+
+def numbered(asked: DataFrame) -> DataFrame:
+    """(word, n, id) of all training words; ids go by falling count and leave no gap."""
+    counts = cut(asked.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0").orderBy(F.desc("n"), "word"))
+    part = F.spark_partition_id()
+    sizes = dict(counts.groupBy(part.alias("part")).count().collect())
+    starts = [0]
+    for k in range(max(sizes, default=0)):
+        starts.append(starts[-1] + sizes.get(k, 0))
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return counts.select("word", "n", (inside + F.get(F.lit(starts), part)).alias("id"))
 
 
 def score(
     docs: DataFrame,
     held_out: Column,
     *,
-    word_share: float = 1e-4,
-    gram_share: float = 1e-6,
+    word_share: float = 0.0,
+    gram_share: float = 0.0,
     block_bytes: int = 8 << 20,
+    bucket_tokens: int = 1 << 20,
 ) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text), with scores by a model of the rows that are not held out.
 
     A null text counts as empty: its end is its only token. Rows that repeat count and are scored each. With no
-    training rows every token is unknown. No rows give no rows. Other columns are ignored.
+    training rows every token is unknown. No rows give no rows. Other columns are ignored. For smaller models,
+    ``word_share`` and ``gram_share`` leave out n-grams: words, and n-grams, below that share of all tokens.
     """
     spark = docs.sparkSession
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), held_out.alias("held_out"), docs["text"].cast("binary").alias("text"))
-    train = docs.where(~F.col("held_out"))
-    counts = cut(count_words(train))
-    model = spark.sparkContext.broadcast(learn(train, counts, word_share, gram_share))
-
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 100), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
-    dealt = docs.select(block.alias("block"), "doc_id", "held_out", "text").repartition(blocks, "block")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: dict[int, set[bytes]] = {}
+    read = read_blocks(docs, block_bytes)
+    asked = words_of(read)
+    counts = numbered(asked)
+    of = counts.groupBy("n").agg(F.count("*").alias("words"), F.max(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("texts")).toArrow()
+    of = of.sort_by([("n", "descending")])
+    n, many = of.column("n").to_numpy().astype(np.int64), of.column("words").to_numpy().astype(np.int64)
+    tokens, distinct = int((n * many).sum()), int(many.sum())
+    if (distinct + 1) ** 2 >= 1 << 63:
+        raise OverflowError(f"{distinct} different words: pairs of them do not fit 64 bits")
+    texts = next((x for x in of.column("texts").to_pylist() if x), 0)
+    often = int(many[n >= max(1.0, word_share * tokens)].sum())
+    least = max(LEAST, math.ceil(gram_share * tokens))
+    buckets = max(1, math.ceil(tokens / bucket_tokens))
+    base = Base(np.cumsum(many) - many, n, tokens, distinct, texts, often, least, buckets, max(1, bucket_tokens // 4))
+    shared = spark.sparkContext.broadcast(base)
+
+    def number(here: pa.Table, known: pa.Table) -> pa.Table:
+        ids = np.empty(known.num_rows, np.int64)
+        ids[known.column("place").to_numpy()] = known.column("id").to_numpy()
+        tokens = ids[unpack(here.column("tokens")[0].as_py())]
+        return here.set_column(here.schema.get_field_index("tokens"), "tokens", pa.array([pack(tokens)], pa.binary()))
+
+    known = asked.select("block", "place", "word").join(counts.select("word", "id"), "word", "left")
+    known = known.select("block", "place", F.coalesce("id", F.lit(-1)).alias("id"))
+    blocks = read.select("block", "doc_id", "held_out", "sizes", "tokens")
+    blocks = cut(blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(number, _BLOCK))
+
+    def block_of(here) -> Block:
+        trained = np.array([x is False for x in here.column("held_out")[0].as_py()], np.float64)
+        return Block(unpack(here.column("tokens")[0].as_py()), unpack(here.column("sizes")[0].as_py()), trained)
+
+    def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist()):
-                asked.setdefault(k, {END}).update(words(text))
-        for k, found in asked.items():
-            yield pa.record_batch([pa.array([k] * len(found), pa.int32()), pa.array(list(found), pa.binary())], ["block", "word"])
-
-    def answer(here: pa.Table, known: pa.Table) -> pa.Table:
-        m: Automaton = model.value
-        place = {w: i for i, w in enumerate(known.column("word").to_pylist())}
-        n = known.column("n").to_numpy()
-        base = m.unigram(n)
-        ids = np.fromiter((m.ids.get(w, -1) for w in place), np.int64, len(place))
-        texts = [words(t) + [END] for t in here.column("text").to_pylist()]
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        first = np.cumsum(sizes) - sizes
-        at = np.fromiter((place[w] for t in texts for w in t), np.int64, int(sizes.sum()))
-        del texts
+            for i in range(batch.num_rows):
+                here = batch.slice(i, 1)
+                block = block_of(here)
+                two, at = block.pairs(shared.value)
+                yield from two.rows(here.column("block")[0].as_py(), block.times(shared.value, two, at)).to_batches(1024)
+
+    pairs = answered(blocks.mapInArrow(ask_pairs, _ddl(_ASK)), shared, 2)
+    spread2 = spark.sparkContext.broadcast(spread_sums(pairs))
+    pairs = pairs.where(F.col("block").isNotNull()).select("block", F.lit(2).alias("size"), "bucket", "n", "taken", "lower")
+
+    def ask_triples(here: pa.Table, told: pa.Table) -> pa.Table:
+        m, block = shared.value, block_of(here)
+        two, at = block.pairs(m)
+        three, at3, low = block.triples(m, two, at, two.read(m, told, spread2.value)[0])
+        return three.rows(here.column("block")[0].as_py(), block.times(m, three, at3), low[three.order])
+
+    asks = blocks.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(ask_triples, _ddl(_ASK))
+    triples = answered(asks, shared, 3)
+    spread3 = spark.sparkContext.broadcast(spread_sums(triples))
+    triples = triples.where(F.col("block").isNotNull()).select("block", F.lit(3).alias("size"), "bucket", "n", "taken", "lower")
+
+    def answer(here: pa.Table, told: pa.Table) -> pa.Table:
+        m, block = shared.value, block_of(here)
+        size = told.column("size").to_numpy()
+        two, at = block.pairs(m)
+        told2 = two.read(m, told.filter(pa.array(size == 2)), spread2.value)
+        three, at3, _ = block.triples(m, two, at, told2[0])
+        told3 = three.read(m, told.filter(pa.array(size == 3)), spread3.value)
+        logs = block.score(m, two, at, told2, three, at3, told3)
+        sums = [np.add.reduceat(x, block.first) for x in ((block.ids >= 0).astype(np.int64), np.log10(m.unigram(block.ids)), logs)]
         return pa.table(
             [
-                here.column("doc_id"),
-                here.column("held_out"),
-                pa.array(sizes),
-                pa.array(np.add.reduceat((n > 0)[at].astype(np.int64), first)),
-                pa.array(np.full(len(sizes), m.tokens, np.int64)),
-                pa.array(np.add.reduceat(base[at], first)),
-                pa.array(m.traverse(ids[at], base[at], first, sizes)),
+                pa.array(here.column("doc_id")[0].as_py(), pa.int64()),
+                pa.array(here.column("held_out")[0].as_py(), pa.bool_()),
+                pa.array(block.sizes),
+                pa.array(sums[0]),
+                pa.array(np.full(len(block.sizes), m.tokens, np.int64)),
+                pa.array(sums[1]),
+                pa.array(sums[2]),
             ],
             schema=_OUT,
         )
 
-    asked = dealt.mapInArrow(ask, "block int, word binary")
-    known = asked.join(counts, "word", "left").select("block", "word", F.coalesce("n", F.lit(0)).alias("n"))
-    return dealt.groupBy("block").cogroup(known.repartition(blocks, "block").groupBy("block")).applyInArrow(answer, SCHEMA)
+    return blocks.groupBy("block").cogroup(pairs.union(triples).groupBy("block")).applyInArrow(answer, SCHEMA)

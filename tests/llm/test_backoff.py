@@ -109,3 +109,18 @@ def test_traverse_orders_and_lengths():
     whole = a.traverse(word, base, np.array([0, 3]), np.array([3, 2]))
     assert whole[0] == pytest.approx(a.traverse(word[:3], base[:3], np.array([0]), np.array([3]))[0])
     assert whole[1] == pytest.approx(a.traverse(word[3:], base[3:], np.array([0]), np.array([2]))[0])
+
+
+def test_the_whole_model_by_default(spark):
+    """Rare words stand in n-grams, and an n-gram seen twice is kept, however many tokens there are."""
+    rare = "one rare phrase here"
+    texts = [*corpus(3, 40), rare, f"{rare} too", *["filler words again"] * 5000, f"so {rare} stands"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    naive = Naive(texts[:-1], 0, 0)
+    assert 2 < 1e-4 * naive.N
+    for bucket_tokens in (1 << 20, 400):
+        rows = backoff.score(df, F.col("doc_id") == len(texts) - 1, block_bytes=4000, bucket_tokens=bucket_tokens).collect()
+        by = {r["doc_id"]: r["score"] for r in rows}
+        assert len(rows) == len(texts)
+        for i in (*range(42), 100, len(texts) - 1):
+            assert by[i] == pytest.approx(naive.score(texts[i])), (bucket_tokens, i)
