@@ -4,7 +4,8 @@ Detected values are taken to a canonical form (digits of a phone number, lower c
 each canonical value gets one surrogate: a keyed hash spelled out in the value's own alphabet, so that all mentions
 of a value, however written, get the same one. Names follow the title's gender and the script they are written in;
 card numbers keep the Luhn check. A surrogate that another value has, or that is itself a value of the data, is
-drawn again, so different values stay different and no real one comes back.
+drawn again, so different values stay different and no real one comes back. Where a form has no room, later draws widen
+it: names, secrets and addresses get longer, and forms of fixed length give way to the type with a keyed hash.
 
 All of it is DataFrame functions. Texts without any sign of personal data pass by untouched; of the others only the
 found values are shuffled, and one row for each value is checked for collisions.
@@ -43,8 +44,14 @@ _ALPHABETS = {
     "cyrillic": ("бвгдзклмнпрстж", "аеиоу", "а", "нрлк"),
     "greek": ("βγδζθκλμνπρστφ", "αεηιο", "α", "ςνρς"),
 }
-#: Draws at most; each leaves only clashes, so more than a few say that a type has no room.
+#: Draws that keep a form's length; each one after them widens names, secrets and addresses.
+TIGHT = 4
+#: Draws that keep a form of fixed length; after them, the type with a hash of 160 bits stands for the value.
+FORMED = 20
+#: Draws at most. The wider forms have room for any number of values, so this is not reached.
 DRAWS = 40
+_SYMBOLS = "*#$%&+=~^_"
+_WIDE = "^(email|secret|given|surname)"
 
 
 def found_in(text: Column) -> Column:
@@ -109,26 +116,38 @@ def _pick(chars: str, n: Column) -> Column:
     return F.substr(F.lit(chars), n % len(chars) + 1, F.lit(1))
 
 
-def _shaped(text: Column, stream: Column, letters: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
-    """``text`` with ASCII letters and digits replaced, each by one of its sort."""
+def _shaped(text: Column, stream: Column, letters: str = "abcdefghijklmnopqrstuvwxyz", parted: Column | None = None) -> Column:
+    """``text`` with ASCII letters and digits replaced, each by one of its sort.
+
+    With ``parted`` all other characters are replaced too, but for the marks ``-._`` where it holds.
+    """
 
     def one(ch: Column, i: Column) -> Column:
         n = _number(stream, i)
-        return (
+        out = (
             F.when(ch.between("0", "9"), _pick("0123456789", n))
             .when(ch.between("a", "z"), _pick(letters, n))
             .when(ch.between("A", "Z"), _pick(letters.upper(), n))
-            .otherwise(ch)
         )
+        if parted is None:
+            return out.otherwise(ch)
+        for script in ("cyrillic", "greek"):
+            hard, soft, _, _ = _ALPHABETS[script]
+            of_script = ch.rlike(rf"\p{{Is{script.title()}}}")
+            out = out.when(of_script & (ch != F.lower(ch)), _pick((hard + soft).upper(), n)).when(of_script, _pick(hard + soft, n))
+        out = out.when(parted & ch.isin("-", ".", "_"), ch)
+        return out.when(ch <= "\x7f", _pick(_SYMBOLS, n)).otherwise(_pick(letters, n))
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
-def _spelled(stream: Column, kind: Column, syllables: int, end: bool) -> Column:
-    """A name of syllables in the script that ``kind`` ends with; given names end by gender."""
+def _spelled(stream: Column, kind: Column, syllables: int, end: bool, more: Column) -> Column:
+    """A name of syllables, and ``more`` of them, in the script that ``kind`` ends with; given names end by gender."""
     out = F.lit(None).cast("string")
     for script, (hard, soft, she, he) in _ALPHABETS.items():
         parts = [x for k in range(syllables) for x in (_pick(hard, _number(stream, F.lit(2 * k))), _pick(soft, _number(stream, F.lit(2 * k + 1))))]
+        further = lambda k: F.concat(_pick(hard, _number(stream, 2 * k + 41)), _pick(soft, _number(stream, 2 * k + 42)))  # noqa: B023, E731
+        parts.append(F.when(more > 0, F.array_join(F.transform(F.sequence(F.lit(0), more - 1), further), "")).otherwise(""))
         if end:
             n = _number(stream, F.lit(40))
             woman = F.concat(_pick(hard, n), F.lit(she))
@@ -151,22 +170,30 @@ def _luhn(digits: Column) -> Column:
 
 def drawn(secret: str, kind: Column, canonical: Column, draw: Column) -> Column:
     """The surrogate's canonical form."""
-    s = _stream(secret, kind, canonical, draw)
+    # As items of an array these are worked out once for a value, not for each of its characters.
+    once = F.array(F.struct(_stream(secret, kind, canonical, draw).alias("s"), canonical.rlike(r"[\p{L}\p{N}]").alias("parted")))
+    return F.get(F.transform(once, lambda x: _drawn(kind, canonical, draw, x["s"], x["parted"])), F.lit(0))
+
+
+def _drawn(kind: Column, canonical: Column, draw: Column, s: Column, parted: Column) -> Column:
     digits = _shaped(canonical, s)
+    more = F.greatest(draw - (TIGHT - 1), F.lit(0))
+    longer = F.left(F.reverse(s), 4 * more)
     at = lambda k: _number(s, F.lit(k))
     domain = F.regexp_extract(canonical, r"@(.*)\.[^.]*$", 1)
     return (
-        F.when(kind == "email", F.concat(_shaped(F.substring_index(canonical, "@", 1), s), F.lit("@"), _shaped(domain, F.reverse(s)), F.regexp_extract(canonical, r"\.[^.@]*$", 0)))
+        F.when(~kind.rlike(_WIDE) & (draw >= FORMED), F.concat(kind, F.lit("-"), F.left(s, F.lit(40))))
+        .when(kind == "email", F.concat(_shaped(F.substring_index(canonical, "@", 1), s), longer, F.lit("@"), _shaped(domain, F.reverse(s)), F.regexp_extract(canonical, r"\.[^.@]*$", 0)))
         .when(kind == "phone", F.concat(_pick("23456789", at(0)), F.substr(digits, F.lit(2), F.lit(2)), _pick("23456789", at(3)), F.substr(digits, F.lit(5))))
         .when(kind == "card", _luhn(F.concat(F.left(canonical, F.lit(1)), F.substr(digits, F.lit(2), F.length(canonical) - 2))))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substr(digits, F.lit(2))))
         .when(kind == "ip", F.concat_ws(".", (at(0) % 223 + 1).cast("string"), *((at(k) % 256).cast("string") for k in (1, 2, 3))))
         .when(kind == "key", F.concat(F.left(canonical, F.lit(4)), F.substr(digits, F.lit(5))))
         .when(kind == "iban", F.concat(F.left(canonical, F.lit(2)), F.substr(digits, F.lit(3))))
-        .when(kind.startswith("surname"), _spelled(s, kind, 4, False))
-        .when(kind.startswith("given"), _spelled(s, kind, 2, True))
-        .when(canonical.rlike(r"\A[0-9a-f]+\z"), _shaped(canonical, s, "abcdef"))
-        .otherwise(digits)
+        .when(kind.startswith("surname"), _spelled(s, kind, 4, False, more))
+        .when(kind.startswith("given"), _spelled(s, kind, 2, True, more))
+        .when(canonical.rlike(r"\A[0-9a-f]+\z"), F.concat(_shaped(canonical, s, "abcdef"), longer))
+        .otherwise(F.concat(_shaped(canonical, s, parted=parted), longer))
     )
 
 
@@ -208,7 +235,8 @@ def _rendered(kind: Column, unit: Column, surrogate: Column) -> Column:
     """The surrogate as the unit was written."""
     digits = _only(unit, "0-9")
     return (
-        F.when(kind == "phone", _placed(unit, "0-9", F.concat(F.left(digits, F.greatest(F.length(digits) - 10, F.lit(0))), surrogate)))
+        F.when(surrogate == F.concat(kind, F.lit("-"), F.right(surrogate, F.lit(40))), surrogate)
+        .when(kind == "phone", _placed(unit, "0-9", F.concat(F.left(digits, F.greatest(F.length(digits) - 10, F.lit(0))), surrogate)))
         .when(kind.isin("card", "ssn"), _placed(unit, "0-9", surrogate))
         .when(kind == "iban", _placed(unit, "A-Z0-9", surrogate))
         .when(kind == "email", F.when(unit == F.upper(unit), F.upper(surrogate)).otherwise(surrogate))

@@ -105,3 +105,32 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string")
     plan = surrogates.pseudonymise(df, KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_secrets_without_ascii_letters_or_digits(spark):
+    texts = {1: "password: ********", 2: "token: приветмир", 3: "secret=--------", 4: "pwd=日本語の秘密鍵", 5: "token=a1b2-c3d4"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in surrogates.pseudonymise(df, KEY, count_column="n").collect()}
+    assert len(rows) == 5 and all(r["n"] == 1 for r in rows.values())
+    for i, t in texts.items():
+        label = re.match(".*[:=] ?", t)[0]
+        assert rows[i]["text"].startswith(label) and len(rows[i]["text"]) == len(t) and rows[i]["text"] != t
+    assert not set("日本語の秘密鍵") & set(rows[4]["text"])
+    assert re.fullmatch("token: [а-я]{9}", rows[2]["text"]) and re.fullmatch("token=[a-z0-9]{4}-[a-z0-9]{4}", rows[5]["text"])
+
+
+def test_more_values_than_a_form_has_room_for(spark):
+    """There are 22,500 short given names; addresses without letters have no other of their length."""
+    names = spark.range(24_000).select(F.lit("given he latin").alias("kind"), F.concat(F.lit("name"), F.col("id").cast("string")).alias("canonical"))
+    mails = spark.createDataFrame([("email", "__@--.com"), ("email", "_@-.com")], "kind string, canonical string")
+    rows = surrogates.assign(names.union(mails), KEY).collect()
+    assert len(rows) == 24_002 == len({r["surrogate"] for r in rows})
+    assert all(re.fullmatch("[a-z]+[nrsk]", r["surrogate"]) for r in rows if r["kind"] != "email")
+
+
+def test_full_forms_of_fixed_length_get_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "FORMED", 0)
+    df = spark.createDataFrame(list(TEXTS.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r["text"] for r in surrogates.pseudonymise(df, KEY).collect()}
+    assert re.fullmatch("SSN ssn-[0-9a-f]{40}, IBAN iban-[0-9a-f]{40}[.]", rows[6])
+    assert len(set(re.findall("phone-[0-9a-f]{40}", rows[1]))) == 1 and rows[5] == TEXTS[5]
