@@ -134,3 +134,14 @@ def test_full_forms_of_fixed_length_get_a_hash(spark, monkeypatch):
     rows = {r["doc_id"]: r["text"] for r in surrogates.pseudonymise(df, KEY).collect()}
     assert re.fullmatch("SSN ssn-[0-9a-f]{40}, IBAN iban-[0-9a-f]{40}[.]", rows[6])
     assert len(set(re.findall("phone-[0-9a-f]{40}", rows[1]))) == 1 and rows[5] == TEXTS[5]
+
+
+def test_a_secret_of_any_length_is_replaced_whole(spark):
+    lengths = (256, 257, 258, 400, 5000, 300_000)
+    df = spark.createDataFrame([(n, f"token={'Zq9' * (n // 3)}{'Z' * (n % 3)}.) end") for n in lengths], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in surrogates.pseudonymise(df, KEY, count_column="n").collect()}
+    for n in lengths:
+        assert rows[n]["n"] == 1 and "Zq9Zq9" not in rows[n]["text"]
+        assert re.fullmatch(rf"token=[A-Za-z0-9]{{{n}}}\.\) end", rows[n]["text"])
+    bare = spark.createDataFrame([(1, "token=" + "." * 300_000 + " end")], "doc_id long, text string")
+    assert surrogates.pseudonymise(bare, KEY).first()["text"].endswith(". end")
