@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain, count
 from operator import itemgetter
@@ -44,8 +45,8 @@ _NBEST = pa.list_(
 _COARSE = re.compile(r"\n| *[^ \n]+| +")
 _FINE = re.compile(r"\n| *[^\W_²]+(?=[.,!?;:|\n ]|\Z)| *[^ \n]+| +")
 _NO_PIECE = object()
-#: Longer strings do not go side by side with others.
-_SHORT = 64
+#: Longer strings do not go side by side with others; so many do at once.
+_SHORT, _SIDE_BY_SIDE = 64, 1 << 13
 _SPLIT = re.compile(r"[^\W_²][.,!?;:|]")
 
 
@@ -56,10 +57,11 @@ def _mix(key: np.ndarray, point: np.ndarray) -> np.ndarray:
 
 
 def _hash(text: str) -> int:
-    key = np.zeros(1, np.uint64)
+    key = 0
     for c in text:
-        key = _mix(key, np.array([ord(c)], np.uint64))
-    return int(key[0])
+        key = ((key ^ ord(c)) * 0x9E3779B97F4A7C15) & (1 << 64) - 1
+        key ^= key >> 31
+    return key
 
 
 class Vocabulary:
@@ -79,10 +81,17 @@ class Vocabulary:
         self.byte_cost = min((s for _, s in self.known.values()), default=0.0) - 10
         self.text = {i: p for p, (i, _) in self.known.items()}
         self.text |= {i: chr(b) for i, b in self.byte_of.items() if b < 128}
-        begins = sorted((_hash(p), self.table[p][0][0] if self.table[p] else -1) for p in self.table)
-        self.begins = np.array([h for h, _ in begins], np.uint64)
-        self.begun = np.array([i for _, i in begins], np.int64)
+        #: An open table of what begins a piece, by hash: the first free slot from that of the hash on.
+        self.slots = 1 << (4 * len(self.table)).bit_length()
+        self.begins, self.begun = np.zeros(self.slots, np.uint64), np.full(self.slots, -2, np.int64)
+        for p, found in self.table.items():
+            key = _hash(p)
+            at = key & (self.slots - 1)
+            while self.begun[at] > -2:
+                at = (at + 1) & (self.slots - 1)
+            self.begins[at], self.begun[at] = key, found[0][0] if found else -1
         self.longest = max(map(len, self.known), default=1)
+        self.held: dict[int, tuple[Memo, Memo]] = {}
         self.score_of = np.zeros(1 + max((i for i, _ in self.known.values()), default=0))
         for i, score in self.known.values():
             self.score_of[i] = score
@@ -147,12 +156,27 @@ class Vocabulary:
                 heapq.heappush(queue, (round(best[-1] - g - best[start], 6), start, next(order), g, (ids, path)))
         return out
 
-    def best(self, strings: list[str]) -> Iterator[tuple[str, tuple[tuple[int, ...], float, float]]]:
-        """(string, (best ids, score, what the second path costs)) of different strings, forward side by side.
+    def _begun(self, key: np.ndarray) -> np.ndarray:
+        """The piece of each hash, -1 for what only begins one, -2 for neither."""
+        at = (key & np.uint64(self.slots - 1)).astype(np.int64)
+        out = self.begun[at]
+        wrong = np.flatnonzero((self.begins[at] != key) & (out > -2))
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & (self.slots - 1)
+            out[wrong] = self.begun[at[wrong]]
+            wrong = wrong[(self.begins[at[wrong]] != key[wrong]) & (out[wrong] > -2)]
+        return out
+
+    def best(self, strings: list[str]) -> Iterator[tuple[str, tuple[bytes, float, float]]]:
+        """(string, (best ids as int32, score, what the second path costs)) of different strings.
 
-        Every node keeps the scores of its two best paths. Long strings and those with characters that have no piece
-        go one by one.
+        Some thousand strings go forward side by side; every node keeps the scores of its two best paths. Long strings
+        and those with characters that have no piece go one by one.
         """
+        for at in range(0, len(strings), _SIDE_BY_SIDE):
+            yield from self._best(strings[at : at + _SIDE_BY_SIDE])
+
+    def _best(self, strings: list[str]) -> Iterator[tuple[str, tuple[bytes, float, float]]]:
         short = [s for s in strings if len(s) <= _SHORT]
         for s in strings:
             if len(s) > _SHORT:
@@ -174,9 +198,9 @@ class Vocabulary:
             if not len(live):
                 break
             key = _mix(key, points[live + size - 1])
-            at = np.minimum(np.searchsorted(self.begins, key), len(self.begins) - 1)
-            known = self.begins[at] == key
-            live, key, piece = live[known], key[known], self.begun[at[known]]
+            piece = self._begun(key)
+            known = piece > -2
+            live, key, piece = live[known], key[known], piece[known]
             real = piece >= 0
             edges.append((live[real], np.full(int(real.sum()), size), piece[real]))
         start, size, piece = (np.concatenate(x) for x in zip(*edges)) if edges else [np.zeros(0, np.int64)] * 3
@@ -209,19 +233,24 @@ class Vocabulary:
             now = np.where(open_, came[now], now)
         table = np.array(paths[::-1]).T if paths else np.zeros((len(short), 0), np.int64)
         count_ = (table >= 0).sum(axis=1)
-        flat, upto = table[table >= 0].tolist(), np.cumsum(count_).tolist()
+        flat, upto = table[table >= 0].astype(np.int32).tobytes(), (4 * np.cumsum(count_)).tolist()
         gaps = np.where(reached, best[ends], 0.0) - second[ends]
         a = 0
         for s, ok, b, total, gap in zip(short, reached.tolist(), upto, best[ends].tolist(), gaps.tolist()):
-            yield s, (tuple(flat[a:b]), total, gap) if ok else self._one(s)
+            yield s, (flat[a:b], total, gap) if ok else self._one(s)
             a = b
 
-    def _one(self, text: str) -> tuple[tuple[int, ...], float, float]:
+    def _one(self, text: str) -> tuple[bytes, float, float]:
         found = self.nbest(text, 2)
-        return found[0][1], found[0][0], found[0][0] - found[1][0] if len(found) > 1 else math.inf
+        ids = np.array(found[0][1], np.int32).tobytes()
+        return ids, found[0][0], found[0][0] - found[1][0] if len(found) > 1 else math.inf
+
+    def _proven(self, text: str, found: tuple[bytes, float, float]) -> tuple[bytes, float, float, bool]:
+        """``found`` and whether decoding it gives the text back."""
+        return (*found, self.decode(np.frombuffer(found[0], np.int32).tolist(), 0) == text)
 
-    def decode(self, ids: Sequence[int]) -> str:
-        """The text of ids: pieces, and runs of bytes as UTF-8; the blank put before the text is taken off."""
+    def decode(self, ids: Sequence[int], skip: int = 1) -> str:
+        """The text of ids: pieces, and runs of bytes as UTF-8; the blank put before the text (``skip``) is taken off."""
         try:
             text = "".join(map(self.text.__getitem__, ids))
         except KeyError:
@@ -230,7 +259,7 @@ class Vocabulary:
                 for i in ids
             )
             text = raw.decode("utf-8", "surrogatepass")
-        return text[1:]
+        return text[skip:]
 
 
 def combine(
@@ -282,33 +311,50 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
 
-        memo, more, find = Memo(lambda s: v._one(s), 300_000), Memo(lambda s: v.nbest(s, n), 20_000), v.parts.findall
-        for batch in slices(batches, "text", 4 << 20):
+        find = v.parts.findall
+        # Held in the worker from task to task, as the broadcast vocabulary is.
+        memo, more = v.held.setdefault(n, (Memo(lambda s: v._proven(s, v._one(s)), 150_000), Memo(lambda s: v.nbest(s, n), 10_000)))
+        for batch in slices(batches, "text", 1 << 20):
             texts = batch.column(1).to_pylist()
             found = [find(" " + text) if text else [] for text in texts]
-            memo.fill(set(chain.from_iterable(found)), v.best)
+            # Different strings get numbers; texts are put together from the numbers' ids, scores and gaps.
+            number: defaultdict = defaultdict()
+            number.default_factory = number.__len__
+            ends = np.cumsum([0, *map(len, found)])
+            part = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64, int(ends[-1]))
+            strings = list(number)
+            memo.fill(set(strings), lambda new: ((s, v._proven(s, x)) for s, x in v.best(new)))
+            known = list(map(memo.__getitem__, strings))
+            ids_of = list(map(itemgetter(0), known))
+            score_of = np.fromiter(map(itemgetter(1), known), np.float64, len(known))[part]
+            gap_of = np.fromiter(map(itemgetter(2), known), np.float64, len(known))[part]
+            size_of = np.fromiter(map(len, ids_of), np.int64, len(known))[part] // 4
+            flat = np.frombuffer(b"".join(map(ids_of.__getitem__, part.tolist())), np.int32)
+            upto = np.concatenate([[0], np.cumsum(size_of)])
+            # Bytes of one character never stand in two parts, so a text decodes if its parts do and make it up.
+            wrong = {s for s, x in zip(strings, known) if not x[3]}
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text, strings in zip(batch.column(0).to_pylist(), texts, found):
+            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), texts)):
                 if not text:
-                    row = (doc, 0, None if text is None else 0.0, None if text is None else True, np.zeros(0, np.int32), [])
+                    row = (doc, 0, None if text is None else 0.0, None if text is None else True, flat[:0], [])
                 else:
-                    parts = list(map(memo.__getitem__, strings))
-                    ids = np.fromiter(chain.from_iterable(map(itemgetter(0), parts)), np.int32)
-                    score = math.fsum(map(itemgetter(1), parts))
-                    gaps = np.fromiter(map(itemgetter(2), parts), np.float64, len(parts))
-                    picks, paths = combine(lambda k: _first(more[strings[k]], parts[k][0]), gaps, n)
-                    sizes = np.fromiter(map(len, map(itemgetter(0), parts)), np.int64, len(parts))
-                    starts = np.cumsum(sizes) - sizes
+                    a, b, parts = ends[k], ends[k + 1], found[k]
+                    starts = upto[a:b] - upto[a]
+                    ids = flat[upto[a] : upto[b]]
+                    score = math.fsum(score_of[a:b])
+                    first = lambda i: tuple(ids[starts[i] : starts[i] + size_of[a + i]].tolist())  # noqa: B023, E731
+                    picks, paths = combine(lambda i: _first(more[parts[i]], first(i)), gap_of[a:b], n)  # noqa: B023
                     nbest = []
                     for cost, pick in picks:
                         edits = []
-                        for k, a in sorted(pick.items()):
-                            edits.append({"start": int(starts[k]), "size": int(sizes[k]), "ids": list(paths[k][a][1])})
+                        for i, choice in sorted(pick.items()):
+                            edits.append({"start": int(starts[i]), "size": int(size_of[a + i]), "ids": list(paths[i][choice][1])})
                         nbest.append({"score": score - cost, "edits": edits})
-                    row = (doc, len(ids), score, v.decode(ids.tolist()) == text, ids, nbest)
+                    whole = "".join(parts) == " " + text and not (wrong and wrong.intersection(parts))
+                    row = (doc, len(ids), score, whole, ids, nbest)
                 for column, value in zip(out, row):
                     column.append(value)
-            del found
+            del found, number, strings, known, ids_of, part
             more.trim()
             memo.trim()
             sizes = np.cumsum([0, *map(len, out[4])])
