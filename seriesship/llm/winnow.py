@@ -33,8 +33,11 @@ def count_words(text: Column) -> Column:
 
 
 def _folded(text: Column) -> Column:
-    """Words in full lower case: equal words stay equal and, unlike with translate, it is fast. For hashes only."""
-    return F.array_remove(F.split(F.coalesce(F.lower(text), F.lit("")), _GAP), "")
+    """Words in full lower case, for hashes only: equal words stay equal and, unlike with translate, it is fast.
+
+    Each word is folded by itself: the lower case of some letters, as the sigma, depends on what stands beside them.
+    """
+    return F.transform(F.array_remove(F.split(F.coalesce(text, F.lit("")), _GAP_CASED), ""), F.lower)
 
 
 def _grams(found: Column, size: int) -> Column:
@@ -80,7 +83,8 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
 def spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Shared windows: (_doc, _text hash, row of the item, item_id, first word, words) of all ``docs``, each once."""
     items = _items(benchmark)
-    n_items = items.count()
+    # As a row an item takes its text and a few bytes for each word.
+    item_bytes = items.agg(F.coalesce(F.sum(F.octet_length("text") + 24 * F.size("item") + 64), F.lit(0))).first()[0]
     short = sorted(r[0] for r in items.where(F.col("window") < WINDOW).select("window").distinct().collect())
     long_ = F.col("window") == WINDOW
     laid = _prepared(items, short)
@@ -92,24 +96,21 @@ def spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     known = small(known, known.count(), 16)
 
     own = _prepared(_key(docs), short).select("_doc", "_text", F.explode_outer(_fingerprints(docs, short)).alias("print"))
-    hits = cut(own.join(known, "print").groupBy("_doc", "_text").agg(F.collect_set("print").alias("prints")))
-    n_hits, prints_held = hits.agg(F.count("*"), F.coalesce(F.sum(F.size("prints")), F.lit(0))).first()
-    few = small(hits.withColumnsRenamed({"_doc": "_hit_doc", "_text": "_hit_text"}), n_hits + prints_held, 40)
+    hits = cut(own.join(known, "print").select("_doc", "_text").distinct())
+    few = small(hits.withColumnsRenamed({"_doc": "_hit_doc", "_text": "_hit_text"}), hits.count(), 48)
 
     keyed = _key(docs)
     hit = keyed["_doc"].eqNullSafe(few["_hit_doc"]) & (keyed["_text"] == few["_hit_text"])
-    texts = cut(keyed.join(few, hit).select("_doc", "_text", "text", "prints").dropDuplicates(["_doc", "_text"]))
-
-    # Where each fingerprint stands, in documents and in items; a hit lays the item from word ``at`` on.
-    def places(df: DataFrame, k: int, keep: Column) -> Column:
-        at = F.transform(F.col(f"g{k}"), lambda x, i: F.struct(x.alias("print"), i.cast("long").alias("place")))
-        return F.filter(at, lambda s: F.array_contains(keep, s["print"]))
-
-    sizes = [GRAM, *(k for k in short if k != GRAM)]
-    doc_at = _prepared(texts, short).select("_doc", "_text", F.inline(F.concat(*(places(texts, k, F.col("prints")) for k in sizes))))
-    item_prints = prints.groupBy("row").agg(F.collect_set("print").alias("prints"))
-    item_at = _prepared(items.join(small(item_prints, n_items, 4096), "row"), short)
-    item_at = item_at.select("row", "window", F.size("item").alias("size"), F.inline(F.concat(*(places(items, k, F.col("prints")) for k in sizes))))
+    texts = cut(keyed.join(few, hit).select("_doc", "_text", "text").dropDuplicates(["_doc", "_text"]))
+
+    # Where each gram stands, in documents with a hit and in items; a common one lays the item from word ``at`` on.
+    def places(k: int) -> Column:
+        return F.transform(F.col(f"g{k}"), lambda x, i: F.struct(x.alias("print"), i.cast("long").alias("place")))
+
+    placed = F.inline(F.concat(*(places(k) for k in (GRAM, *(k for k in short if k != GRAM)))))
+    doc_at = _prepared(texts, short).select("_doc", "_text", placed)
+    item_at = _prepared(items, short).select("row", "window", F.size("item").alias("size"), placed)
+    item_at = item_at.join(prints.select("row", "print"), ["row", "print"])
     item_at = cut(item_at.select("row", "window", "size", "print", F.col("place").alias("from")))
     item_at = small(item_at, item_at.count(), 48)
     laid = doc_at.join(item_at, "print").select("_doc", "_text", F.struct("row", "window", "size", (F.col("place") - F.col("from")).alias("at")).alias("lay"))
@@ -127,7 +128,7 @@ def spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
 
     under = whole.select("_doc", "_text", F.inline(F.transform("lays", stretch)))
-    item = small(items.select("row", "item_id", "item"), n_items, 8192)
+    item = small(items.select("row", "item_id", "item"), item_bytes, 1)
     under = under.join(item, "row").where(F.size("under") >= F.col("window"))
     starts = F.sequence(F.lit(0), F.size("under") - F.col("window"))
     equal = F.filter(

@@ -60,6 +60,28 @@ def test_odd_rows_and_items(spark):
     assert cases.ids(out.collect()) == cases.EXPECTED_IDS
 
 
+def test_words_fold_by_themselves(spark):
+    """Lower case of a sigma depends on what follows the word; the words are the same all the same."""
+    greek = [("ΟΔΟΣ", ".", "ΑΣ"), ("ΟΔΟΣ", " ", "ΑΣ"), ("οδος", "-", "ΑΣ")]
+    tail = " Α Β Γ Δ Ε Ζ Η Θ Ι Κ Λ Μ"
+    compare(spark, [(i, a + gap + b + tail) for i, (a, gap, b) in enumerate(greek)], [(1, "ΟΔΟΣ ΑΣ" + tail)])
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_mixed_case_of_many_scripts(spark, seed):
+    rng = random.Random(seed)
+    letters = "aAbBßẞſKkİıΣσςΆάДдǅǆﬁÉéÀà"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(1, 3)))
+    items = [(i, " ".join(word() for _ in range(rng.randint(1, 40)))) for i in range(12)]
+    docs = []
+    for i in range(40):
+        part = rng.choice(items)[1].split()
+        own = [word() for _ in range(rng.randint(0, 15))]
+        docs.append((i, "".join(w + rng.choice([" ", ".", ", ", "-"]) for w in own + part + own)))
+    docs += [(100 + i, t.swapcase()) for i, t in docs] + [(200 + i, t.lower()) for i, t in docs]
+    compare(spark, docs, items)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert winnow.contamination(cases.empty(spark), none).count() == 0
