@@ -82,22 +82,22 @@ def assign_batches(
     """Add ``batch_no`` to series. Limits of zero or less take the defaults.
 
     ``atomic='family'`` keeps all rows with the same order value together, ``'series'`` checks after every
-    row. Only (key, order, count, bytes) takes part in the ordered work; the labels themselves meet the
-    result in one sort-merge join, whose keys are spread evenly.
+    row; of series with the same key and order value, which a list of series cannot have, none is lost and all
+    stay together. Null keys, and null order values, count as one value that comes first. Only (key, order,
+    count, bytes) takes part in the ordered work; the labels themselves meet the result in one sort-merge join,
+    whose keys are spread evenly.
     """
     order = [order] if isinstance(order, str) else list(order)
     samples = F.col("samples") if "samples" in series.columns else None
     sized = series.select(key, *order, series_bytes(F.col("labels"), samples).alias("bytes"))
-    if atomic == "family":
-        units = sized.groupBy(key, *order).agg(
-            F.count("*").alias("n"), F.sum("bytes").alias("b")
-        )
-    else:
-        units = sized.select(key, *order, F.lit(1).alias("n"), F.col("bytes").alias("b"))
+    if atomic not in ("family", "series"):
+        raise ValueError(f"unknown unit: {atomic!r}")
+    units = sized.groupBy(key, *order).agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
     numbered = batch_numbers(units, key, order, max_series, max_bytes, partitions, fan)
     # Planning cannot tell how large generated series are, so neither side may be taken for a small one.
-    numbers = numbered.select(key, *order, "batch_no").hint("merge")
-    return series.join(numbers, [key, *order])
+    numbers = numbered.select(*[F.col(c).alias(f"_{c}") for c in (key, *order)], "batch_no").hint("merge")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (key, *order)]
+    return series.join(numbers, same).select(*[F.col(f"`{c}`") for c in series.columns], "batch_no")
 
 
 def batch_stats(batched: DataFrame, key: str = "push_key", order: str = "family_ord") -> DataFrame:

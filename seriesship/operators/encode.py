@@ -48,10 +48,12 @@ def encode_batches(
         def finish():
             raw = b"".join(held)
             row = [current[0], current[1], len(held), len(raw), wire.compress(raw)]
-            return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=names)
+            types = [key_type, pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         names = [key, "batch_no", "n_series", "raw_bytes", "body"]
         for batch in batches:
+            key_type = batch.schema.field(0).type
             cols = [batch.column(i).to_pylist() for i in range(5)]
             for k, no, labels, values, stamps in zip(*cols):
                 if (k, no) != current:

@@ -91,7 +91,7 @@ def split_ordered(
     stats: dict[str, Column] | None = None,
     partitions: int | None = None,
 ) -> Split:
-    """Sort rows by (key, order) over the cluster. The order must be unique in each key, keys not null.
+    """Sort rows by (key, order) over the cluster. The order must be unique in each key; a null key is one of its own.
 
     The checkpoint fixes which partition a row is in, so that later passes, and tasks run again after an
     executor is lost, see the same split. What comes back to the driver is one row per partition. Should the
@@ -109,6 +109,7 @@ def split_ordered(
         .agg(
             F.min(key).alias("first"),
             F.max(key).alias("last"),
+            F.count(key).alias("known"),
             F.count("*").alias("rows"),
             *[c.alias(name) for name, c in stats.items()],
         )
@@ -121,9 +122,11 @@ def split_ordered(
         return split_ordered(df, key, order, stats, wanted)
     parts: list[Part] = []
     for r in sorted(rows, key=lambda r: r["part"]):
-        continues = bool(parts) and parts[-1].last == r["first"]
+        # Nulls come first in the order and are left out by min and max.
+        first = r["first"] if r["known"] == r["rows"] else None
+        continues = bool(parts) and parts[-1].last == first
         own = {name: r[name] for name in stats}
-        parts.append(Part(r["part"], r["first"], r["last"], r["rows"], own, continues))
+        parts.append(Part(r["part"], first, r["last"], r["rows"], own, continues))
     return Split(fixed, key, parts)
 
 
@@ -138,7 +141,9 @@ def run_starts(keys: pa.ChunkedArray) -> np.ndarray:
     a = keys.combine_chunks() if isinstance(keys, pa.ChunkedArray) else keys
     if len(a) < 2:
         return np.zeros(1, dtype=np.int64)
-    change = pc.not_equal(a.slice(1), a.slice(0, len(a) - 1)).to_numpy(zero_copy_only=False)
+    now, before = a.slice(1), a.slice(0, len(a) - 1)
+    change = pc.fill_null(pc.not_equal(now, before), False)
+    change = pc.or_(change, pc.xor(pc.is_null(now), pc.is_null(before))).to_numpy(zero_copy_only=False)
     return np.concatenate([[0], np.flatnonzero(change) + 1]).astype(np.int64)
 
 

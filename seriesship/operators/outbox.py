@@ -69,6 +69,7 @@ def admit(
 ) -> DataFrame:
     """Admission in arrival order: (key, order, ``accepted``, ``accept_no``).
 
+    The order must be unique in a queue; a null queue is one of its own.
     ``accept_no`` counts accepted records of a queue from 1. ``pending`` gives bytes already waiting as
     (key, pending_bytes); a limit of zero or less accepts everything.
 
@@ -82,10 +83,9 @@ def admit(
     if pending is None:
         rows = rows.withColumn("pending", F.lit(0).cast("bigint"))
     else:
-        waiting = pending.select(key, F.col("pending_bytes").cast("bigint").alias("pending"))
-        rows = rows.join(waiting, key, "left").withColumn(
-            "pending", F.coalesce("pending", F.lit(0).cast("bigint"))
-        )
+        waiting = pending.select(F.col(key).alias("_key"), F.col("pending_bytes").cast("bigint").alias("pending"))
+        rows = rows.join(waiting, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+        rows = rows.withColumn("pending", F.coalesce("pending", F.lit(0).cast("bigint")))
     stats = {"bytes": F.sum("size"), "smallest": F.min("size")}
     split = split_ordered(rows, key, order, stats, partitions)
     carried, feeding = split.carried(), split.feeding()
@@ -295,7 +295,7 @@ def with_record_ids(
 
 #: Writers name folders.
 WRITER = re.compile(r"[A-Za-z0-9_.-]+")
-OVER_BUDGET, FORBIDDEN = "over budget", "forbidden header"
+OVER_BUDGET, FORBIDDEN, NO_QUEUE = "over budget", "forbidden header", "no queue"
 RECORDS = (
     "record_id bigint, queue string, tenant_id string, body binary, content_type string, "
     "content_encoding string, protocol_version string, headers map<string,array<string>>, "
@@ -313,6 +313,22 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
+#: Stands for a null order value.
+NULL_FIRST = -(1 << 63)
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """All columns, maps as sorted lists of their entries."""
+    names = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    return [F.array_sort(F.map_entries(f"`{c}`")) if t == "map" else F.col(f"`{c}`") for c, t in names.items()]
+
+
+def digest(rows: DataFrame) -> tuple[int, str]:
+    """What a set of rows is known by: their number, and the sum of the hashes of all their columns."""
+    total = F.coalesce(F.sum(F.xxhash64(*_hashable(rows)).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return tuple(rows.agg(F.count("*"), total).first())
+
+
 class Outbox:
     """An outbox stored as append-only Parquet tables under one folder."""
 
@@ -365,42 +381,50 @@ class Outbox:
         order: tuple[str, ...] = ("arrival_ms", "request_id"),
         writer: str = "main",
         refused: DataFrame | None = None,
+        given: tuple[int, str] | None = None,
     ) -> None:
         """Store the requests that fit the budget, and all others as rejected.
 
-        ``refused`` has further requests with a ``reason``, which are not taken in any case. A repeated epoch of a
-        writer changes nothing; one with other requests raises ``ValueError``.
+        ``refused`` has further requests with a ``reason``, which are not taken in any case; a request without a
+        queue joins them. Requests equal in queue and order are records of their own, in the order of their hashes;
+        null order values come first. A repeated epoch of a writer changes nothing; one with other requests raises
+        ``ValueError``. What an epoch is known by is the :func:`digest` of its requests, or ``given``, that of what
+        they were made from, where making them again gives others (with another clock).
         """
         if not WRITER.fullmatch(writer) or writer == DRAINS:
             raise ValueError(f"not a writer's name: {writer!r}")
-        given = self._digest(requests, order)
+        given = given or digest(requests)
         known = self._stored("epochs", EPOCHS).where((F.col("writer") == writer) & (F.col("epoch") == epoch_id))
         before = known.select(*_names(EPOCHS)).first()
         if before is not None:
             if tuple(before) != given:
                 raise ValueError(f"epoch {epoch_id} of writer {writer!r} was stored with other requests")
             return
+        # ``tie`` counts requests equal in queue and order. Their bodies are dealt out by these keys once: ids come
+        # back as a list for each, so that one join tells what is taken and what is not.
+        keys = ["queue", *[f"_order{i}" for i in range(len(order))]]
+        first = {f"_order{i}": F.coalesce(F.col(c).cast("bigint"), F.lit(NULL_FIRST)) for i, c in enumerate(order)}
+        spread = requests.where("queue is not null").withColumns(first)
+        row = F.xxhash64(*_hashable(requests))
+        tied = W.partitionBy(*keys).orderBy(row, "size_bytes")
+        spread = spread.withColumn("tie", F.row_number().over(tied))
         mine = self.records()
         gone = self.finished().select("queue", "record_id")
         left = mine.select("queue", "record_id", "size_bytes").join(gone, ["queue", "record_id"], "left_anti")
-        flags = admit(requests, "queue", list(order), max_pending_bytes, pending=pending(left))
-        accepted = with_record_ids(flags.where("accepted"), next_ids(mine))
-        kept = requests.join(accepted.select("queue", *order, "record_id"), ["queue", *order])
-        self._write(kept.select(*_names(RECORDS)), "records", writer, epoch_id)
-        over = requests.join(flags.where("accepted").select("queue", *order), ["queue", *order], "left_anti")
-        over = over.withColumn("reason", F.lit(OVER_BUDGET))
+        flags = admit(spread.select(*keys, "tie", "size_bytes"), "queue", [*keys[1:], "tie"], max_pending_bytes, pending=pending(left))
+        ids = with_record_ids(flags, next_ids(mine)).groupBy(*keys)
+        ids = ids.agg(F.array_sort(F.collect_list(F.struct("tie", "record_id"))).alias("ids"))
+        told = spread.join(ids, keys).withColumn("record_id", F.get("ids", F.col("tie") - 1)["record_id"]).persist()
+        self._write(told.where("record_id is not null").select(*_names(RECORDS)), "records", writer, epoch_id)
+        over = told.where("record_id is null").withColumn("reason", F.lit(OVER_BUDGET)).select(*_names(REJECTED))
+        lost = requests.where("queue is null").withColumn("reason", F.lit(NO_QUEUE)).select(*_names(REJECTED))
+        over = over.unionByName(lost)
         if refused is not None:
-            over = over.select(*_names(REJECTED)).unionByName(refused.select(*_names(REJECTED)))
-        self._write(over.select(*_names(REJECTED)), "rejected", writer, epoch_id)
+            over = over.unionByName(refused.select(*_names(REJECTED)))
+        self._write(over, "rejected", writer, epoch_id)
+        told.unpersist()
         self._write(self.spark.createDataFrame([given], EPOCHS), "epochs", writer, epoch_id)
 
-    @staticmethod
-    def _digest(requests: DataFrame, order: tuple[str, ...]) -> tuple[int, str]:
-        """What a set of requests is known by: their number, and the sum of their hashes."""
-        what = F.xxhash64("queue", "tenant_id", "body", "content_type", "content_encoding", *order)
-        total = F.coalesce(F.sum(what.cast("decimal(38,0)")), F.lit(0)).cast("string")
-        return tuple(requests.agg(F.count("*"), total).first())
-
     def waiting(self, without: tuple[str, int] | None = None) -> DataFrame:
         """Records still to deliver and when each is due, not counting one drain's own rows.
 

@@ -61,6 +61,10 @@ def url_problem(url: Column) -> Column:
     return let(parts, judge)
 
 
+#: Why a request whose queue no route names is refused.
+NO_ROUTE = "no route"
+
+
 def validate_routes(df: DataFrame, url: str = "url") -> tuple[DataFrame, DataFrame]:
     """Usable routes, and the others with a ``reason``."""
     checked = df.withColumn("reason", url_problem(F.col(url)))
@@ -73,14 +77,23 @@ def route_url(template: Column, tenant: Column) -> Column:
 
 
 def route(df: DataFrame, template: str | DataFrame, key: str = "queue") -> DataFrame:
-    """Add ``url`` from one template, or from a table of templates by key."""
+    """Add ``url`` from one template, or from a table of templates by key.
+
+    Every row stays: one whose key has no template, or is null, has a null ``url``. :func:`split_routed` parts them.
+    """
     if isinstance(template, str):
         return df.withColumn("url", route_url(F.lit(template), F.col("tenant_id")))
     # Spark broadcasts the routes if their size allows and joins by shuffle otherwise.
-    joined = df.join(template.withColumnRenamed("url", "template"), key)
+    joined = df.join(template.withColumnRenamed("url", "template"), key, "left")
     return joined.withColumn("url", route_url(F.col("template"), F.col("tenant_id"))).drop("template")
 
 
+def split_routed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests with a ``url``, and the others without that column but with a ``reason``."""
+    lost = df.where("url is null").drop("url").withColumn("reason", F.lit(NO_ROUTE))
+    return df.where("url is not null"), lost
+
+
 def reserved_header(headers: Column, cfg: ClientConfig) -> Column:
     """Whether any header is one the client sets itself, in any spelling."""
     names = list(PROTOCOL_HEADERS)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from seriesship.config import ClientConfig, PushConfig, RetryPolicy
 from seriesship.operators.encode import with_body_error
 from seriesship.operators.deliver import Transport, deliver
-from seriesship.operators.outbox import DRAINS, FORBIDDEN, Outbox, drain_slice
+from seriesship.operators.outbox import DRAINS, FORBIDDEN, Outbox, digest, drain_slice
 from seriesship.operators.requests import canonical_headers, record_size, split_reserved, with_defaults
 from seriesship.plans.push import push
 
@@ -36,13 +36,17 @@ def enqueue(
     client: ClientConfig,
     max_pending_bytes: int = 0,
     writer: str = "main",
+    given: tuple[int, str] | None = None,
 ) -> None:
-    """Requests into the outbox. Those with forbidden headers, like those that don't fit, go to its rejected table."""
+    """Requests into the outbox. Those with forbidden headers, like those that don't fit, go to its rejected table.
+
+    ``given`` is the digest of what the requests were made from, if that is what a repeated epoch is told by.
+    """
     allowed, forbidden = split_reserved(requests, client)
     # Admission looks at sizes first and takes the bodies later, so they are kept, not made twice.
     sized = record_size(canonical_headers(with_defaults(allowed, client))).persist()
     refused = record_size(forbidden).withColumn("reason", F.lit(FORBIDDEN))
-    outbox.append(sized, epoch_id, max_pending_bytes, writer=writer, refused=refused)
+    outbox.append(sized, epoch_id, max_pending_bytes, writer=writer, refused=refused, given=given)
     sized.unpersist()
 
 
@@ -58,12 +62,13 @@ def stream_push(
 
     The batch plan runs on each micro-batch, so a hot queue is split as in batch work; the state between
     micro-batches is the outbox itself. Start it with a checkpoint location, and give every stream into an outbox,
-    also one that starts anew without its old checkpoint, a ``writer`` name of its own.
+    also one that starts anew without its old checkpoint, a ``writer`` name of its own. A micro-batch that comes
+    again after a crash is known by its metrics, whatever the clock says by then.
     """
     client = client or ClientConfig()
 
     def one(batch: DataFrame, epoch_id: int) -> None:
-        enqueue(outbox, to_requests(push(batch, cfg)), epoch_id, client, max_pending_bytes, writer)
+        enqueue(outbox, to_requests(push(batch, cfg)), epoch_id, client, max_pending_bytes, writer, digest(batch))
 
     return metrics.writeStream.foreachBatch(one)
 

@@ -193,3 +193,48 @@ def test_admission_settles_queues_side_by_side(spark):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert jobs(8) <= jobs(2) + 3
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_null_keys_are_one_key(spark, partitions):
+    from seriesship.operators.batching import assign_batches
+    from seriesship.schema import SERIES
+
+    rows = [(k, i, [("__name__", "m")], [(1.0, i)]) for k in (None, "", "k") for i in range(7)]
+    df = spark.createDataFrame(rows, SERIES)
+    out = assign_batches(df, order="ord", max_series=2, atomic="series", partitions=partitions)
+    assert out.columns == [*df.columns, "batch_no"]
+    got = sorted((str(r.push_key), r.ord, r.batch_no) for r in out.collect())
+    assert got == sorted((str(k), i, i // 2) for k in (None, "", "k") for i in range(7))
+
+
+def test_repeated_order_values_multiply_nothing(spark):
+    from seriesship.operators.batching import assign_batches
+    from seriesship.schema import SERIES
+
+    rows = [("k", o, [("__name__", f"m{n}")], [(1.0, 1)]) for n, o in enumerate([0, 1, 1, 1, 2, None, None])]
+    out = assign_batches(spark.createDataFrame(rows, SERIES), order="ord", max_series=2, atomic="series").collect()
+    assert sorted(r.labels[0].value for r in out) == [f"m{n}" for n in range(7)]
+    assert sorted((r.ord is not None, r.ord or 0, r.batch_no) for r in out) == [
+        (False, 0, 0), (False, 0, 0), (True, 0, 1), (True, 1, 1), (True, 1, 1), (True, 1, 1), (True, 2, 2),
+    ]
+
+
+def test_null_keys_reach_a_body(spark):
+    from seriesship.operators.encode import encode_batches
+
+    rows = [(k, 0, i, [("__name__", "m")], [(1.0, i)]) for k in (None, "k") for i in range(3)]
+    schema = "push_key string, batch_no bigint, ord bigint, labels array<struct<name:string,value:string>>, samples array<struct<value:double,timestamp:bigint>>"
+    out = encode_batches(spark.createDataFrame(rows, schema), order="ord").collect()
+    assert sorted((str(r.push_key), r.n_series) for r in out) == [("None", 3), ("k", 3)]
+
+
+def test_null_queues_are_admitted_as_one(spark):
+    from seriesship.operators.outbox import admit
+
+    rows = [(k, i, 10) for k in (None, "q") for i in range(5)]
+    df = spark.createDataFrame(rows, "queue string, request_id bigint, size_bytes bigint")
+    pending = spark.createDataFrame([(None, 10), ("q", 20)], "queue string, pending_bytes bigint")
+    for partitions in (1, 6):
+        got = admit(df, "queue", ["request_id"], 40, pending=pending, partitions=partitions).collect()
+        assert sorted((str(r.queue), r.request_id) for r in got if r.accepted) == [("None", 0), ("None", 1), ("None", 2), ("q", 0), ("q", 1)]

@@ -242,3 +242,56 @@ def test_recovery(spark):
     assert [(r.record_id, r.state, r.next_due_ms) for r in X.recover(df).collect()] == [
         (1, "pending", 0), (2, "pending", 0)
     ]
+
+
+def test_requests_without_queue_are_refused(spark, box):
+    rows = requests(spark, request(1, None, data=b"x"), request(2, "q", data=b"y"), request(3, "q", data=b"z"))
+    enqueue(box, rows, 0, CLIENT, max_pending_bytes=1000)
+    assert ids(box.records()) == [("q", 1), ("q", 2)]
+    assert [(r.body, r.reason) for r in box.rejected().collect()] == [(b"x", X.NO_QUEUE)]
+
+
+def test_repeated_requests_are_records_of_their_own(spark, box):
+    """Equal queue, arrival and id, equal bodies among them; null arrival times and ids come first."""
+    rows = [request(5, at=1, data=bytes([n])) for n in (1, 2, 3, 3)] + [(None, "q", "t", b"n", "", "", "", None, None, None)]
+    enqueue(box, requests(spark, *rows), 0, CLIENT)
+    stored = {r.record_id: r.body for r in box.records().collect()}
+    assert sorted(stored) == [1, 2, 3, 4, 5] and stored[1] == b"n"
+    assert sorted(stored.values()) == [b"\x01", b"\x02", b"\x03", b"\x03", b"n"]
+
+
+def test_repeated_requests_under_a_budget(spark, box):
+    rows = plain(spark, *[(7, 10)] * 6, (8, 10))
+    box.append(rows, 0, 45)
+    assert sorted(r.record_id for r in box.records().collect()) == [1, 2, 3, 4]
+    assert [r.request_id for r in box.rejected().orderBy("request_id").collect()] == [7, 7, 8]
+
+
+def counter(spark):
+    from seriesship.schema import FAMILY_METRICS
+
+    return spark.createDataFrame([("q", 0, 0, "c", "COUNTER", [], None, 1.0, None, None)], FAMILY_METRICS)
+
+
+def test_a_repeated_epoch_without_a_set_clock(spark, box):
+    """A micro-batch comes again after a crash, at another time, and changes nothing; another batch is refused."""
+    from seriesship import PushConfig
+    from seriesship.plans.push import push
+    from seriesship.streaming.intake import to_requests
+
+    batch = counter(spark)
+    for now in (1_000, 2_000):
+        enqueue(box, to_requests(push(batch, PushConfig(now_ms=now))), 0, CLIENT, given=X.digest(batch))
+    assert ids(box.records()) == [("q", 1)]
+    with pytest.raises(ValueError, match="other requests"):
+        other = batch.withColumn("value", F.lit(2.0))
+        enqueue(box, to_requests(push(other, PushConfig())), 0, CLIENT, given=X.digest(other))
+
+
+def test_digest_sees_every_column(spark):
+    base = requests(spark, request(1, headers={"a": ["x"], "b": []}))
+    same = requests(spark, request(1, headers={"b": [], "a": ["x"]}))
+    assert X.digest(base) == X.digest(same)
+    for change in ({"headers": F.create_map(F.lit("a"), F.array(F.lit("y")))}, {"protocol_version": F.lit("2")}, {"size_bytes": F.lit(9)}):
+        assert X.digest(base) != X.digest(base.withColumns(change))
+    assert X.digest(base) != X.digest(base.union(base))

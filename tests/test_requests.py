@@ -119,3 +119,12 @@ def test_record_size(spark):
     fixed = lambda r: 5 + sum(framed(f or "") for f in r[:5]) + 1
     header = framed("X-B") + 1 + framed("z") + framed("1") + framed("é" * 70)
     assert got == [fixed(rows[0]) + header, fixed(rows[1]), fixed(rows[2])]
+
+
+def test_requests_whose_queue_has_no_route_stay(spark):
+    rows = spark.createDataFrame([(1, "a", "x y"), (2, "b", "x"), (3, None, "x")], "id int, queue string, tenant_id string")
+    routes = spark.createDataFrame([("a", "http://a/{tenant}/w"), ("c", "http://c/")], "queue string, url string")
+    routed, lost = Q.split_routed(Q.route(rows, routes))
+    assert [(r.id, r.url) for r in routed.collect()] == [(1, "http://a/x%20y/w")]
+    assert sorted((r.id, r.reason) for r in lost.collect()) == [(2, Q.NO_ROUTE), (3, Q.NO_ROUTE)]
+    assert "url" not in lost.columns
