@@ -60,7 +60,10 @@ class ClientConfig:
 
 @dataclass(frozen=True)
 class PushConfig:
-    """One push: external labels, ordered relabel rules, the push clock and batch limits."""
+    """One push: external labels, ordered relabel rules, the push clock and batch limits.
+
+    ``tenant`` is whom the requests are for (the push key, if null), ``headers`` are sent along with each of them.
+    """
 
     external_labels: dict[str, str] = field(default_factory=dict)
     rules: tuple = ()
@@ -68,3 +71,5 @@ class PushConfig:
     now_ms: int | None = None
     max_series: int = 0
     max_bytes: int = 0
+    tenant: str | None = None
+    headers: dict[str, tuple[str, ...]] = field(default_factory=dict)

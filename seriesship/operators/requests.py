@@ -94,14 +94,19 @@ def split_routed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("url is not null"), lost
 
 
-def reserved_header(headers: Column, cfg: ClientConfig) -> Column:
-    """Whether any header is one the client sets itself, in any spelling."""
+def reserved_names(cfg: ClientConfig) -> list[str]:
+    """Lower-case names of the headers the client sets itself."""
     names = list(PROTOCOL_HEADERS)
     if cfg.bearer_token:
         names.append("Authorization")
     if cfg.tenant_header:
         names.append(cfg.tenant_header)
-    lowered = [n.lower() for n in names]
+    return [n.lower() for n in names]
+
+
+def reserved_header(headers: Column, cfg: ClientConfig) -> Column:
+    """Whether any header is one the client sets itself, in any spelling."""
+    lowered = reserved_names(cfg)
     return F.coalesce(
         F.exists(F.map_keys(headers), lambda k: F.lower(k).isin(lowered)), F.lit(False)
     )

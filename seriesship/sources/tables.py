@@ -48,14 +48,30 @@ def read_requests(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return _read(spark, path, fmt, REQUESTS)
 
 
+def _stream(spark: SparkSession, path: str, fmt: str, schema: str, files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(path)
+
+
 def read_families_stream(
     spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Metrics of snapshot files as they arrive."""
-    reader = spark.readStream.schema(FAMILIES).format(fmt)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return explode_families(reader.load(path))
+    """Metrics of snapshot files, or of commits to a folder of ``metric_families``, as they arrive."""
+    return explode_families(_stream(spark, path, fmt, FAMILIES, files_per_trigger))
+
+
+def read_series_stream(
+    spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None
+) -> DataFrame:
+    return _stream(spark, path, fmt, SERIES, files_per_trigger)
+
+
+def read_requests_stream(
+    spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None
+) -> DataFrame:
+    return _stream(spark, path, fmt, REQUESTS, files_per_trigger)
 
 
 # --- record files left by a spool ------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -11,22 +13,13 @@ from seriesship.operators.encode import with_body_error
 from seriesship.operators.deliver import Transport, deliver
 from seriesship.operators.outbox import DRAINS, FORBIDDEN, Outbox, digest, drain_slice
 from seriesship.operators.requests import canonical_headers, record_size, split_reserved, with_defaults
-from seriesship.plans.push import push
+from seriesship.plans.push import addressed, check_headers, push, push_series
 
 
-def to_requests(encoded: DataFrame, queue: str = "push_key") -> DataFrame:
+def to_requests(encoded: DataFrame, cfg: PushConfig | None = None, queue: str = "push_key") -> DataFrame:
     """Encoded batches as requests of one queue per push, in batch order."""
-    return encoded.select(
-        F.col("batch_no").alias("request_id"),
-        F.col(queue).alias("queue"),
-        F.col(queue).alias("tenant_id"),
-        "body",
-        "content_type",
-        "content_encoding",
-        "protocol_version",
-        F.lit(None).cast("map<string,array<string>>").alias("headers"),
-        F.lit(0).cast("bigint").alias("arrival_ms"),
-    )
+    arrival = F.lit(0).cast("bigint").alias("arrival_ms")
+    return encoded.select(F.col("batch_no").alias("request_id"), *addressed(encoded, cfg, queue), arrival)
 
 
 def enqueue(
@@ -65,12 +58,38 @@ def stream_push(
     also one that starts anew without its old checkpoint, a ``writer`` name of its own. A micro-batch that comes
     again after a crash is known by its metrics, whatever the clock says by then.
     """
+    return _stream_into(metrics, push, outbox, cfg, client, max_pending_bytes, writer)
+
+
+def stream_push_series(
+    series: DataFrame,
+    outbox: Outbox,
+    cfg: PushConfig,
+    client: ClientConfig | None = None,
+    max_pending_bytes: int = 0,
+    writer: str = "main",
+) -> DataStreamWriter:
+    """The same for a stream of ready-made series."""
+    return _stream_into(series, push_series, outbox, cfg, client, max_pending_bytes, writer)
+
+
+def _stream_into(
+    rows: DataFrame,
+    plan: Callable[[DataFrame, PushConfig], DataFrame],
+    outbox: Outbox,
+    cfg: PushConfig,
+    client: ClientConfig | None,
+    max_pending_bytes: int,
+    writer: str,
+) -> DataStreamWriter:
     client = client or ClientConfig()
+    check_headers(cfg, client)
 
     def one(batch: DataFrame, epoch_id: int) -> None:
-        enqueue(outbox, to_requests(push(batch, cfg)), epoch_id, client, max_pending_bytes, writer, digest(batch))
+        requests = to_requests(plan(batch, cfg), cfg)
+        enqueue(outbox, requests, epoch_id, client, max_pending_bytes, writer, digest(batch))
 
-    return metrics.writeStream.foreachBatch(one)
+    return rows.writeStream.foreachBatch(one)
 
 
 def drain(

@@ -415,6 +415,23 @@ SELECT s.push_key, batch_no, count(*) AS n_series, sum({EVENT_WIRE})::BIGINT AS
 FROM numbered s JOIN es_sized d ON d.push_key = s.push_key AND d.ord = s.ord
 GROUP BY s.push_key, batch_no"""
 
+EVENT_BATCHES = f"""{EVENT_SERIES},
+units AS (SELECT push_key, ord, 1 AS n, b FROM es_sized), {greedy("units", 8, 3000)},
+batches AS (
+  SELECT s.push_key AS queue, batch_no + 1 AS record_id, count(*) AS n_series, sum(d.n) AS n_samples
+  FROM numbered s JOIN es_sized d ON d.push_key = s.push_key AND d.ord = s.ord
+  GROUP BY s.push_key, batch_no)"""
+ORACLE["stream_push_series"] = f"""WITH RECURSIVE {EVENT_BATCHES}
+SELECT queue, record_id, n_series FROM batches"""
+
+# A drain goes along each queue until it meets a body that is refused for now.
+ORACLE["drain_pass"] = f"""WITH RECURSIVE {EVENT_BATCHES},
+stops AS (SELECT queue, min(record_id) AS stop FROM batches WHERE n_samples % 10 = 9 GROUP BY queue)
+SELECT queue, record_id,
+  CASE WHEN stop <= record_id THEN 'waits' WHEN n_samples % 7 = 3 THEN 'dropped' ELSE 'sent' END AS state,
+  CASE WHEN stop = record_id THEN 10000 ELSE 0 END::BIGINT AS due_ms
+FROM batches LEFT JOIN stops USING (queue)"""
+
 # --- outbox ------------------------------------------------------------------------------------------
 
 BUDGET = 20_000_000

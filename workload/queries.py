@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seriesship.config import VERSION_HEADER, ClientConfig, PushConfig, RetryPolicy
 from seriesship.functions import labels as L
+from seriesship.functions import wire
 from seriesship.functions.text import format_bound
 from seriesship.operators import batching, encode, outbox, outcome, rate, requests
 from seriesship.operators.deliver import deliver
@@ -18,8 +19,17 @@ from seriesship.operators.flatten import flatten
 from seriesship.operators.ordered import ensure_checkpoint_dir
 from seriesship.operators.relabel import Rule, relabel
 from seriesship.plans.push import push, push_batches, push_series
-from seriesship.sources.tables import explode_families, recover_records
-from seriesship.streaming.intake import stream_push
+from seriesship.schema import REQUESTS
+from seriesship.sources.committed import register
+from seriesship.sources.tables import (
+    read_families,
+    read_families_stream,
+    read_requests,
+    read_series,
+    read_series_stream,
+    recover_records,
+)
+from seriesship.streaming.intake import drain, stream_push, stream_push_series
 from workload import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,17 +54,28 @@ def long_form(flat: DataFrame, *keys: str) -> DataFrame:
 # --- scans -------------------------------------------------------------------------------------------
 
 
-@query
-def scan_metric_families(spark, sf):
-    metric = F.struct(
-        "metric_ord", "labels", "timestamp_ms", "value", "histogram", "summary"
-    )
-    # One family per (push, customer); its orders are a bounded, ordered list.
+def committed(spark: SparkSession, rows: DataFrame, fmt: str) -> str:
+    """A new folder to which the rows are committed."""
+    register(spark)
+    path = scratch(spark, fmt)
+    rows.write.format(fmt).mode("append").save(path)
+    return path
+
+
+def order_families(spark: SparkSession, sf: str) -> DataFrame:
+    """One family per (push, customer); its orders are a bounded, ordered list."""
+    metric = F.struct("labels", "timestamp_ms", "value", "histogram", "summary")
     rows = T.order_gauges(spark, sf).withColumn("chunk", F.expr("metric_ord div 1000"))
     families = rows.groupBy("push_key", "family_ord", "chunk", "name", "type").agg(
-        F.array_sort(F.collect_list(metric)).alias("metrics")
+        F.array_sort(F.collect_list(F.struct("metric_ord", metric.alias("m")))).alias("ordered")
     )
-    return explode_families(families).select(
+    return families.select("push_key", "family_ord", "name", "type", F.col("ordered.m").alias("metrics"))
+
+
+@query
+def scan_metric_families(spark, sf):
+    path = committed(spark, order_families(spark, sf), "metric_families")
+    return read_families(spark, path, "metric_families").select(
         "push_key",
         "family_ord",
         "metric_ord",
@@ -68,7 +89,8 @@ def scan_metric_families(spark, sf):
 
 @query
 def scan_series(spark, sf):
-    return T.event_series(spark, sf).select(
+    path = committed(spark, T.event_series(spark, sf), "metric_series")
+    return read_series(spark, path, "metric_series").select(
         "push_key",
         "ord",
         L.render(F.col("labels")).alias("series"),
@@ -78,7 +100,9 @@ def scan_series(spark, sf):
 
 @query
 def scan_requests(spark, sf):
-    return T.requests(spark, sf).select(
+    columns = [c.split()[0] for c in REQUESTS.split(", ")]
+    path = committed(spark, T.requests(spark, sf).select(*columns), "write_requests")
+    return read_requests(spark, path, "write_requests").select(
         "request_id",
         "queue",
         "tenant_id",
@@ -148,7 +172,8 @@ def orders_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_scan(spark, sf):
     out, marks = scratch(spark, "scan"), scratch(spark, "marks")
-    flat = flatten(T.order_gauges_of(orders_stream(spark, sf)), None, T.NOW_MS)
+    families = committed(spark, order_families(spark, sf), "metric_families")
+    flat = flatten(read_families_stream(spark, families, "metric_families"), None, T.NOW_MS)
     run = (
         long_form(flat, "push_key")
         .writeStream.format("parquet")
@@ -524,6 +549,38 @@ def stream_push_(spark, sf):
     return decoded.groupBy("queue", "record_id").agg(F.count("*").alias("n_series"))
 
 
+def pushed_events(spark: SparkSession, sf: str) -> outbox.Outbox:
+    """An outbox filled from a stream of ready-made series."""
+    box = outbox.Outbox(spark, scratch(spark, "outbox"))
+    series = read_series_stream(spark, committed(spark, T.event_series(spark, sf), "metric_series"), "metric_series")
+    run = stream_push_series(series, box, PushConfig(max_series=8, max_bytes=3000))
+    run = run.option("checkpointLocation", scratch(spark, "marks")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return box
+
+
+@query
+def stream_push_series_(spark, sf):
+    decoded = encode.decode_payloads(pushed_events(spark, sf).records())
+    return decoded.groupBy("queue", "record_id").agg(F.count("*").alias("n_series"))
+
+
+def answer_by_size(url: str, headers: dict, body: bytes) -> dict:
+    """Answers by the number of samples in a body."""
+    n = sum(len(samples) for _, samples in wire.decode_body(body))
+    return {"status": 503, "retry_after": "9"} if n % 10 == 9 else {"status": 400 if n % 7 == 3 else 204}
+
+
+@query
+def drain_pass(spark, sf):
+    """One drain of the outbox: what left each queue, and what waits until when."""
+    box = pushed_events(spark, sf)
+    drain(box, CLIENT, answer_by_size, 0, 1_000)
+    left = box.finished().select("queue", "record_id", F.col("why").alias("state"), F.lit(0).cast("bigint").alias("due_ms"))
+    waits = box.waiting().select("queue", "record_id", F.lit("waits").alias("state"), F.col("next_due_ms").alias("due_ms"))
+    return left.unionByName(waits)
+
+
 # --- requests ----------------------------------------------------------------------------------------
 
 CLIENT = ClientConfig(
