@@ -484,6 +484,17 @@ FROM box b LEFT JOIN latest l ON l.queue = b.queue AND l.request_id // 8 = b.rec
 WHERE l.request_id IS NULL OR outcome = 'retryable'
   OR (outcome = 'permanent' AND coalesce(error_class, '') IN ('cancelled', 'deadline'))"""
 
+ORACLE["retry_timers"] = f"""WITH {ATTEMPTS},
+latest AS (
+  SELECT * FROM waits QUALIFY row_number() OVER (
+    PARTITION BY request_id ORDER BY attempt DESC, at_ms DESC) = 1),
+due AS (
+  SELECT queue, request_id // 8 AS record_id, attempt::INTEGER AS tries,
+    CASE WHEN outcome = 'retryable' THEN at_ms + wait_ms ELSE at_ms END AS due_ms
+  FROM latest
+  WHERE outcome = 'retryable' OR (outcome = 'permanent' AND coalesce(error_class, '') IN ('cancelled', 'deadline')))
+SELECT * FROM due WHERE due_ms <= (SELECT max(at_ms) FROM waits)"""
+
 ORACLE["quarantine_corrupt"] = f"""{DOC_BATCHES}
 SELECT DISTINCT push_key, batch_no,
   CASE WHEN batch_no % 4 IN (1, 2) THEN 'corrupt' ELSE 'kept' END AS state

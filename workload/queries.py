@@ -19,7 +19,7 @@ from seriesship.operators.flatten import flatten
 from seriesship.operators.ordered import ensure_checkpoint_dir
 from seriesship.operators.relabel import Rule, relabel
 from seriesship.plans.push import push, push_batches, push_series
-from seriesship.schema import REQUESTS
+from seriesship.schema import ATTEMPTS, REQUESTS
 from seriesship.sources.committed import register
 from seriesship.sources.tables import (
     read_families,
@@ -30,6 +30,7 @@ from seriesship.sources.tables import (
     recover_records,
 )
 from seriesship.streaming.intake import drain, stream_push, stream_push_series
+from seriesship.streaming.timers import DUE, due_records, use_timers
 from workload import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -847,6 +848,23 @@ def drain_outcome(spark, sf):
     return left.select("record_id", "queue", "next_due_ms")
 
 
+@query
+def retry_timers(spark, sf):
+    """Records that come up to be sent again, from the ledger as a stream."""
+    ledger, out = scratch(spark, "ledger"), scratch(spark, "due")
+    columns = [c.split()[0] for c in ATTEMPTS.split(", ")]
+    T.attempts(spark, sf).select(*columns).write.parquet(ledger)
+    used = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_timers(spark)
+    try:
+        due = due_records(spark.readStream.schema(ATTEMPTS).parquet(ledger), RETRY)
+        run = due.writeStream.option("checkpointLocation", scratch(spark, "marks")).trigger(availableNow=True)
+        run.start(out, format="parquet").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", used)
+    return spark.read.schema(DUE).parquet(out)
+
+
 @query
 def quarantine_corrupt(spark, sf):
     encoded = encode.encode_batches(series_batches(spark, sf), order="ord")
