@@ -20,11 +20,13 @@ BROADCAST_BYTES = 32 << 20
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df``, computed once into the shared checkpoint folder; the lineage ends there.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests) a folder beside the
-    warehouse is used. Spark removes the files with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    The folder is the session's ``spark.checkpoint.dir``. Only in local mode (tests), and where that is unset, a folder
+    beside the warehouse is used. Spark removes the files with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"))
     return df.checkpoint()
 

@@ -27,8 +27,11 @@ from seriesship.llm.common import slices
 UNKNOWN = "und"
 #: Hash buckets for character n-grams, their longest length, lexicon entries for each language.
 DIMS, ORDER, LEXICON = 1 << 16, 4, 1000
-#: Sampled texts for each language, and languages at most (those with most labelled rows).
-SAMPLE, LANGUAGES = 200, 100
+#: Sampled texts for each language, and languages at most: with more the job ends with an error, since the model's
+#: size is in proportion to them.
+SAMPLE, LANGUAGES = 200, 250
+#: A sequence is a line or, of a longer line, so many words. Word posteriors of so many numbers are worked on at once.
+LINE, CELLS = 4096, 1 << 21
 #: Training sequences are stitched from runs of one language, so that switches are seen: about this many words a run.
 RUN, RUNS = 16, 4
 ROUNDS, RATE, RIDGE = 30, 0.3, 1e-3
@@ -189,9 +192,11 @@ def train(labelled: DataFrame) -> Model:
     ``SAMPLE`` each, and never over twice that on the whole. Copies of a text are one.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counted = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()
     if not counted:
         return Model([])
+    if len(counted) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     limit = F.create_map(*(F.lit(v) for r in counted for v in (r["lang"], min(1.0, SAMPLE / r["n"]))))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
     chosen = rows.where(F.pmod("h", F.lit(1 << 20)) < limit[F.col("lang")] * (1 << 20))
@@ -214,12 +219,21 @@ def label(m: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     words, line = words.filter(pa.array(real)), line[real]
     if len(words) and k:
         coded = words.dictionary_encode()
-        scores = _emissions(m, _features(coded.dictionary.to_pylist()))[coded.indices.to_numpy()]
-        posterior, _ = forward_backward(m, scores, np.bincount(line, minlength=len(doc)))
-        of = doc[line]
-        for j in range(k):
-            share[:, j] = np.bincount(of, posterior[:, j], n)
-        best = posterior.argmax(axis=1)
+        emitted, word = _emissions(m, _features(coded.dictionary.to_pylist())), coded.indices.to_numpy()
+        # Sequences follow each other, so that blocks of them can be worked on one after another.
+        sizes = np.bincount(line, minlength=len(doc))
+        place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        opens = np.flatnonzero(place % LINE == 0)
+        sizes, of = np.diff(np.append(opens, len(line))), doc[line]
+        block = (opens + sizes - 1) * k // CELLS
+        cuts = np.append(opens[np.flatnonzero(np.diff(block, prepend=-1))], len(line)).tolist()
+        best = np.empty(len(line), np.int32)
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            inside = sizes[np.searchsorted(opens, lo) : np.searchsorted(opens, hi)]
+            posterior, _ = forward_backward(m, emitted[word[lo:hi]], inside)
+            for j in range(k):
+                share[:, j] += np.bincount(of[lo:hi], posterior[:, j], n)
+            best[lo:hi] = posterior.argmax(axis=1)
         changed = (best[1:] != best[:-1]) & (of[1:] == of[:-1])
         switches = np.bincount(of[1:][changed], minlength=n)
     total = share.sum(axis=1)

@@ -1,8 +1,8 @@
 """URL filters: rules for hosts and paths, then a tree of path templates learned per host.
 
-Paths become templates: at every node of a host's tree, from the root down, segments that vary (numbers, long
-hexadecimals, or too many different values for the number of pages) turn into wildcards, and the remaining branches
-are merged where their share of bad labels does not differ from the node's by more than chance would have it. A
+Paths become templates: at every node of a host's tree, from the root down, segments that vary turn into wildcards
+(numbers, long hexadecimals and, where a node has too many different values for the number of its pages, those with
+few labelled pages), and the remaining branches are merged where their share of bad labels does not differ from the node's by more than chance would have it. A
 template is rejected if its smoothed purity is too low: labels of its own pages count fully, then those of its
 host and of all pages as much as ``PRIOR`` pages.
 
@@ -31,7 +31,7 @@ RULES = (
 VALUES, VARIETY = 20, 0.3
 #: Branches are like their node within so many standard errors. Purity under LEAST rejects; PRIOR pages smooth it.
 Z, LEAST, PRIOR = 1.96, 0.5, 10.0
-#: Deeper segments are taken as one.
+#: The last of so many segments takes all deeper ones with it.
 DEPTH = 12
 _END = "\x00"
 
@@ -70,7 +70,7 @@ def templates(pages: DataFrame) -> DataFrame:
     counted = pages.groupBy("host", raw.alias("raw")).agg(
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
     )
-    tree = cut(counted.withColumns({"segments": F.split("raw", "/"), "template": F.lit("")}))
+    tree = cut(counted.withColumns({"segments": F.split("raw", "/", DEPTH), "template": F.lit("")}))
     depth = tree.agg(F.coalesce(F.max(F.size("segments")), F.lit(0))).first()[0]
     for level in range(depth):
         tree = tree.withColumn("segment", F.coalesce(F.get("segments", F.lit(level)), F.lit(_END)))
@@ -87,7 +87,7 @@ def templates(pages: DataFrame) -> DataFrame:
         step = (
             F.when(F.col("segment") == _END, F.lit(""))
             .when(F.col("segment").rlike(r"\A\{[nh]\}"), F.concat(F.lit("/"), F.col("segment")))
-            .when(varies, F.lit("/*"))
+            .when(varies & (F.col("bl") < PRIOR), F.lit("/*"))
             .when((F.col("segment") == "") & (F.col("template") == ""), F.lit(""))
             .when(alike, F.lit("/(alike)"))
             .otherwise(F.concat(F.lit("/"), F.col("segment")))

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import itertools
 import os
 
@@ -89,3 +90,29 @@ def test_predictions_see_text_only(spark):
     swapped = df.withColumns({"lang": F.lit("en"), "source": F.lit("x"), "doc_id": F.lit(0)})
     rows = language.annotate(swapped, m).collect()
     assert {r["lang_pred"] for r in rows if r["text"].startswith("der")} == {"de"}
+
+
+def test_blocks_of_lines_give_what_all_at_once_gives(monkeypatch):
+    m = language.fit(["the old man and the sea"] * 5 + ["der alte mann und das meer"] * 5, ["en"] * 5 + ["de"] * 5, ["de", "en"])
+    texts = pa.array(["the old man\nund das meer\n" * 20, None, "", "der mann the sea " * 30, "sea"])
+    whole = language.label(m, texts)
+    monkeypatch.setattr(language, "CELLS", 16)
+    for a, b in zip(whole, language.label(m, texts)):
+        np.testing.assert_allclose(a, b)
+
+
+def test_long_lines_are_cut(monkeypatch):
+    monkeypatch.setattr(language, "LINE", 8)
+    m = language.fit(["the old man and the sea"] * 5 + ["der alte mann und das meer"] * 5, ["en"] * 5 + ["de"] * 5, ["de", "en"])
+    seen = []
+    run = language.forward_backward
+    monkeypatch.setattr(language, "forward_backward", lambda m, s, sizes: seen.append(sizes.max()) or run(m, s, sizes))
+    found, share, _ = language.label(m, pa.array(["the old man and the sea " * 50]))
+    assert found[0] == 1 and share[0] > 0.9 and max(seen) == 8
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    df = spark.createDataFrame([("a b", "x"), ("c d", "y"), ("e f", "z")], "text string, lang string")
+    with pytest.raises(ValueError, match="more than 2"):
+        language.train(df)

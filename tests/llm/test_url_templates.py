@@ -63,3 +63,82 @@ def test_no_labels_repeats_and_empty(spark):
     assert [r.verdict for r in judged(spark, rows)] == ["allow"] * 3
     none = cases.empty(spark).select(F.col("doc_id").alias("page_id"), F.col("text").alias("url"), F.lit(1).alias("bad"))
     assert U.judge(none).count() == 0
+
+
+def tree(pages):
+    """{(host, path): template} of ``pages`` (host, path, bad), by going down every host's tree with lists."""
+    import math
+    import re
+
+    def general(segment):
+        segment = re.sub(r"\A[0-9]+(\.[A-Za-z0-9]{1,5})?\Z", lambda m: "{n}" + (m[1] or ""), segment)
+        return re.sub(r"\A(?=[a-f-]*[0-9])[0-9a-f-]{8,}(\.[A-Za-z0-9]{1,5})?\Z", lambda m: "{h}" + (m[1] or ""), segment)
+
+    out = {}
+
+    def down(rows, level, template):
+        """``rows``: (key, segments, bad)."""
+        branches = {}
+        for row in rows:
+            branches.setdefault(row[1][level] if level < len(row[1]) else None, []).append(row)
+        inner = [r for s, b in branches.items() if s is not None for r in b]
+        known = [r[2] for r in inner if r[2] is not None]
+        share = sum(known) / max(len(known), 1)
+        values = sum(s is not None for s in branches)
+        varies = values >= U.VALUES and values > U.VARIETY * len(inner)
+        meets = {}
+        for s, b in branches.items():
+            if s is None:
+                for r in b:
+                    out[r[0]] = template
+                continue
+            own = [r[2] for r in b if r[2] is not None]
+            alike = not own or abs(sum(own) / len(own) - share) <= U.Z * math.sqrt(share * (1 - share) / len(own))
+            if re.match(r"\{[nh]\}", s):
+                step = "/" + s
+            elif varies and len(own) < U.PRIOR:
+                step = "/*"
+            elif s == "" and template == "":
+                step = ""
+            else:
+                step = "/(alike)" if alike else "/" + s
+            meets.setdefault(template + step, []).extend(b)
+        for name, b in meets.items():
+            if level + 1 <= max(len(r[1]) for r in b):
+                down(b, level + 1, name)
+
+    hosts = {}
+    for host, path, bad in pages:
+        hosts.setdefault(host, []).append(((host, path), [general(s) for s in path.split("/", U.DEPTH - 1)], bad))
+    for rows in hosts.values():
+        down(rows, 0, "")
+    return out
+
+
+def test_templates_against_a_tree_of_lists(spark):
+    import random
+
+    rng, pages = random.Random(7), []
+    for host in ("a.net", "b.net"):
+        for i in range(400):
+            top = rng.choice(["spam", "news", "shop", f"u{rng.randrange(200)}"])
+            rest = rng.choice([f"{i}.html", "x", f"{i:08x}", "", "a/b/c", f"{rng.randrange(3)}/y"])
+            bad = None if rng.random() < 0.2 else int(rng.random() < {"spam": 0.9, "news": 0.1}.get(top, 0.4))
+            pages.append((host, f"/{top}/{rest}", bad))
+    pages += [("c.net", f"/w{i}/x", i % 2) for i in range(60)] + [("c.net", f"/clean/{i}", 0) for i in range(80)]
+    want = tree(pages)
+    out = judged(spark, [(f"http://{h}{p}", b) for h, p, b in pages])
+    assert [r.template for r in out] == [want[h, p] for h, p, _ in pages]
+    assert {"/*/(alike)", "/clean/{n}"} <= {r.template for r in out if r.host == "c.net"}
+
+
+def test_many_slashes_cost_no_more_rounds(spark):
+    deep = "http://h.net" + "/a" * 5_000
+    out = judged(spark, [(deep, 1), (deep + "/b", 0), ("http://h.net/" + "/" * 5_000, None), ("http://h.net/a/b", 0)])
+    assert [r.path.count("/") for r in out] == [5_000, 5_001, 5_001, 2] and all(r.template is not None for r in out)
+
+
+def test_a_bad_branch_beside_one_off_segments(spark):
+    rows = [(f"http://h.net/spam/{i}", 1) for i in range(100)] + [(f"http://h.net/page{i}x/1", 0) for i in range(60)]
+    out = judged(spark, rows)
+    assert {r.verdict for r in out[:100]} == {"block"} and {r.verdict for r in out[100:]} == {"allow"}
