@@ -3,7 +3,8 @@
 An outbox is a folder of append-only tables, one sub-folder per writer and epoch: ``records`` (accepted),
 ``rejected`` (all others, with the reason), ``epochs`` (what a finished append had been given), ``attempts``
 (the delivery ledger) and ``finished`` (record ids that left the queue, and why). What waits is records without
-finished ones; nothing is rewritten on a drain.
+finished ones; nothing is rewritten on a drain. A snapshot holds the state up to some epoch of each writer; reading
+what waits takes the last snapshot and the epochs after it, so the history before it is never read again.
 
 An append shows once its row in ``epochs`` is written. Given again, it changes nothing, whatever was drained in
 between; a writer's epoch that comes with other requests is an error, as when a stream starts anew under the name
@@ -15,6 +16,8 @@ from __future__ import annotations
 import posixpath
 import re
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -306,6 +309,14 @@ LEDGER = f"{ATTEMPTS}, next_due_ms bigint"
 REJECTED = f"request_id bigint, arrival_ms bigint, {RECORDS.removeprefix('record_id bigint, ')}, reason string"
 EPOCHS = "requests bigint, digest string"
 PLACE = "writer string, epoch bigint"
+#: What is known of a record: where it is stored (null if not seen yet), its latest attempt, whether it has left.
+STATE = (
+    "queue string, record_id bigint, place struct<writer:string,epoch:bigint,size_bytes:bigint>, "
+    "due struct<tries:int,next_due_ms:bigint>, gone boolean"
+)
+HIGHEST = "queue string, max_id bigint"
+COVERED = "source string, writer string, upto bigint"
+SNAP = "snap bigint"
 DRAINS = "drain"
 
 
@@ -335,14 +346,108 @@ class Outbox:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _stored(self, table: str, schema: str) -> DataFrame:
+    def _stored(self, table: str, schema: str, place: str = PLACE) -> DataFrame:
         """All rows of a table, with the writer and epoch they are from."""
         try:
-            return self.spark.read.schema(f"{schema}, {PLACE}").parquet(posixpath.join(self.path, table))
+            return self.spark.read.schema(f"{schema}, {place}").parquet(posixpath.join(self.path, table))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], f"{schema}, {PLACE}")
+            return self.spark.createDataFrame([], f"{schema}, {place}")
+
+    # Snapshots. Epochs of a writer count upwards, so one number says how far a snapshot reaches.
+
+    def _snapshot(self) -> tuple[int | None, dict[tuple[str, str], int]]:
+        """The last finished snapshot and, by table and writer, the epoch it reaches: a few rows for each writer."""
+        marks = self._stored("snapshots", COVERED, SNAP)
+        last = marks.agg(F.max("snap")).first()[0]
+        rows = [] if last is None else marks.where(F.col("snap") == last).collect()
+        return last, {(r["source"], r["writer"]): r["upto"] for r in rows if r["source"] is not None}
+
+    def _since(self, table: str, schema: str, covered: dict, upto: dict | None = None) -> DataFrame:
+        """Rows of epochs that no snapshot covers, up to those of ``upto``. The condition prunes folders."""
+        rows = self._stored(table, schema)
+        for (source, writer), epoch in covered.items():
+            if source == table:
+                rows = rows.where((F.col("writer") != writer) | (F.col("epoch") > epoch))
+        if upto is not None:
+            reach = [(F.col("writer") == w) & (F.col("epoch") <= e) for (source, w), e in upto.items() if source == table]
+            rows = rows.where(reduce(or_, reach, F.lit(False)))
+        return rows
+
+    def _records_since(self, covered: dict, upto: dict | None = None) -> DataFrame:
+        """The same of records, and of finished appends only."""
+        done = self._since("epochs", EPOCHS, {("epochs", w): e for (s, w), e in covered.items() if s == "records"})
+        rows = self._since("records", RECORDS, covered, upto).select("queue", "record_id", "size_bytes", "writer", "epoch")
+        return rows.join(done.select("writer", "epoch"), ["writer", "epoch"], "left_semi")
+
+    def _state(self, snap: int | None, covered: dict, without: tuple[str, int] | None = None, upto: dict | None = None) -> DataFrame:
+        """One row for each record that has not been forgotten, by one grouping of a snapshot and what followed."""
+        if without is not None and any(w == without[0] and e >= without[1] for (s, w), e in covered.items() if s != "records"):
+            raise ValueError(f"epoch {without[1]} of {without[0]!r} is part of a snapshot and can't be given again")
+
+        def of(rows: DataFrame, **given: Column) -> DataFrame:
+            if without is not None:
+                rows = rows.where((F.col("writer") != without[0]) | (F.col("epoch") != without[1]))
+            types = {"place": "struct<writer:string,epoch:bigint,size_bytes:bigint>", "due": "struct<tries:int,next_due_ms:bigint>", "gone": "boolean"}
+            return rows.select("queue", "record_id", *[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+
+        parts = [
+            of(self._records_since(covered, upto), place=F.struct("writer", "epoch", "size_bytes")),
+            of(self._since("attempts", LEDGER, covered, upto), due=F.struct("attempt", "next_due_ms")),
+            of(self._since("finished", FINISHED, covered, upto), gone=F.lit(True)),
+        ]
+        if snap is not None:
+            before = self._stored("live", STATE, SNAP)
+            parts.append(before.where(F.col("snap") == snap).drop("snap"))
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows.groupBy("queue", "record_id").agg(
+            F.max("place").alias("place"), F.max("due").alias("due"), F.coalesce(F.bool_or("gone"), F.lit(False)).alias("gone")
+        )
+
+    def _highest(self, snap: int | None, covered: dict, upto: dict | None = None) -> DataFrame:
+        """The highest id that each queue has given out."""
+        ids = next_ids(self._records_since(covered, upto))
+        if snap is not None:
+            before = self._stored("highest", HIGHEST, SNAP)
+            ids = ids.unionByName(before.where(F.col("snap") == snap).drop("snap"))
+        return ids.groupBy("queue").agg(F.max("max_id").alias("max_id"))
+
+    def compact(self, keep: int = 1) -> int | None:
+        """Writes a snapshot of all but the last ``keep`` epochs of each writer, which may be given again, and returns
+        its number; null if there is nothing new to cover.
+
+        A snapshot shows once its row in ``snapshots`` is written. It holds what waits, and marks of attempts and ends of
+        records whose own append is not covered yet. One compaction runs at a time; folders of epochs that the last
+        snapshot covers are needed for bodies and counters only.
+        """
+        snap, covered = self._snapshot()
+        upto = dict(covered)
+        for table, schema, source in (("epochs", EPOCHS, "records"), ("attempts", LEDGER, "attempts"), ("finished", FINISHED, "finished")):
+            # Partition values alone: no file is opened for the columns.
+            since = self._since(table, schema, {(table, w): e for (s, w), e in covered.items() if s == source})
+            top = W.partitionBy("writer").orderBy(F.desc("epoch"))
+            epochs = since.select("writer", "epoch").distinct().withColumn("rn", F.row_number().over(top))
+            for r in epochs.where(F.col("rn") > keep).groupBy("writer").agg(F.max("epoch").alias("upto")).collect():
+                upto[source, r["writer"]] = r["upto"]
+        # A drain is covered as a whole.
+        for writer in {w for s, w in upto if s != "records"}:
+            reach = [upto.get((s, writer)) for s in ("attempts", "finished")]
+            for s, e in zip(("attempts", "finished"), reach):
+                if None in reach:
+                    upto.pop((s, writer), None)
+                else:
+                    upto[s, writer] = min(reach)
+        if upto == covered:
+            return None
+        new = 0 if snap is None else snap + 1
+        # A record that is stored and has left is forgotten.
+        state = self._state(snap, covered, upto=upto).where(F.col("place").isNull() | ~F.col("gone"))
+        for table, rows in (("live", state), ("highest", self._highest(snap, covered, upto))):
+            rows.write.mode("overwrite").parquet(posixpath.join(self.path, table, f"snap={new}"))
+        marks = self.spark.createDataFrame([(s, w, e) for (s, w), e in upto.items()], COVERED)
+        marks.write.mode("overwrite").parquet(posixpath.join(self.path, "snapshots", f"snap={new}"))
+        return new
 
     def _read(self, table: str, schema: str, without: tuple[str, int] | None = None) -> DataFrame:
         rows = self._stored(table, schema)
@@ -408,11 +513,10 @@ class Outbox:
         row = F.xxhash64(*_hashable(requests))
         tied = W.partitionBy(*keys).orderBy(row, "size_bytes")
         spread = spread.withColumn("tie", F.row_number().over(tied))
-        mine = self.records()
-        gone = self.finished().select("queue", "record_id")
-        left = mine.select("queue", "record_id", "size_bytes").join(gone, ["queue", "record_id"], "left_anti")
+        snap, covered = self._snapshot()
+        left = self._state(snap, covered).where(F.col("place").isNotNull() & ~F.col("gone")).select("queue", "place.size_bytes")
         flags = admit(spread.select(*keys, "tie", "size_bytes"), "queue", [*keys[1:], "tie"], max_pending_bytes, pending=pending(left))
-        ids = with_record_ids(flags, next_ids(mine)).groupBy(*keys)
+        ids = with_record_ids(flags, self._highest(snap, covered)).groupBy(*keys)
         ids = ids.agg(F.array_sort(F.collect_list(F.struct("tie", "record_id"))).alias("ids"))
         told = spread.join(ids, keys).withColumn("record_id", F.get("ids", F.col("tie") - 1)["record_id"]).persist()
         self._write(told.where("record_id is not null").select(*_names(RECORDS)), "records", writer, epoch_id)
@@ -430,19 +534,15 @@ class Outbox:
 
         Bodies and headers are left out: :meth:`whole` gets them for the few that are picked.
         """
-        gone = self.finished(without).select("queue", "record_id")
-        due = (
-            self.attempts(without)
-            .groupBy("queue", "record_id")
-            .agg(F.max_by("next_due_ms", "attempt").alias("next_due_ms"), F.max("attempt").alias("tries"))
-        )
-        narrow = self._shown("records", RECORDS).select("queue", "record_id", "size_bytes", "writer", "epoch")
-        left = narrow.join(gone, ["queue", "record_id"], "left_anti")
-        return left.join(due, ["queue", "record_id"], "left").withColumns(
-            {
-                "next_due_ms": F.coalesce("next_due_ms", F.lit(0).cast("bigint")),
-                "tries": F.coalesce("tries", F.lit(0)),
-            }
+        state = self._state(*self._snapshot(), without).where(F.col("place").isNotNull() & ~F.col("gone"))
+        return state.select(
+            "queue",
+            "record_id",
+            "place.size_bytes",
+            "place.writer",
+            "place.epoch",
+            F.coalesce("due.next_due_ms", F.lit(0).cast("bigint")).alias("next_due_ms"),
+            F.coalesce("due.tries", F.lit(0)).alias("tries"),
         )
 
     def whole(self, picked: DataFrame) -> DataFrame:
