@@ -24,6 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from seriesship.config import RetryPolicy
 from seriesship.operators.ordered import UNLIMITED, read_partition, run_starts, split_ordered
@@ -353,7 +354,9 @@ class Outbox:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], f"{schema}, {place}")
+            # An empty relation that the optimizer sees through: what joins it or reads it goes away.
+            fields = StructType.fromDDL(f"{schema}, {place}")
+            return self.spark.range(1).where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
     # Snapshots. Epochs of a writer count upwards, so one number says how far a snapshot reaches.
 
@@ -505,20 +508,21 @@ class Outbox:
             if tuple(before) != given:
                 raise ValueError(f"epoch {epoch_id} of writer {writer!r} was stored with other requests")
             return
-        # ``tie`` counts requests equal in queue and order. Their bodies are dealt out by these keys once: ids come
-        # back as a list for each, so that one join tells what is taken and what is not.
+        # Requests equal in queue and order follow by the hash of the whole row; rows equal in that too may stand for
+        # each other. Bodies are dealt out by queue and order once: ids come back as a list for each, so that one join
+        # tells what is taken and what is not.
         keys = ["queue", *[f"_order{i}" for i in range(len(order))]]
         first = {f"_order{i}": F.coalesce(F.col(c).cast("bigint"), F.lit(NULL_FIRST)) for i, c in enumerate(order)}
-        spread = requests.where("queue is not null").withColumns(first)
-        row = F.xxhash64(*_hashable(requests))
-        tied = W.partitionBy(*keys).orderBy(row, "size_bytes")
-        spread = spread.withColumn("tie", F.row_number().over(tied))
+        spread = requests.where("queue is not null").withColumns({**first, "_row": F.xxhash64(*_hashable(requests))})
         snap, covered = self._snapshot()
         left = self._state(snap, covered).where(F.col("place").isNotNull() & ~F.col("gone")).select("queue", "place.size_bytes")
-        flags = admit(spread.select(*keys, "tie", "size_bytes"), "queue", [*keys[1:], "tie"], max_pending_bytes, pending=pending(left))
+        narrow = spread.select(*keys, "_row", "size_bytes")
+        flags = admit(narrow, "queue", [*keys[1:], "_row"], max_pending_bytes, pending=pending(left))
         ids = with_record_ids(flags, self._highest(snap, covered)).groupBy(*keys)
-        ids = ids.agg(F.array_sort(F.collect_list(F.struct("tie", "record_id"))).alias("ids"))
-        told = spread.join(ids, keys).withColumn("record_id", F.get("ids", F.col("tie") - 1)["record_id"]).persist()
+        ids = ids.agg(F.array_sort(F.collect_list(F.struct("_row", "record_id"))).alias("ids"))
+        place = F.row_number().over(W.partitionBy(*keys).orderBy("_row", "size_bytes")) - 1
+        told = spread.withColumn("_place", place).join(ids, keys)
+        told = told.withColumn("record_id", F.get("ids", F.col("_place"))["record_id"]).persist()
         self._write(told.where("record_id is not null").select(*_names(RECORDS)), "records", writer, epoch_id)
         over = told.where("record_id is null").withColumn("reason", F.lit(OVER_BUDGET)).select(*_names(REJECTED))
         lost = requests.where("queue is null").withColumn("reason", F.lit(NO_QUEUE)).select(*_names(REJECTED))

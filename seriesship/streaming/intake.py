@@ -35,12 +35,13 @@ def enqueue(
 
     ``given`` is the digest of what the requests were made from, if that is what a repeated epoch is told by.
     """
-    allowed, forbidden = split_reserved(requests, client)
-    # Admission looks at sizes first and takes the bodies later, so they are kept, not made twice.
-    sized = record_size(canonical_headers(with_defaults(allowed, client))).persist()
+    # Admission looks at sizes first and takes the bodies later, and both kinds are written, so they are made once.
+    held = requests.persist()
+    allowed, forbidden = split_reserved(held, client)
+    sized = record_size(canonical_headers(with_defaults(allowed, client)))
     refused = record_size(forbidden).withColumn("reason", F.lit(FORBIDDEN))
     outbox.append(sized, epoch_id, max_pending_bytes, writer=writer, refused=refused, given=given)
-    sized.unpersist()
+    held.unpersist()
 
 
 def stream_push(
