@@ -102,3 +102,18 @@ def test_push_stops_at_its_first_failed_batch(spark, tmp_path):
     assert ok.count() == total > 1
     failed = push(metrics, CFG, client, lambda u, h, b: {"status": 400}).where("queue = 'p'").collect()
     assert [(r.record_id, r.status) for r in failed] == [(1, 400)]
+
+
+def test_tenant_and_headers_of_a_push(spark, tmp_path):
+    write(tmp_path / "a.json", family("p", 0, "a", 1.0))
+    metrics = S.read_families(spark, str(tmp_path / "a.json"), "json")
+    cfg = PushConfig(now_ms=1, tenant="t/1", headers={"X-Scope": ("a", "b")})
+    client = ClientConfig("http://h/{tenant}/w", tenant_header="X-Tenant")
+
+    def echo(url, headers, body):
+        return {"status": 400, "body": f"{url} {headers['X-Scope']} {headers['X-Tenant']}".encode()}
+
+    [r] = push(metrics, cfg, client, echo).collect()
+    assert (r.queue, r.body.decode()) == ("p", "http://h/t%2F1/w ['a', 'b'] ['t/1']")
+    with pytest.raises(ValueError, match="x-tenant"):
+        push(metrics, PushConfig(headers={"x-tenant": ("z",)}), client)
