@@ -8,7 +8,8 @@ arc leads to the context one word shorter.
 All words can stand in n-grams and every n-gram seen ``LEAST`` times is kept, so the model grows with the corpus and is
 never in one place. Texts become numbers of words once, in blocks of some MB. Every block sends its distinct pairs, and
 then the triples whose two pairs are kept, to buckets; a bucket adds up the counts of all blocks, works out the
-backoff weights of its contexts, and answers each block for the arcs that it asked for. Contexts that alone would fill a
+backoff weights of its contexts, and answers each block for the arcs that it asked for. From the answers the block
+puts together the part of the automaton that its texts can enter, and reads them through it. Contexts that alone would fill a
 bucket are spread over all, and their few sums are broadcast. Words are numbered by falling count, so a table of
 the distinct counts (at most sqrt(2 N) of them) tells the count of any word.
 """
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import math
 import struct
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,115 +58,98 @@ def words(text: bytes | None) -> list[bytes]:
 
 @dataclass
 class Automaton:
-    """The model in one place, for small data. States are contexts: 0 the empty one, 1 + i word i, then pairs of words. ``arcs`` are state * width + word."""
+    """The arcs that one block can take. States are contexts: 0 the empty one, 1 + i the block's i-th word, then the kept
+    pairs of words that the block goes on from. ``arcs`` are state * width + word, sorted."""
 
-    ids: dict[bytes, int]
     width: int
     arcs: np.ndarray
     log_p: np.ndarray
     next: np.ndarray
     fail: np.ndarray
     back: np.ndarray
-    tokens: int
-    distinct: int
 
     @property
     def start(self) -> int:
-        return self.width  # the word after the last id stands for the start of a text
+        return self.width  # the last word stands for the start of a text
 
-    def unigram(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + SMOOTH) / (self.tokens + SMOOTH * (self.distinct + 1)))
+    def traverse(self, word: np.ndarray, base: np.ndarray, first: np.ndarray, sizes: np.ndarray, most: int = 512) -> np.ndarray:
+        """log10 of the probability of each text: ``sizes[k]`` tokens from ``first[k]`` on, read from left to right.
 
-    def traverse(self, word: np.ndarray, base: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each text: ``sizes[k]`` tokens from ``first[k]`` on, side by side.
-
-        ``word`` has ids (-1: not a context word), ``base`` the unigram log-probabilities.
+        ``word`` has the block's own word numbers, ``base`` the unigram log-probabilities. Texts are read side by side.
+        One of over ``most`` tokens is read in pieces: a state tells no more than two words, so a piece that starts two
+        words early, from the empty context, is in the text's own state when its first token comes.
         """
-        order = np.argsort(-sizes, kind="stable")
-        first, sizes = first[order], sizes[order]
-        total, state = np.zeros(len(order)), np.full(len(order), self.start)
-        running = len(order)
-        for step in range(int(sizes[0]) if len(sizes) else 0):
-            while sizes[running - 1] <= step:
-                running -= 1
-            at = first[:running] + step
-            w, s = word[at], state[:running]
-            total[:running] += self._follow(s, w, base[at])
-        out = np.empty(len(order))
-        out[order] = total
-        return out
+        pieces = np.maximum(-(-sizes // most), 1)
+        text = np.repeat(np.arange(len(sizes)), pieces)
+        skip = (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * most
+        early = np.where(skip > 0, 2, 0)
+        begin, length = first[text] + skip - early, np.minimum(sizes[text] - skip, most) + early
+        state, total = np.where(skip > 0, 0, self.start), np.zeros(len(text))
+        order = np.argsort(-length, kind="stable")
+        begin, early, length, state = begin[order], early[order], length[order], state[order]
+        running = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), "left")
+        for step, n in enumerate(running.tolist()):
+            at = begin[:n] + step
+            gained = self._follow(state[:n], word[at], base[at])
+            total[:n] += gained if step > 1 else np.where(early[:n] > step, 0.0, gained)
+        return np.bincount(text[order], total, len(sizes))
 
     def _follow(self, state: np.ndarray, word: np.ndarray, base: np.ndarray) -> np.ndarray:
         """Takes each state over its word, in place; failure arcs are followed until an arc or the empty context."""
         gained = np.zeros(len(state))
-        todo = np.arange(len(state))
+        todo, s, w = np.arange(len(state)), state.copy(), word
         while len(todo):
-            s, w = state[todo], word[todo]
             key = s * self.width + w
             at = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-            hit = (self.arcs[at] == key) & (w >= 0)
+            hit = self.arcs[at] == key
             gained[todo[hit]] += self.log_p[at[hit]]
             state[todo[hit]] = self.next[at[hit]]
-            todo, s = todo[~hit], s[~hit]
-            root = s == 0
+            root = ~hit & (s == 0)
             done = todo[root]
             gained[done] += base[done]
-            state[done] = np.maximum(word[done] + 1, 0)
-            todo, s = todo[~root], s[~root]
+            state[done] = 1 + word[done]
+            on = ~hit & (s != 0)
+            todo, s, w = todo[on], s[on], w[on]
             gained[todo] += self.back[s]
-            state[todo] = self.fail[s]
+            s = self.fail[s]
         return gained
 
 
-def automaton(
-    ids: dict[bytes, int], counts: np.ndarray, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray,
-    triple_n: np.ndarray, texts: int, tokens: int, distinct: int,
-) -> Automaton:
-    """From counts of the context words and of kept n-grams, which are base-``width`` numbers of word ids, sorted.
-
-    ``texts`` training texts stand for the count of the start. A kept triple's pairs must be kept too.
-    """
-    width = len(ids) + 1
-    start = width - 1
-    of = np.append(counts, texts).astype(np.float64)
-    uni = (of + SMOOTH) / (tokens + SMOOTH * (distinct + 1))
-    u, v = pairs // width, pairs % width
-    p2 = (pair_n - DISCOUNT) / of[u]
-    taken, lower = np.bincount(u, p2, width), np.bincount(u, uni[v], width)
-    back1 = np.where(of > 0, (1 - taken) / np.maximum(1 - lower, 1e-12), 1.0)
-    back1 = np.where(taken > 0, np.maximum(back1, 1e-12), 1.0)
-
-    heads, head_of = np.unique(triples // width, return_inverse=True)
-    w = triples % width
-    head_n = pair_n[np.searchsorted(pairs, heads)] if len(heads) else np.zeros(0)
-    p3 = (triple_n - DISCOUNT) / head_n[head_of] if len(heads) else np.zeros(0)
-    middle = heads[head_of] % width if len(heads) else np.zeros(0, np.int64)
-    at = np.searchsorted(pairs, middle * width + w)
-    taken3 = np.bincount(head_of, p3, len(heads))
-    lower3 = np.bincount(head_of, p2[at] if len(heads) else None, len(heads))
-    back2 = np.maximum((1 - taken3) / np.maximum(1 - lower3, 1e-12), 1e-12)
-
-    # States: 0, then words and the start at 1 + id, then kept pairs that begin a kept triple.
-    pair_state = lambda key: _find(heads, key, 1 + width)
-    arcs = np.concatenate([(1 + u) * width + v, (1 + width + head_of) * width + w])
-    to2 = pair_state(pairs)
-    to3 = pair_state(middle * width + w)
-    nxt = np.concatenate([np.where(to2 < 0, 1 + v, to2), np.where(to3 < 0, 1 + w, to3)])
-    log_p = np.log10(np.maximum(np.concatenate([p2, p3]), 1e-300))
-    fail = np.concatenate([np.zeros(1 + width, np.int64), 1 + heads % width])
-    back = np.log10(np.concatenate([[1.0], back1, back2]))
-    order = np.argsort(arcs, kind="stable")
+def _backed(taken: np.ndarray, lower: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """log10 of backoff weights: what a context's arcs leave, over what the shorter context gives the other words."""
+    back = np.maximum((1 - taken / seen) / np.maximum(1 - lower, 1e-12), 1e-12)
+    return np.log10(np.where(taken > 0, back, 1.0))
+
+
+def automaton(base: Base, words: np.ndarray, two: Asked, told2: tuple, three: Asked, told3: tuple) -> Automaton:
+    """From the answers to a block's questions. ``words`` are the ids in the block, sorted, and the start's as the last."""
+    width = len(words)
+    local = lambda ids: np.searchsorted(words, ids)
+    n2, taken2, lower2 = told2
+    n3, taken3, lower3 = told3
+    whole = two.head * base.width + two.word
+    by = np.argsort(whole)
+    heads, of = np.unique(three.head, return_inverse=True)  # all of them kept pairs
+    seen = n2[by[np.searchsorted(whole[by], heads)]] if len(heads) else np.zeros(0, np.int64)
+
+    back = np.zeros(1 + width + len(heads))
+    back[1 + local(two.head)] = _backed(taken2, lower2, np.maximum(base.count(two.head), 1))
+    back[1 + width + of] = _backed(taken3, lower3, seen[of])
+    fail = np.concatenate([np.zeros(1 + width, np.int64), 1 + local(heads % base.width)])
+
+    k2, k3 = n2 > 0, n3 > 0
+    u, v, h, w = two.head[k2], two.word[k2], of[k3], three.word[k3]
+    arcs = np.concatenate([(1 + local(u)) * width + local(v), (1 + width + h) * width + local(w)])
+    p = np.concatenate([(n2[k2] - DISCOUNT) / base.count(u), (n3[k3] - DISCOUNT) / seen[h]])
+    longest = np.concatenate([whole[k2], heads[h] % base.width * base.width + w])
+    short = np.concatenate([1 + local(v), 1 + local(w)])
     if not len(arcs):
-        arcs, log_p, nxt, order = np.array([-1]), np.zeros(1), np.zeros(1, np.int64), np.array([0])
-    return Automaton(ids, width, arcs[order], log_p[order], nxt[order], fail, back, tokens, distinct)
-
-
-def _find(known: np.ndarray, keys: np.ndarray, first: int) -> np.ndarray:
-    """``first`` + place of each key in ``known`` (sorted), or -1."""
-    if not len(known):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, first + at, -1)
+        return Automaton(width, np.array([-1]), np.zeros(1), np.zeros(1, np.int64), fail, back)
+    if len(heads):
+        at = np.minimum(np.searchsorted(heads, longest), len(heads) - 1)
+        short = np.where(heads[at] == longest, 1 + width + at, short)
+    order = np.argsort(arcs)
+    return Automaton(width, arcs[order], np.log10(p)[order], short[order], fail, back)
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -377,24 +360,11 @@ class Block:
         n = np.bincount(asked.inverse, np.repeat(self.trained, self.sizes)[at], len(asked.head)).astype(np.int64)
         return np.where(asked.word == base.start, 0, n)
 
-    def score(self, base: Base, two: Asked, at2: np.ndarray, told2: tuple, three: Asked, at3: np.ndarray, told3: tuple) -> np.ndarray:
-        """log10 of the probability of every token."""
-        out = np.log10(base.unigram(self.ids))
-        n2 = told2[0]
-        for asked, at, (n, taken, lower), seen in (
-            (two, at2, told2, base.count(two.head)),
-            (three, at3, told3, None),
-        ):
-            if seen is None:
-                pair = np.full(len(self.ids), -1)
-                pair[at2] = two.inverse
-                seen = np.ones(len(asked.head), np.int64)
-                seen[asked.inverse] = n2[np.roll(pair, 1)[at]]
-            back = np.maximum((1 - taken / seen) / np.maximum(1 - lower, 1e-12), 1e-12)
-            back = np.log10(np.where(taken > 0, back, 1.0))[asked.inverse]
-            arc = np.log10(np.maximum(n - DISCOUNT, 1e-300) / seen)[asked.inverse]
-            out[at] = np.where(n[asked.inverse] > 0, arc, back + out[at])
-        return out
+    def score(self, base: Base, two: Asked, told2: tuple, three: Asked, told3: tuple) -> np.ndarray:
+        """log10 of the probability of every text."""
+        words = np.unique(np.append(self.ids, base.start))
+        model = automaton(base, words, two, told2, three, told3)
+        return model.traverse(np.searchsorted(words, self.ids), np.log10(base.unigram(self.ids)), self.first, self.sizes)
 
 
 _BLOCK = "block long, doc_id array<long>, held_out array<boolean>, sizes binary, tokens binary"
@@ -539,10 +509,10 @@ def score(
         size = told.column("size").to_numpy()
         two, at = block.pairs(m)
         told2 = two.read(m, told.filter(pa.array(size == 2)), spread2.value)
-        three, at3, _ = block.triples(m, two, at, told2[0])
+        three, _, _ = block.triples(m, two, at, told2[0])
         told3 = three.read(m, told.filter(pa.array(size == 3)), spread3.value)
-        logs = block.score(m, two, at, told2, three, at3, told3)
-        sums = [np.add.reduceat(x, block.first) for x in ((block.ids >= 0).astype(np.int64), np.log10(m.unigram(block.ids)), logs)]
+        sums = [np.add.reduceat(x, block.first) for x in ((block.ids >= 0).astype(np.int64), np.log10(m.unigram(block.ids)))]
+        sums.append(block.score(m, two, told2, three, told3))
         return pa.table(
             [
                 pa.array(here.column("doc_id")[0].as_py(), pa.int64()),

@@ -103,12 +103,37 @@ def test_nothing_to_learn_from_and_empty(spark):
     assert backoff.score(cases.empty(spark), F.lit(False)).count() == 0
 
 
-def test_traverse_orders_and_lengths():
-    a = backoff.automaton({b"a": 0}, np.array([3]), np.array([0, 2]), np.array([2, 2]), np.array([], np.int64), np.array([], np.int64), 2, 5, 2)
-    word, base = np.array([0, 0, -1, 0, -1]), np.log10(np.full(5, 0.2))
-    whole = a.traverse(word, base, np.array([0, 3]), np.array([3, 2]))
-    assert whole[0] == pytest.approx(a.traverse(word[:3], base[:3], np.array([0]), np.array([3]))[0])
-    assert whole[1] == pytest.approx(a.traverse(word[3:], base[3:], np.array([0]), np.array([2]))[0])
+def test_pieces_of_a_text_are_read_as_the_whole():
+    """Arcs over one, two and three words, failures from each; a text in pieces of any size has the same sum."""
+    width, rng = 4, np.random.default_rng(5)  # words 0 to 2, and the start
+    heads = [(0, 1), (1, 0), (3, 0)]
+    pair_state = {h: 1 + width + i for i, h in enumerate(heads)}
+    arcs, nxt = [], []
+    for u, v in [(0, 1), (1, 0), (3, 0), (2, 2), (1, 1)]:
+        arcs.append((1 + u) * width + v)
+        nxt.append(pair_state.get((u, v), 1 + v))
+    for u, v, w in [(0, 1, 0), (1, 0, 1), (1, 0, 0), (3, 0, 1)]:
+        arcs.append(pair_state[u, v] * width + w)
+        nxt.append(pair_state.get((v, w), 1 + w))
+    order = np.argsort(arcs)
+    fail = np.array([0] * (1 + width) + [1 + v for _, v in heads])
+    a = backoff.Automaton(width, np.array(arcs)[order], -rng.random(len(arcs)), np.array(nxt)[order], fail, -rng.random(len(fail)))
+    word, sizes = rng.integers(0, 3, 400), np.array([1, 250, 0, 3, 146])
+    base, first = -rng.random(400), np.cumsum(sizes) - sizes
+
+    def one(f, n):
+        s, total = a.start, 0.0
+        for t in range(f, f + n):
+            while (key := s * width + word[t]) not in a.arcs and s:
+                total, s = total + a.back[s], int(a.fail[s])
+            at = np.flatnonzero(a.arcs == key)
+            total += a.log_p[at[0]] if len(at) else base[t]
+            s = int(a.next[at[0]]) if len(at) else 1 + int(word[t])
+        return total
+
+    want = [one(f, n) for f, n in zip(first, sizes)]
+    for most in (2, 3, 7, 512):
+        assert a.traverse(word, base, first, sizes, most) == pytest.approx(want)
 
 
 def test_the_whole_model_by_default(spark):
