@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesship.llm.common import cut, slices
+from seriesship.llm.common import cut, shuffles_end_with_queries, slices
 
 #: The end of a text, counted as a token. No word holds white space.
 END = b"\n"
@@ -125,16 +125,18 @@ def automaton(base: Base, words: np.ndarray, two: Asked, told2: tuple, three: As
     """From the answers to a block's questions. ``words`` are the ids in the block, sorted, and the start's as the last."""
     width = len(words)
     local = lambda ids: np.searchsorted(words, ids)
-    n2, taken2, lower2 = told2
-    n3, taken3, lower3 = told3
+    (n2, sums2), (n3, sums3) = told2, told3
     whole = two.head * base.width + two.word
     by = np.argsort(whole)
     heads, of = np.unique(three.head, return_inverse=True)  # all of them kept pairs
     seen = n2[by[np.searchsorted(whole[by], heads)]] if len(heads) else np.zeros(0, np.int64)
 
     back = np.zeros(1 + width + len(heads))
-    back[1 + local(two.head)] = _backed(taken2, lower2, np.maximum(base.count(two.head), 1))
-    back[1 + width + of] = _backed(taken3, lower3, seen[of])
+    (arcs2, counts2, low2), (arcs3, counts3, low3) = sums2.T, sums3.T
+    lower2 = (low2 + SMOOTH * arcs2) / (base.tokens + SMOOTH * (base.distinct + 1))
+    lower3 = (low3 - DISCOUNT * arcs3) / np.maximum(base.count(three.head % base.width), 1)
+    back[1 + local(two.head)] = _backed(counts2 - DISCOUNT * arcs2, lower2, np.maximum(base.count(two.head), 1))
+    back[1 + width + of] = _backed(counts3 - DISCOUNT * arcs3, lower3, seen[of])
     fail = np.concatenate([np.zeros(1 + width, np.int64), 1 + local(heads % base.width)])
 
     k2, k3 = n2 > 0, n3 > 0
@@ -239,27 +241,27 @@ class Asked:
             out.append((b, block, pack(np.diff(self.head[at], prepend=0)), pack(self.word[at]), pack(count[at]), low))
         return pa.table([pa.array(list(c), t.type) for c, t in zip(list(zip(*out)) or [()] * 6, _ASK)], schema=_ASK)
 
-    def read(self, base: Base, answers: pa.Table, spread: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each (context, word): its count if kept, else 0; and the sums of its context."""
-        n, taken, lower = np.zeros(len(self.head), np.int64), np.zeros(len(self.head)), np.zeros(len(self.head))
-        for b, x, t, low in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "taken", "lower"))):
+    def read(self, base: Base, answers: pa.Table, spread: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """For each (context, word): its count if kept, else 0; and, by column, the three sums of its context."""
+        n, sums = np.zeros(len(self.head), np.int64), np.zeros((len(self.head), 3), np.int64)
+        for b, x, *own in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", *SUMS))):
             at = self.parts[b]
             n[at] = unpack(x)
             if b < base.buckets:
                 of = np.cumsum(np.diff(self.head[at], prepend=-1) != 0) - 1
-                taken[at], lower[at] = unpack(t)[of], unpack(low)[of]
-        heads, sums, lows = spread
-        far = np.flatnonzero(self.bucket >= base.buckets)
+                sums[at] = np.column_stack([unpack(y) for y in own])[of]
+        heads, far = spread[0], np.flatnonzero(self.bucket >= base.buckets)
         if len(far):
-            at = np.searchsorted(heads, self.head[far])
-            taken[far], lower[far] = sums[at], lows[at]
-        return n, taken, lower
+            sums[far] = spread[1][np.searchsorted(heads, self.head[far])]
+        return n, sums
 
 
 _ASK = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("head", pa.binary()), ("word", pa.binary()), ("count", pa.binary()), ("low", pa.binary())])
+#: Of a context, whole numbers: its kept arcs, their counts, and the counts of the same words after the shorter context.
+SUMS = ("arcs", "counts", "lower")
 _ANSWER = pa.schema(
-    [("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), ("taken", pa.binary()), ("lower", pa.binary())]
-    + [("head", pa.int64()), ("sum_taken", pa.float64()), ("sum_lower", pa.float64())]
+    [("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.binary()), *((c, pa.binary()) for c in SUMS)]
+    + [("head", pa.int64()), *((f"sum_{c}", pa.int64()) for c in SUMS)]
 )
 
 
@@ -286,32 +288,30 @@ def answered(asks: DataFrame, shared, order: int) -> DataFrame:
         n[n < base.least] = 0
         head = grams // base.width
         if order == 2:
-            weight = base.unigram(grams % base.width)
+            low = base.count(grams % base.width)
         else:
-            pair = np.zeros(len(grams), np.int64)
-            pair[place] = np.concatenate([unpack(x) for x in here.column("low").to_pylist()])
-            weight = (pair - DISCOUNT) / np.maximum(base.count(heads % base.width), 1)[head]
-        taken = np.bincount(head, np.where(n > 0, n - DISCOUNT, 0.0), len(heads))
-        lower = np.bincount(head, np.where(n > 0, weight, 0.0), len(heads))
+            low = np.zeros(len(grams), np.int64)
+            low[place] = np.concatenate([unpack(x) for x in here.column("low").to_pylist()])
+        kept = n > 0
+        sums = [np.bincount(head, np.where(kept, x, 0), len(heads)).astype(np.int64) for x in (kept, n, low)]
         spread, out, i = bucket >= base.buckets, [], 0
         for block, size in zip(blocks, sizes):
             at = of[i : i + size]
             own = at[np.diff(at, prepend=-1) != 0]
-            sums = (None, None) if spread else (pack(taken[own]), pack(lower[own]))
-            out.append((block, bucket, pack(n[place[i : i + size]]), *sums, None, None, None))
+            out.append((block, bucket, pack(n[place[i : i + size]]), *(None if spread else pack(x[own]) for x in sums), *[None] * 4))
             i += size
         if spread:
-            out += [(None, bucket, None, None, None, *x) for x in zip(heads.tolist(), taken.tolist(), lower.tolist())]
+            out += [(None, bucket, *[None] * 4, *x) for x in zip(heads.tolist(), *(x.tolist() for x in sums))]
         return pa.table([pa.array(list(c), f.type) for c, f in zip(zip(*out), _ANSWER)], schema=_ANSWER)
 
     return cut(asks.groupBy("bucket").applyInArrow(run, _ddl(_ANSWER)))
 
 
-def spread_sums(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, taken, lower) of spread contexts, of which there are fewer than a few times the buckets."""
-    sums = answers.where(F.col("block").isNull()).groupBy("head").agg(F.sum("sum_taken").alias("t"), F.sum("sum_lower").alias("l"))
+def spread_sums(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Spread contexts, of which there are fewer than a few times the buckets, and their sums by column."""
+    sums = answers.where(F.col("block").isNull()).groupBy("head").agg(*(F.sum(f"sum_{c}").alias(c) for c in SUMS))
     found = sums.toArrow().sort_by("head")
-    return tuple(found.column(c).to_numpy() for c in ("head", "t", "l"))
+    return found.column("head").to_numpy(), np.column_stack([found.column(c).to_numpy() for c in SUMS])
 
 
 @dataclass
@@ -448,6 +448,11 @@ def score(
     training rows every token is unknown. No rows give no rows. Other columns are ignored. For smaller models,
     ``word_share`` and ``gram_share`` leave out n-grams: words, and n-grams, below that share of all tokens.
     """
+    with shuffles_end_with_queries(docs.sparkSession):
+        return _score(docs, held_out, word_share, gram_share, block_bytes, bucket_tokens)
+
+
+def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: float, block_bytes: int, bucket_tokens: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), held_out.alias("held_out"), docs["text"].cast("binary").alias("text"))
     read = read_blocks(docs, block_bytes)
@@ -491,7 +496,7 @@ def score(
 
     pairs = answered(blocks.mapInArrow(ask_pairs, _ddl(_ASK)), shared, 2)
     spread2 = spark.sparkContext.broadcast(spread_sums(pairs))
-    pairs = pairs.where(F.col("block").isNotNull()).select("block", F.lit(2).alias("size"), "bucket", "n", "taken", "lower")
+    pairs = pairs.where(F.col("block").isNotNull()).select("block", F.lit(2).alias("size"), "bucket", "n", *SUMS)
 
     def ask_triples(here: pa.Table, told: pa.Table) -> pa.Table:
         m, block = shared.value, block_of(here)
@@ -502,7 +507,7 @@ def score(
     asks = blocks.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(ask_triples, _ddl(_ASK))
     triples = answered(asks, shared, 3)
     spread3 = spark.sparkContext.broadcast(spread_sums(triples))
-    triples = triples.where(F.col("block").isNotNull()).select("block", F.lit(3).alias("size"), "bucket", "n", "taken", "lower")
+    triples = triples.where(F.col("block").isNotNull()).select("block", F.lit(3).alias("size"), "bucket", "n", *SUMS)
 
     def answer(here: pa.Table, told: pa.Table) -> pa.Table:
         m, block = shared.value, block_of(here)

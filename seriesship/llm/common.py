@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: With it, Spark removes the shuffle files of a query when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_queries(spark: SparkSession) -> Iterator[None]:
+    """Frames made inside give their shuffle files back as soon as an action on them is done.
+
+    For chains of :func:`cut`: its rows are in the shared folder by then, and nothing reads those files again.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint if its ``rows``, of at most ``row_bytes`` each, stay under the limit; else as it is."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
