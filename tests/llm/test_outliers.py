@@ -62,15 +62,67 @@ def test_base_rule_and_fallbacks(judged):
     assert judged[900]["distance"] is None and judged[320]["distance"] is not None and judged[390]["distance"] is not None
 
 
-def test_estimate_is_near_that_of_the_clean_rows(spark):
+def concentrated(x, near):
+    """Exact concentration of one start, and the logarithm of the determinant that cores of full size end at."""
+    core, last = int(outliers.SHARE * len(x)), np.inf
+    while True:
+        place = x[near].mean(axis=0)
+        scatter = np.cov(x[near].T, bias=True) * outliers._consistency(outliers.SHARE) + np.diag(outliers.FLOOR)
+        log_det = np.linalg.slogdet(scatter)[1]
+        if len(near) == core and log_det > last - 1e-9:
+            return last, place, scatter
+        last, d = log_det if len(near) == core else np.inf, x - place
+        near = np.argsort(np.einsum("ni,ij,nj->n", d, np.linalg.inv(scatter), d))[:core]
+
+
+def least_determinant(x, starts=60):
+    """The best of many random starts of a few rows each."""
+    rng = np.random.default_rng(1)
+    return min((concentrated(x, rng.choice(len(x), 12, replace=False)) for _ in range(starts)), key=lambda f: f[0])
+
+
+def groups_of_vectors():
+    """Clean rows that hang together, with junk at one place, junk all about, and hardly any."""
     rng = np.random.default_rng(2)
-    clean = rng.normal([5, 5, 0, 0, 0, 0.9], [0.8, 0.5, 0.3, 0.1, 0.05, 0.02], (2000, 6))
-    dirty = np.vstack([clean, rng.normal([9, 9, 4, 1, 1, 0.2], 0.1, (400, 6))])
-    df = spark.createDataFrame([("en", "a", [float(v) for v in x]) for x in dirty], "lang string, source string, x array<double>")
-    fit = outliers.estimates(df).where("level = 0").first()
-    assert np.allclose(fit["place"], clean.mean(axis=0), atol=0.1)
-    spread = np.sqrt(np.diag(np.linalg.inv(np.array(fit["inverse"]).reshape(6, 6))) ** 1)
-    assert np.allclose(spread, np.sqrt(clean.std(axis=0) ** 2 + outliers.FLOOR), rtol=0.35)
+    mix = np.eye(6) + 0.5 * np.tri(6, k=-1)
+    clean = lambda n: [5, 5, 0, 0, 0, 0.9] + rng.normal(0, [0.8, 0.5, 0.3, 0.1, 0.05, 0.02], (n, 6)) @ mix
+    return {
+        "heap": (clean(1200), rng.normal([9, 9, 4, 1, 1, 0.2], 0.1, (700, 6))),
+        "all about": (clean(1200), rng.normal([5, 5, 3, 1, 0.5, 0.5], [3, 3, 2, 1, 1, 1], (500, 6))),
+        "few": (clean(800), rng.normal([9, 1, 4, 1, 1, 0.2], 0.1, (9, 6))),
+    }
+
+
+def test_least_determinant_against_brute_force(spark):
+    groups = groups_of_vectors()
+    rows = [("en", g, [float(v) for v in x]) for g, parts in groups.items() for x in np.vstack(parts)]
+    df = spark.createDataFrame(rows, "lang string, source string, x array<double>").repartition(5)
+    found = {r.source_key: r for r in outliers.cores(outliers._levels(df)).where("level = 0").collect()}
+    fits = {r.source_key: r for r in outliers.estimates(df).where("level = 0").collect()}
+    assert set(found) == set(fits) == set(groups)
+    limit = outliers.chi_square_quantile(0.9999, 6)
+    for g, (clean, junk) in groups.items():
+        log_det, place, scatter = least_determinant(np.vstack([clean, junk]))
+        assert found[g].log_det <= log_det + 0.02
+        assert np.allclose(found[g].place, place, atol=0.3 * np.sqrt(np.diag(scatter)).min())
+        inverse = np.array(fits[g].inverse).reshape(6, 6)
+        far = lambda x: np.einsum("ni,ij,nj->n", x - fits[g].place, inverse, x - fits[g].place) > limit  # noqa: E731, B023
+        assert far(clean).mean() < 0.01
+        assert far(junk).mean() > (0.85 if g == "all about" else 0.999)
+
+
+def test_estimate_does_not_depend_on_the_partitions(spark):
+    (clean, junk) = groups_of_vectors()["heap"]
+    rows = [("en", "a", [float(v) for v in x]) for x in np.vstack([clean, junk])]
+    df = spark.createDataFrame(rows, "lang string, source string, x array<double>")
+    one, many = (outliers.estimates(d).where("level = 0").first() for d in (df.coalesce(1), df.repartition(7)))
+    assert np.allclose(one["place"], many["place"]) and np.allclose(one["inverse"], many["inverse"], rtol=1e-4)
+
+
+def test_few_rows_have_no_estimate(spark):
+    df = spark.createDataFrame([("en", "a", [1.0] * 6)] * 9, "lang string, source string, x array<double>")
+    assert outliers.estimates(df).count() == 0
+    assert outliers.estimates(df.limit(0)).count() == 0
 
 
 def test_quantiles():
