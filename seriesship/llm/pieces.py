@@ -313,7 +313,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
 
         find = v.parts.findall
         # Held in the worker from task to task, as the broadcast vocabulary is.
-        memo, more = v.held.setdefault(n, (Memo(lambda s: v._proven(s, v._one(s)), 150_000), Memo(lambda s: v.nbest(s, n), 10_000)))
+        memo, more = v.held.setdefault(n, (Memo(lambda s: v._proven(s, v._one(s)), 60_000), Memo(lambda s: v.nbest(s, n), 4_000)))
         for batch in slices(batches, "text", 1 << 20):
             texts = batch.column(1).to_pylist()
             found = [find(" " + text) if text else [] for text in texts]
