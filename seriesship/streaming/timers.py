@@ -1,8 +1,10 @@
 """Retry timers: a stream of attempts becomes a stream of records that are due.
 
-For each (queue, record) the state holds the number of its latest attempt and when it is due. A failed attempt that may
-be repeated sets a timer for that time, a later one moves it, and one that ends the record takes it away. A record comes
-out when its timer goes off, so nothing else is looked at: cost follows the attempts and what is due, not what waits.
+For each record of a queue the state holds the number of its latest attempt and when it is due. A failed attempt that may
+be repeated sets that time, a later one moves it, and one that ends the record takes it away. A queue numbers its records
+in a row, so ``2**BLOCK_BITS`` neighbours share one state and one timer, that of the first of them to be due. A block is
+read and written once for all its attempts of a micro-batch, and once when some of its records are due; no other block is
+looked at.
 """
 
 from __future__ import annotations
@@ -21,44 +23,78 @@ from seriesship.operators.outcome import RETRYABLE, attempt_class, with_due
 #: The state store that timers need.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DUE = "queue string, record_id bigint, tries int, due_ms bigint"
-_STATE = "tries int, due_ms bigint, over boolean"
+#: Neighbours whose state is kept together, as a power of two. Also the most that a touched record makes read.
+BLOCK_BITS = 8
+_STATE = "record_id array<bigint>, tries array<int>, due_ms array<bigint>, over array<boolean>"
+_NAMES = ["record_id", "tries", "due_ms", "over"]
+#: The time of a record that woke and has not been tried again.
+NO_TIME = (1 << 63) - 1
 
 
 class RetryTimers(StatefulProcessor):
-    """State and timer of one (queue, record). ``forget_ms``: how long an ended record is known, so that attempts that
-    are read again, of which a source may have any number, do not bring it back."""
+    """State and timer of a block of one queue's records. ``forget_ms``: how long an ended record is known, so that
+    attempts that are read again, of which a source may have any number, do not bring it back."""
 
-    def __init__(self, forget_ms: int) -> None:
-        self.forget_ms = forget_ms
+    def __init__(self, forget_ms: int, clock: str = "event") -> None:
+        self.forget_ms, self.clock = forget_ms, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getValueState("held", _STATE)
 
+    def _known(self) -> pd.DataFrame:
+        columns = self.held.get() if self.held.exists() else ([], [], [], [])
+        known = pd.DataFrame({n: list(c) for n, c in zip(_NAMES, columns)})
+        return known.astype({"record_id": "int64", "tries": "int64", "due_ms": "int64", "over": "bool"})
+
+    def _keep(self, known: pd.DataFrame, before: int) -> None:
+        """Writes the block down and sets its timer, which was at ``before``."""
+        first = int(known["due_ms"].min()) if len(known) else NO_TIME
+        if len(known):
+            self.held.update(tuple(known[n].tolist() for n in _NAMES))
+        else:
+            self.held.clear()
+        if first != before:
+            if before != NO_TIME:
+                self.handle.deleteTimer(before)
+            if first != NO_TIME:
+                self.handle.registerTimer(first)
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        tries, before, _ = self.held.get() if self.held.exists() else (0, None, False)
-        latest, state = (tries, float("inf")), None  # what has been counted changes nothing when it comes again
+        latest = None
         for frame in rows:
-            for r in frame.itertuples(index=False):
-                if (r.attempt, r.at_ms) > latest:
-                    latest = (r.attempt, r.at_ms)
-                    ended = r.removed is not None
-                    state = (int(r.attempt), int(r.at_ms + self.forget_ms if ended else r.due_ms), ended)
-        if state is not None:
-            if before is not None:
-                self.handle.deleteTimer(before)
-            self.held.update(state)
-            self.handle.registerTimer(state[1])
+            both = frame if latest is None else pd.concat([latest, frame], ignore_index=True)
+            latest = both.sort_values(["attempt", "at_ms"], ascending=False, kind="stable").drop_duplicates("record_id")
+        known = self._known()
+        # What has been counted changes nothing when it comes again.
+        tries = latest["record_id"].map(known.set_index("record_id")["tries"]).fillna(0)
+        new = latest[latest["attempt"] > tries]
+        if len(new):
+            over = new["removed"].notna()
+            state = pd.DataFrame(
+                {
+                    "record_id": new["record_id"],
+                    "tries": new["attempt"].astype("int64"),
+                    "due_ms": new["due_ms"].where(~over, new["at_ms"] + self.forget_ms),
+                    "over": over,
+                }
+            )
+            before = int(known["due_ms"].min()) if len(known) else NO_TIME
+            others = known[~known["record_id"].isin(state["record_id"])]
+            self._keep(pd.concat([others, state], ignore_index=True) if len(others) else state, before)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if self.held.exists():
-            tries, due, over = self.held.get()
-            if over:
-                self.held.clear()
-            elif due == expiredTimerInfo.getExpiryTimeInMs():
-                # One wake for an attempt: a timer is gone once it went off.
-                yield pd.DataFrame({"queue": [key[0]], "record_id": [key[1]], "tries": [tries], "due_ms": [due]})
+        event = self.clock == "event"
+        now = timerValues.getCurrentWatermarkInMs() if event else timerValues.getCurrentProcessingTimeInMs()
+        known = self._known()
+        due = known["due_ms"] <= now
+        woken = known[due & ~known["over"]]
+        # One wake for an attempt; an ended record is forgotten. The timer that went off is gone.
+        left = known[~(due & known["over"])]
+        self._keep(left.assign(due_ms=left["due_ms"].mask(due, NO_TIME)), NO_TIME)
+        if len(woken):
+            yield woken.assign(queue=key[0])[["queue", "record_id", "tries", "due_ms"]]
 
     def close(self) -> None:
         pass
@@ -87,6 +123,7 @@ def due_records(
     waits = F.when(F.col("outcome") == RETRYABLE, F.col("next_due_ms")).otherwise(F.col("at_ms"))
     rows = judged.select(
         "queue",
+        F.shiftright("record_id", BLOCK_BITS).alias("block"),
         "record_id",
         "attempt",
         "at_ms",
@@ -99,4 +136,4 @@ def due_records(
     if clock == "event":
         rows = rows.withWatermark("at", lateness)
     mode = "EventTime" if clock == "event" else "ProcessingTime"
-    return rows.groupBy("queue", "record_id").transformWithStateInPandas(RetryTimers(forget_ms), DUE, "Append", mode)
+    return rows.groupBy("queue", "block").transformWithStateInPandas(RetryTimers(forget_ms, clock), DUE, "Append", mode)

@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,67 @@ def test_the_stream_agrees_with_the_batch(spark, feed):
 def test_unknown_clock(spark):
     with pytest.raises(ValueError, match="clock"):
         T.due_records(spark.createDataFrame([], ATTEMPTS), RETRY, clock="sun")
+
+
+class Store:
+    """A block's state and its timers, without a stream. Counts how often the state is read and written."""
+
+    def __init__(self):
+        self.value, self.timers, self.uses = None, set(), 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.uses += 1
+        return self.value
+
+    def update(self, value):
+        self.uses += 1
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+
+class At:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.now
+
+
+def test_neighbours_share_one_state_and_one_timer():
+    store = Store()
+    timers = T.RetryTimers(1_000)
+    timers.init(store)
+    columns = ["record_id", "attempt", "at_ms", "removed", "due_ms"]
+    frame = lambda *rows: pd.DataFrame(rows, columns=columns)
+    many = frame(*[(i, 1, 10, "sent" if i == 7 else None, 100 + i) for i in range(200)])
+    assert list(timers.handleInputRows(("q", 0), iter([many[:90], many[90:]]), None)) == []
+    assert store.timers == {100} and store.uses == 1
+    [out] = timers.handleExpiredTimer(("q", 0), At(249), None)
+    store.timers.remove(100)  # went off
+    assert out["record_id"].tolist() == [i for i in range(150) if i != 7]
+    assert store.timers == {250} and store.uses == 3
+    # Read again, tried again, ended: records 3 (nothing new), 4 (again), 160 (gone before it was due).
+    again = frame((3, 1, 10, None, 103), (4, 2, 300, None, 400), (160, 2, 300, "dropped", 300))
+    assert list(timers.handleInputRows(("q", 0), iter([again]), None)) == []
+    [out] = timers.handleExpiredTimer(("q", 0), At(2_000), None)
+    assert out["record_id"].tolist() == [i for i in range(150, 200) if i != 160] + [4]
+    assert out["tries"].tolist() == [1] * 49 + [2] and not {7, 160} & set(store.value[0])
+
+
+def test_blocks_and_far_numbers(feed):
+    rows = [("q", i, 1, 10_000) for i in (-(1 << 63), -1, 0, 255, 256, (1 << 63) - 1)]
+    assert feed(*rows, clock(20_000)) == [("q", r[1], 1, 11_000) for r in rows]
