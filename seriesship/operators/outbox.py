@@ -426,21 +426,17 @@ class Outbox:
         """
         snap, covered = self._snapshot()
         upto = dict(covered)
-        for table, schema, source in (("epochs", EPOCHS, "records"), ("attempts", LEDGER, "attempts"), ("finished", FINISHED, "finished")):
+        def epochs(table: str, schema: str, source: str) -> DataFrame:
             # Partition values alone: no file is opened for the columns.
-            since = self._since(table, schema, {(table, w): e for (s, w), e in covered.items() if s == source})
-            top = W.partitionBy("writer").orderBy(F.desc("epoch"))
-            epochs = since.select("writer", "epoch").distinct().withColumn("rn", F.row_number().over(top))
-            for r in epochs.where(F.col("rn") > keep).groupBy("writer").agg(F.max("epoch").alias("upto")).collect():
-                upto[source, r["writer"]] = r["upto"]
-        # A drain is covered as a whole.
-        for writer in {w for s, w in upto if s != "records"}:
-            reach = [upto.get((s, writer)) for s in ("attempts", "finished")]
-            for s, e in zip(("attempts", "finished"), reach):
-                if None in reach:
-                    upto.pop((s, writer), None)
-                else:
-                    upto[s, writer] = min(reach)
+            return self._since(table, schema, {(table, w): e for (s, w), e in covered.items() if s == source}).select("writer", "epoch")
+
+        # A drain is covered as a whole; one that delivers or ends nothing leaves no row in one of its tables.
+        drained = epochs("attempts", LEDGER, "attempts").union(epochs("finished", FINISHED, "finished"))
+        top = W.partitionBy("writer").orderBy(F.desc("epoch"))
+        for known, sources in ((epochs("epochs", EPOCHS, "records"), ("records",)), (drained, ("attempts", "finished"))):
+            ranked = known.distinct().withColumn("rn", F.row_number().over(top))
+            for r in ranked.where(F.col("rn") > keep).groupBy("writer").agg(F.max("epoch").alias("upto")).collect():
+                upto.update({(source, r["writer"]): r["upto"] for source in sources})
         if upto == covered:
             return None
         new = 0 if snap is None else snap + 1
