@@ -26,8 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of one partition are held by a task as arrays; larger partitions are split again.
-ROWS_PER_PART = 4_000_000
+# Rows of one partition are held by a task as arrays, of about 500 bytes a row in all at the peak. Splits aim at half
+# of this number; larger partitions are split again.
+ROWS_PER_PART = 1_000_000
 NEVER = -(1 << 60)
 UNLIMITED = 1 << 60
 
@@ -94,13 +95,17 @@ def split_ordered(
     """Sort rows by (key, order) over the cluster. The order must be unique in each key; a null key is one of its own.
 
     The checkpoint fixes which partition a row is in, so that later passes, and tasks run again after an
-    executor is lost, see the same split. What comes back to the driver is one row per partition. Should the
-    session's number of shuffle partitions be too small for the rows, a larger one is worked out.
+    executor is lost, see the same split. What comes back to the driver is one row per partition. Without
+    ``partitions``, rows are counted first: many of them get the session's number of shuffle partitions or, should
+    that be too small for them, a larger one, which is not reduced to what is a good size of a file.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     by = [key, *order]
     # Range partitioning reads its input twice, first for a sample; what made the rows runs once.
     df = df.persist()
+    if partitions is None and (count := df.count()) > ROWS_PER_PART:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * count // ROWS_PER_PART + 1)
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     fixed = ranged.sortWithinPartitions(*by).checkpoint(eager=False)
     stats = stats or {}

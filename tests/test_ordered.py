@@ -51,6 +51,28 @@ def test_partitions_with_too_many_rows_are_split_again(units, monkeypatch):
     assert {(r.k, r.o): r.batch_no for r in got} == plain_batches(rows, 17, 517)
 
 
+def test_small_partitions_are_not_put_together_beyond_the_limit(spark, monkeypatch):
+    """Many narrow rows would fit into few partitions by their bytes; tasks hold them as arrays."""
+    monkeypatch.setattr(ordered, "ROWS_PER_PART", 5_000)
+    rows = spark.range(40_000).selectExpr("id % 2 as k", "id as o")
+    before = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.coalescePartitions.parallelismFirst",)}
+    seen, jobs = [], ordered.split_ordered
+    monkeypatch.setattr(ordered, "split_ordered", lambda *a, **k: seen.append(a) or jobs(*a, **k))
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        split = ordered.split_ordered(rows, "k", ["o"])
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    assert max(p.rows for p in split.parts) <= 5_000 and sum(p.rows for p in split.parts) == 40_000
+    assert len(seen) == 1  # split once, not again
+
+
+def test_partitions_hold_a_bounded_number_of_rows():
+    """Four tasks of an executor, at 500 bytes a row, have to stay well under its memory."""
+    assert 4 * 500 * ordered.ROWS_PER_PART <= 2_000_000_000
+
+
 def test_batches_by_count(units):
     rows, df = units
     got = batch_numbers_by_count(df, "k", ["o"], 7, 9).collect()
