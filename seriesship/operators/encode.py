@@ -13,6 +13,8 @@ from seriesship.functions import wire
 from seriesship.schema import LABELS, SAMPLES
 
 ROWS_PER_SLICE = 32
+#: Encoded bodies leave a task together: so many, or so many bytes, whichever comes first.
+BODIES, BODY_BYTES = 1000, 4 << 20
 
 
 def encode_batches(
@@ -20,8 +22,9 @@ def encode_batches(
 ) -> DataFrame:
     """One request row per (key, batch_no), its series in order.
 
-    Rows are placed by batch, so one key's batches spread over the cluster, and a task holds one body at a
-    time. Label bytes are made by Spark expressions; the task adds samples and compresses.
+    Rows are placed by batch, so one key's batches spread over the cluster, and a task holds the series of one body
+    at a time, beside a few small finished ones. Label bytes are made by Spark expressions; the task adds samples and
+    compresses.
     """
     order = [order] if isinstance(order, str) else list(order)
     samples = (
@@ -43,13 +46,16 @@ def encode_batches(
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current = [], None
+        held, current, done, size = [], None, [], 0
 
         def finish():
             raw = b"".join(held)
-            row = [current[0], current[1], len(held), len(raw), wire.compress(raw)]
+            done.append((*current, len(held), len(raw), wire.compress(raw)))
+            return len(done[-1][-1])
+
+        def finished():
             types = [key_type, pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=names)
 
         names = [key, "batch_no", "n_series", "raw_bytes", "body"]
         for batch in batches:
@@ -58,11 +64,15 @@ def encode_batches(
             for k, no, labels, values, stamps in zip(*cols):
                 if (k, no) != current:
                     if current is not None:
-                        yield finish()
+                        size += finish()
+                        if len(done) >= BODIES or size >= BODY_BYTES:
+                            yield finished()
+                            done, size = [], 0
                     held, current = [], (k, no)
                 held.append(wire.series_wire(labels, zip(values or (), stamps or ())))
         if current is not None:
-            yield finish()
+            finish()
+            yield finished()
 
     kind = dict(batched.dtypes)[key]
     schema = f"`{key}` {kind}, batch_no bigint, n_series bigint, raw_bytes bigint, body binary"

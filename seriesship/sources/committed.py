@@ -45,7 +45,7 @@ from seriesship.schema import FAMILIES, REQUESTS, SERIES
 
 COMMITS, FILES = "_commits", "files"
 #: Bytes of files that one task reads, at least one file.
-PART_BYTES = 128 << 20
+PART_BYTES = 16 << 20
 ROWS_PER_GROUP = 1 << 16
 
 

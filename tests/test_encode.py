@@ -73,6 +73,32 @@ def test_bytes_equal_a_plain_marshal_and_decode_back(spark):
     ] == [(k, no, labels, samples) for k, no, _, labels, samples in want]
 
 
+class Frame:
+    """Stands for placed rows: hands the task function batches of them and keeps what it yields."""
+
+    def __init__(self, batch):
+        self.batch, self.dtypes = batch, [("push_key", "string")]
+
+    def __getattr__(self, name):
+        return lambda *a, **k: self
+
+    columns = ("samples",)
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        self.out = list(run(iter([self.batch])))
+        return self
+
+
+def test_small_bodies_leave_a_task_together(spark):
+    n = 2_500
+    names = ["push_key", "batch_no", "label_bytes", "values", "stamps"]
+    columns = [["p"] * n, list(range(n)), [b""] * n, [[1.0]] * n, [[7]] * n]
+    frame = Frame(pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names))
+    encode_batches(frame, order="ord")
+    assert [b.num_rows for b in frame.out] == [1000, 1000, 500]
+    assert [no for b in frame.out for no in b.column("batch_no").to_pylist()] == list(range(n))
+
+
 def test_flattened_rows_encode_their_one_sample(spark):
     df = spark.createDataFrame(
         [("p", 0, 0, [("__name__", "m")], 2.0, 7)],
