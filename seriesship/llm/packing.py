@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from seriesship.llm.common import Memo, slices
+from seriesship.llm.common import slices
 
 SCHEMA = (
     "pack_id long, n_tokens int, ids binary, position_ids binary, cu_seqlens array<int>, "
@@ -41,6 +41,8 @@ _ARROW = pa.schema(
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Runs that the encoder's own pattern never joins: it can take them one by one.
 _RUN = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Characters of a text that the encoder is given at once; of a longer one it is given run by run.
+AT_ONCE = 1 << 20
 
 
 class Room:
@@ -137,7 +139,7 @@ def pack(
     kind = np.dtype("<u2" if max(end_id, pad_id, length) < 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(_encoder(shared))
+        encode = shared.value()
         task = TaskContext.get().partitionId() << 40
         steps = np.arange(length).astype(kind)
         made, held, size = 0, [], 0
@@ -168,14 +170,12 @@ def pack(
             for doc, text in zip(batch.column(id_column).to_pylist(), batch.column(text_column).to_pylist()):
                 if text is None:
                     continue
-                ids = np.fromiter(chain.from_iterable(map(memo.__getitem__, _RUN.findall(text))), kind)
-                ids = np.append(ids, kind.type(end_id))
+                ids = np.append(_ids(encode, text, kind), kind.type(end_id))
                 whole = len(ids) // length * length
                 full += [(doc, at, ids[at : at + length]) for at in range(0, whole, length)]
                 if whole < len(ids):
                     held.append((doc, whole, ids[whole:]))
                     size += len(ids) - whole
-            memo.trim()
             yield from rows(full, [[i] for i in range(len(full))])
             if size >= window:
                 yield from rows(held, best_fit([len(x[2]) for x in held], length))
@@ -185,6 +185,8 @@ def pack(
     return df.select(df[id_column].cast("long").alias(id_column), text_column).mapInArrow(run, SCHEMA)
 
 
-def _encoder(shared) -> Callable[[str], tuple[int, ...]]:
-    encode = shared.value()
-    return lambda text: tuple(encode(text))
+def _ids(encode: Callable[[str], list[int]], text: str, kind: np.dtype, at_once: int = AT_ONCE) -> np.ndarray:
+    """Ids of a text; those of a long one are never held as a list."""
+    if len(text) <= at_once:
+        return np.array(encode(text), kind)
+    return np.fromiter(chain.from_iterable(encode(run[0]) for run in _RUN.finditer(text)), kind)

@@ -81,3 +81,18 @@ def test_runs_do_not_change_the_encoding():
 def test_empty(spark):
     make = packing.RanksEncoder(RANKS, queries.PATTERN)
     assert packing.pack(cases.empty(spark), make, length=8, end_id=1, pad_id=0).count() == 0
+
+
+def test_texts_are_given_to_the_encoder_at_once():
+    asked = []
+    encode = lambda text: asked.append(text) or [*map(ord, text)]
+    assert packing._ids(encode, "ab cd  e", np.dtype("<u2")).tolist() == [*map(ord, "ab cd  e")]
+    assert asked == ["ab cd  e"]
+
+
+@pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary here")
+@pytest.mark.parametrize("text", ["", " ", "a  b\n\n c", cases.ODD[9][1]])
+def test_long_texts_have_the_same_ids(text):
+    encode = packing.RanksEncoder(RANKS, queries.PATTERN)()
+    kind = np.dtype("<u2")
+    assert packing._ids(encode, text, kind, 0).tolist() == packing._ids(encode, text, kind).tolist() == encode(text)
