@@ -247,7 +247,7 @@ class Vocabulary:
 
     def _proven(self, text: str, found: tuple[bytes, float, float]) -> tuple[bytes, float, float, bool]:
         """``found`` and whether decoding it gives the text back."""
-        return (*found, self.decode(np.frombuffer(found[0], np.int32).tolist(), 0) == text)
+        return (*found, self.decode(memoryview(found[0]).cast("i"), 0) == text)
 
     def decode(self, ids: Sequence[int], skip: int = 1) -> str:
         """The text of ids: pieces, and runs of bytes as UTF-8; the blank put before the text (``skip``) is taken off."""
