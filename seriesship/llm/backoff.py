@@ -51,9 +51,30 @@ _OUT = pa.schema(
 )
 
 
-def words(text: bytes | None) -> list[bytes]:
-    """The words of a UTF-8 text, A-Z lower-cased; bytes know ASCII letters and white space only."""
-    return text.lower().split() if text else []
+def words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all words in turn, A-Z lower-cased; only ASCII letters and white space count."""
+    text = pa.compute.ascii_trim_whitespace(pa.compute.ascii_lower(texts.fill_null(b"").view(pa.string())))
+    found = pa.compute.ascii_split_whitespace(text)
+    sizes = pa.compute.list_value_length(found).to_numpy().astype(np.int64)
+    flat, none = found.flatten(), pa.compute.equal(text, "")
+    return np.where(none.to_numpy(zero_copy_only=False), 0, sizes), flat.filter(pa.compute.not_equal(flat, "")).view(pa.binary())
+
+
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones of whole numbers from 0 on, sorted, and the place of each among them.
+
+    Where both fit in 64 bits, number and place are sorted as one number, which is several times faster than an argsort.
+    """
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits > 63:
+        return np.unique(key, return_inverse=True)
+    both = np.sort((key << bits) | np.arange(len(key)))
+    place = both & ((1 << bits) - 1)
+    both >>= bits
+    new = np.diff(both, prepend=-1) != 0
+    inverse = np.empty(len(key), np.int64)
+    inverse[place] = np.cumsum(new) - 1
+    return both[new], inverse
 
 
 @dataclass
@@ -68,11 +89,36 @@ class Automaton:
     fail: np.ndarray
     back: np.ndarray
 
+    def __post_init__(self) -> None:
+        # An open table of the arcs by hash: the first free slot from that of the hash on.
+        self.bits = (2 * len(self.arcs)).bit_length()
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        todo, at = np.arange(len(self.arcs), dtype=np.int32), self._slot(self.arcs)
+        while len(todo):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = todo[free]
+            on = self.slots[at] != todo
+            todo, at = todo[on], (at[on] + 1) & (len(self.slots) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _arc(self, key: np.ndarray) -> np.ndarray:
+        """The number of the arc state * width + word, -1 if there is none."""
+        slot = self._slot(key)
+        at = self.slots[slot]
+        wrong = np.flatnonzero((self.arcs[at] != key) & (at >= 0))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & (len(self.slots) - 1)
+            at[wrong] = self.slots[slot[wrong]]
+            wrong = wrong[(self.arcs[at[wrong]] != key[wrong]) & (at[wrong] >= 0)]
+        return at
+
     @property
     def start(self) -> int:
         return self.width  # the last word stands for the start of a text
 
-    def traverse(self, word: np.ndarray, base: np.ndarray, first: np.ndarray, sizes: np.ndarray, most: int = 512) -> np.ndarray:
+    def traverse(self, word: np.ndarray, base: np.ndarray, first: np.ndarray, sizes: np.ndarray, most: int = 64) -> np.ndarray:
         """log10 of the probability of each text: ``sizes[k]`` tokens from ``first[k]`` on, read from left to right.
 
         ``word`` has the block's own word numbers, ``base`` the unigram log-probabilities. Texts are read side by side.
@@ -99,16 +145,15 @@ class Automaton:
         gained = np.zeros(len(state))
         todo, s, w = np.arange(len(state)), state.copy(), word
         while len(todo):
-            key = s * self.width + w
-            at = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-            hit = self.arcs[at] == key
-            gained[todo[hit]] += self.log_p[at[hit]]
-            state[todo[hit]] = self.next[at[hit]]
-            root = ~hit & (s == 0)
-            done = todo[root]
+            at = self._arc(s * self.width + w)
+            hit = np.flatnonzero(at >= 0)
+            done, at_hit = todo[hit], at[hit]
+            gained[done] += self.log_p[at_hit]
+            state[done] = self.next[at_hit]
+            done = todo[(at < 0) & (s == 0)]
             gained[done] += base[done]
             state[done] = 1 + word[done]
-            on = ~hit & (s != 0)
+            on = np.flatnonzero((at < 0) & (s != 0))
             todo, s, w = todo[on], s[on], w[on]
             gained[todo] += self.back[s]
             s = self.fail[s]
@@ -123,35 +168,29 @@ def _backed(taken: np.ndarray, lower: np.ndarray, seen: np.ndarray) -> np.ndarra
 
 def automaton(base: Base, words: np.ndarray, two: Asked, told2: tuple, three: Asked, told3: tuple) -> Automaton:
     """From the answers to a block's questions. ``words`` are the ids in the block, sorted, and the start's as the last."""
-    width = len(words)
-    local = lambda ids: np.searchsorted(words, ids)
+    width, n = len(words), base.count(words)
     (n2, sums2), (n3, sums3) = told2, told3
-    whole = two.head * base.width + two.word
-    by = np.argsort(whole)
-    heads, of = np.unique(three.head, return_inverse=True)  # all of them kept pairs
-    seen = n2[by[np.searchsorted(whole[by], heads)]] if len(heads) else np.zeros(0, np.int64)
+    heads = three.contexts  # all of them kept pairs
+    seen = n2[heads]
 
     back = np.zeros(1 + width + len(heads))
     (arcs2, counts2, low2), (arcs3, counts3, low3) = sums2.T, sums3.T
     lower2 = (low2 + SMOOTH * arcs2) / (base.tokens + SMOOTH * (base.distinct + 1))
-    lower3 = (low3 - DISCOUNT * arcs3) / np.maximum(base.count(three.head % base.width), 1)
-    back[1 + local(two.head)] = _backed(counts2 - DISCOUNT * arcs2, lower2, np.maximum(base.count(two.head), 1))
-    back[1 + width + of] = _backed(counts3 - DISCOUNT * arcs3, lower3, seen[of])
-    fail = np.concatenate([np.zeros(1 + width, np.int64), 1 + local(heads % base.width)])
-
-    k2, k3 = n2 > 0, n3 > 0
-    u, v, h, w = two.head[k2], two.word[k2], of[k3], three.word[k3]
-    arcs = np.concatenate([(1 + local(u)) * width + local(v), (1 + width + h) * width + local(w)])
-    p = np.concatenate([(n2[k2] - DISCOUNT) / base.count(u), (n3[k3] - DISCOUNT) / seen[h]])
-    longest = np.concatenate([whole[k2], heads[h] % base.width * base.width + w])
-    short = np.concatenate([1 + local(v), 1 + local(w)])
+    lower3 = (low3 - DISCOUNT * arcs3) / np.maximum(n[two.last[heads]][three.of], 1)
+    back[1 + two.of] = _backed(counts2 - DISCOUNT * arcs2, lower2, np.maximum(n[two.of], 1))
+    back[1 + width + three.of] = _backed(counts3 - DISCOUNT * arcs3, lower3, seen[three.of])
+    fail = np.concatenate([np.zeros(1 + width, np.int64), 1 + two.last[heads]])
+
+    # An arc leads to the pair that its last two words make, if the block goes on from it, else to its last word.
+    state = 1 + two.last
+    state[heads] = 1 + width + np.arange(len(heads))
+    k2, k3 = np.flatnonzero(n2), np.flatnonzero(n3)
+    u, h = two.of[k2], three.of[k3]
+    arcs = np.concatenate([(1 + u) * width + two.last[k2], (1 + width + h) * width + three.last[k3]])
     if not len(arcs):
         return Automaton(width, np.array([-1]), np.zeros(1), np.zeros(1, np.int64), fail, back)
-    if len(heads):
-        at = np.minimum(np.searchsorted(heads, longest), len(heads) - 1)
-        short = np.where(heads[at] == longest, 1 + width + at, short)
-    order = np.argsort(arcs)
-    return Automaton(width, arcs[order], np.log10(p)[order], short[order], fail, back)
+    p = np.concatenate([(n2[k2] - DISCOUNT) / n[u], (n3[k3] - DISCOUNT) / seen[h]])
+    return Automaton(width, arcs, np.log10(p), np.concatenate([state[k2], state[three.pair[k3]]]), fail, back)
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -218,23 +257,30 @@ def _mixed(key: np.ndarray) -> np.ndarray:
 
 
 class Asked:
-    """The distinct (context, word) of a block at one order, by bucket, and the place of each token among them."""
+    """The distinct (context, word) of a block at one order, sorted, the place of each token among them, and their buckets.
 
-    def __init__(self, base: Base, head: np.ndarray, word: np.ndarray, inverse: np.ndarray, seen: np.ndarray) -> None:
-        """``head`` and ``word`` are sorted; ``seen`` tells how often the context occurs."""
+    ``contexts`` are the block's own words or, at order 3, pairs; ``of`` and ``last`` tell context and word of each in the
+    block's numbers, ``head`` and ``word`` in ids. ``pair`` is the pair of the last two words, where that is kept.
+    """
+
+    def __init__(
+        self, base: Base, contexts: np.ndarray, of: np.ndarray, last: np.ndarray, head: np.ndarray, word: np.ndarray,
+        inverse: np.ndarray, seen: np.ndarray, pair: np.ndarray | None = None,
+    ) -> None:
+        """``seen`` tells how often the context occurs."""
+        self.contexts, self.of, self.last, self.head, self.word = contexts, of, last, head, word
+        self.inverse, self.pair = inverse, pair
         light, spread = _mixed(head), _mixed(_mixed(head) + word.astype(np.uint64))
         n = np.uint64(base.buckets)
-        bucket = np.where(seen > base.heavy, spread % n + n, light % n).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        self.head, self.word, self.bucket = head[order], word[order], bucket[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.order, self.inverse = order, place[inverse]
+        bucket = np.where(seen > base.heavy, spread % n + n, light % n)
+        bucket = bucket.astype(np.uint16 if base.buckets < 1 << 15 else np.int64)  # short numbers are sorted faster
+        self.order = np.argsort(bucket, kind="stable")
+        self.bucket = bucket[self.order].astype(np.int64)
         first = np.flatnonzero(np.diff(self.bucket, prepend=-1))
-        self.parts = {int(self.bucket[i]): slice(i, j) for i, j in zip(first, np.append(first[1:], len(order)))}
+        self.parts = {int(self.bucket[i]): self.order[i:j] for i, j in zip(first, np.append(first[1:], len(bucket)))}
 
     def rows(self, block: int, count: np.ndarray, lower: np.ndarray | None = None) -> pa.Table:
-        """What goes to the buckets; ``count`` and ``lower`` in this object's order."""
+        """What goes to the buckets."""
         out: list[tuple] = []
         for b, at in self.parts.items():
             low = None if lower is None else pack(lower[at])
@@ -250,7 +296,7 @@ class Asked:
             if b < base.buckets:
                 of = np.cumsum(np.diff(self.head[at], prepend=-1) != 0) - 1
                 sums[at] = np.column_stack([unpack(y) for y in own])[of]
-        heads, far = spread[0], np.flatnonzero(self.bucket >= base.buckets)
+        heads, far = spread[0], self.order[np.searchsorted(self.bucket, base.buckets) :]
         if len(far):
             sums[far] = spread[1][np.searchsorted(heads, self.head[far])]
         return n, sums
@@ -281,9 +327,9 @@ def answered(asks: DataFrame, shared, order: int) -> DataFrame:
         sizes = [len(x) for x in parts]
         word = np.concatenate([unpack(x) for x in here.column("word").to_pylist()])
         count = np.concatenate([unpack(x) for x in here.column("count").to_pylist()])
-        heads, of = np.unique(np.concatenate(parts), return_inverse=True)
+        heads, of = distinct(np.concatenate(parts))
         del parts
-        grams, place = np.unique(of * base.width + word, return_inverse=True)
+        grams, place = distinct(of * base.width + word)
         n = np.bincount(place, count, len(grams)).astype(np.int64)
         n[n < base.least] = 0
         head = grams // base.width
@@ -316,9 +362,11 @@ def spread_sums(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Block:
-    """Texts as ids (-1: unknown), one after another with their ends."""
+    """Texts one after another with their ends, as the block's own numbers of words. ``words`` are the ids, sorted (-1:
+    unknown), with the start's as the last."""
 
-    ids: np.ndarray
+    words: np.ndarray
+    tokens: np.ndarray
     sizes: np.ndarray
     trained: np.ndarray
 
@@ -327,44 +375,50 @@ class Block:
 
     def pairs(self, base: Base) -> tuple[Asked, np.ndarray]:
         """What is asked about pairs, and the tokens (by number) that have a context."""
-        w = np.where(self.ids < base.words, self.ids, -1)
-        v = np.roll(w, 1)
-        v[self.first] = base.start
-        n = base.count(v)
-        at = np.flatnonzero((v >= 0) & (n >= base.least))
-        w, v = np.where(base.count(w) >= base.least, w, base.start)[at], v[at]
-        grams, inverse = np.unique(v * base.width + w, return_inverse=True)
-        head, word = grams // base.width, grams % base.width
-        return Asked(base, head, word, inverse, base.count(head)), at
+        width, n = len(self.words), base.count(self.words)
+        start, known = width - 1, n >= base.least
+        known[:start] &= self.words[:start] < base.words
+        before = np.roll(self.tokens, 1)
+        before[self.first] = start
+        at = np.flatnonzero(known[before])
+        of = np.where(known, np.arange(width), start)
+        grams, inverse = distinct(before[at] * width + of[self.tokens[at]])
+        v, w = np.divmod(grams, width)
+        return Asked(base, np.arange(width), v, w, self.words[v], self.words[w], inverse, n[v]), at
 
     def triples(self, base: Base, two: Asked, at: np.ndarray, n: np.ndarray) -> tuple[Asked, np.ndarray, np.ndarray]:
         """What is asked about triples, the tokens that have a kept pair for context, and the count of that pair."""
-        pair, kept = np.full(len(self.ids), -1), np.zeros(len(self.ids), np.int64)
+        width = len(self.words)
+        pair, kept = np.full(len(self.tokens), -1), np.zeros(len(self.tokens), np.int64)
         pair[at], kept[at] = two.inverse, n[two.inverse]
-        before = np.roll(pair, 1)
-        before[self.first] = -1
-        at3 = np.flatnonzero((before >= 0) & (np.roll(kept, 1) > 0))
-        before, word = before[at3], np.where(kept > 0, self.ids, base.start)[at3]
-        whole = two.head * base.width + two.word
-        heads, of = np.unique(whole[before], return_inverse=True)
-        grams, inverse = np.unique(of * base.width + word, return_inverse=True)
-        head = heads[grams // base.width]
-        seen = np.zeros(len(heads), np.int64)
-        seen[of] = n[before]
-        low = np.zeros(len(grams), np.int64)
-        low[inverse] = kept[at3]
-        return Asked(base, head, grams % base.width, inverse, seen[grams // base.width]), at3, low
+        before = np.roll(kept, 1)
+        before[self.first] = 0
+        at3 = np.flatnonzero(before)
+        before, here = pair[at3 - 1], kept[at3]
+        used = np.zeros(len(n), bool)
+        used[before] = True
+        heads, place = np.flatnonzero(used), np.cumsum(used) - 1
+        word = np.where(here > 0, self.tokens[at3], width - 1)
+        grams, inverse = distinct(place[before] * width + word)
+        of, last = np.divmod(grams, width)
+        low, ends = np.zeros(len(grams), np.int64), np.full(len(grams), -1)
+        low[inverse], ends[inverse] = here, pair[at3]
+        head = two.head[heads] * base.width + two.word[heads]
+        return Asked(base, heads, of, last, head[of], self.words[last], inverse, n[heads][of], ends), at3, low
 
     def times(self, base: Base, asked: Asked, at: np.ndarray) -> np.ndarray:
         """How often each of ``asked`` stands in training texts."""
         n = np.bincount(asked.inverse, np.repeat(self.trained, self.sizes)[at], len(asked.head)).astype(np.int64)
         return np.where(asked.word == base.start, 0, n)
 
+    def unigrams(self, base: Base) -> np.ndarray:
+        """log10 of the base's probability of every token."""
+        return np.log10(base.unigram(self.words))[self.tokens]
+
     def score(self, base: Base, two: Asked, told2: tuple, three: Asked, told3: tuple) -> np.ndarray:
         """log10 of the probability of every text."""
-        words = np.unique(np.append(self.ids, base.start))
-        model = automaton(base, words, two, told2, three, told3)
-        return model.traverse(np.searchsorted(words, self.ids), np.log10(base.unigram(self.ids)), self.first, self.sizes)
+        model = automaton(base, self.words, two, told2, three, told3)
+        return model.traverse(self.tokens, self.unigrams(base), self.first, self.sizes)
 
 
 _BLOCK = "block long, doc_id array<long>, held_out array<boolean>, sizes binary, tokens binary"
@@ -381,16 +435,14 @@ def read_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
         def one() -> pa.RecordBatch:
             here = pa.Table.from_batches(held)
-            place, at, sizes = {END: 0}, [], []
-            for text in here.column("text").to_pylist():
-                found = words(text)
-                sizes.append(len(found) + 1)
-                at.extend([place.setdefault(w, len(place)) for w in found])
-                at.append(0)
-            tokens, sizes = np.array(at, np.int64), np.array(sizes, np.int64)
+            sizes, found = words(here.column("text").combine_chunks())
+            found, sizes = found.dictionary_encode(), sizes + 1
+            tokens = np.ones(int(sizes.sum()), np.int64)
+            tokens[np.cumsum(sizes) - 1] = 0
+            tokens[tokens > 0] += found.indices.to_numpy()
             trained = np.array([x is False for x in here.column("held_out").to_pylist()], np.float64)
-            n = np.bincount(tokens, np.repeat(trained, sizes), len(place)).astype(np.int64)
-            ids, out = [here.column(c).to_pylist() for c in ("doc_id", "held_out")], b" ".join(list(place)[1:])
+            n = np.bincount(tokens, np.repeat(trained, sizes), 1 + len(found.dictionary)).astype(np.int64)
+            ids, out = [here.column(c).to_pylist() for c in ("doc_id", "held_out")], b" ".join(found.dictionary.to_pylist())
             data = [pa.array([number]), pa.array([ids[0]], pa.list_(pa.int64())), pa.array([ids[1]], pa.list_(pa.bool_()))]
             return pa.record_batch([*data, *(pa.array([x], pa.binary()) for x in (pack(sizes), pack(tokens), _packed(out), pack(n)))], names)
 
@@ -474,17 +526,20 @@ def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: flo
     def number(here: pa.Table, known: pa.Table) -> pa.Table:
         ids = np.empty(known.num_rows, np.int64)
         ids[known.column("place").to_numpy()] = known.column("id").to_numpy()
-        tokens = ids[unpack(here.column("tokens")[0].as_py())]
-        return here.set_column(here.schema.get_field_index("tokens"), "tokens", pa.array([pack(tokens)], pa.binary()))
+        found, own = np.unique(ids, return_inverse=True)
+        tokens, found = own[unpack(here.column("tokens")[0].as_py())], np.diff(found, prepend=0)
+        here = here.set_column(here.schema.get_field_index("tokens"), "tokens", pa.array([pack(tokens)], pa.binary()))
+        return here.append_column("words", pa.array([pack(found)], pa.binary()))
 
     known = asked.select("block", "place", "word").join(counts.select("word", "id"), "word", "left")
     known = known.select("block", "place", F.coalesce("id", F.lit(-1)).alias("id"))
     blocks = read.select("block", "doc_id", "held_out", "sizes", "tokens")
-    blocks = cut(blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(number, _BLOCK))
+    blocks = cut(blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(number, f"{_BLOCK}, words binary"))
 
     def block_of(here) -> Block:
         trained = np.array([x is False for x in here.column("held_out")[0].as_py()], np.float64)
-        return Block(unpack(here.column("tokens")[0].as_py()), unpack(here.column("sizes")[0].as_py()), trained)
+        found, tokens, sizes = (unpack(here.column(c)[0].as_py()) for c in ("words", "tokens", "sizes"))
+        return Block(np.append(np.cumsum(found), shared.value.start), tokens, sizes, trained)
 
     def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -502,7 +557,7 @@ def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: flo
         m, block = shared.value, block_of(here)
         two, at = block.pairs(m)
         three, at3, low = block.triples(m, two, at, two.read(m, told, spread2.value)[0])
-        return three.rows(here.column("block")[0].as_py(), block.times(m, three, at3), low[three.order])
+        return three.rows(here.column("block")[0].as_py(), block.times(m, three, at3), low)
 
     asks = blocks.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(ask_triples, _ddl(_ASK))
     triples = answered(asks, shared, 3)
@@ -516,7 +571,8 @@ def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: flo
         told2 = two.read(m, told.filter(pa.array(size == 2)), spread2.value)
         three, _, _ = block.triples(m, two, at, told2[0])
         told3 = three.read(m, told.filter(pa.array(size == 3)), spread3.value)
-        sums = [np.add.reduceat(x, block.first) for x in ((block.ids >= 0).astype(np.int64), np.log10(m.unigram(block.ids)))]
+        known = (block.words >= 0).astype(np.int64)[block.tokens]
+        sums = [np.add.reduceat(x, block.first) for x in (known, block.unigrams(m))]
         sums.append(block.score(m, two, told2, three, told3))
         return pa.table(
             [

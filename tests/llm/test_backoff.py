@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,34 @@ def test_the_whole_model_by_default(spark):
         assert len(rows) == len(texts)
         for i in (*range(42), 100, len(texts) - 1):
             assert by[i] == pytest.approx(naive.score(texts[i])), (bucket_tokens, i)
+
+
+def test_words_are_cut_as_by_bytes():
+    odd = [" a\tB ", "", None, "   ", "Ä b\x85c \x1cd\x1f", "x\n\ny\x0b\x0cz\r", "one", "İ É ퟿  Q"]
+    rng = random.Random(8)
+    odd += ["".join(rng.choice(" \t\n\x0b\x0c\r\x1c\x85  aBÉ") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    texts = pa.array([None if t is None else t.encode() for t in ["before", *odd, "after"]], pa.binary())[1:-1]
+    want = [t.lower().split() if t else [] for t in texts.to_pylist()]
+    sizes, found = backoff.words(texts)
+    assert sizes.tolist() == list(map(len, want)) and found.to_pylist() == [w for ws in want for w in ws]
+
+
+@pytest.mark.parametrize("top", [3, 1 << 20, 1 << 60, (1 << 63) - 1])
+def test_distinct_numbers_and_places(top):
+    for n in (0, 1, 2, 500):
+        key = np.random.default_rng(n).integers(0, top, n)
+        want, got = np.unique(key, return_inverse=True), backoff.distinct(key)
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_long_texts_are_read_in_few_steps_through_a_table_of_arcs(monkeypatch):
+    """Each step goes over all pieces side by side; arcs are found by hash."""
+    width, rng = 50, np.random.default_rng(9)
+    arcs = np.unique(rng.integers(width, (1 + width) * width, 900))
+    a = backoff.Automaton(width, arcs, -rng.random(len(arcs)), 1 + arcs % width, np.zeros(1 + width, np.int64), -rng.random(1 + width))
+    every = np.arange((1 + width) * width)
+    assert a._arc(every).tolist() == [int(np.searchsorted(arcs, k)) if k in arcs else -1 for k in every.tolist()]
+    steps, follow = [], a._follow
+    monkeypatch.setattr(a, "_follow", lambda *x: steps.append(1) or follow(*x))
+    a.traverse(rng.integers(0, width - 1, 5000), -rng.random(5000), np.array([0]), np.array([5000]))
+    assert len(steps) < 100
