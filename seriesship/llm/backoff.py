@@ -68,7 +68,9 @@ def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bits = len(key).bit_length()
     if int(key.max(initial=0)).bit_length() + bits > 63:
         return np.unique(key, return_inverse=True)
-    both = np.sort((key << bits) | np.arange(len(key)))
+    both = key << bits
+    both |= np.arange(len(key))
+    both.sort()
     place = both & ((1 << bits) - 1)
     both >>= bits
     new = np.diff(both, prepend=-1) != 0
