@@ -95,6 +95,11 @@ class Vocabulary:
         self.score_of = np.zeros(1 + max((i for i, _ in self.known.values()), default=0))
         for i, score in self.known.values():
             self.score_of[i] = score
+        #: Code points of the texts of pieces, one after another, by id: for decoding many paths at once.
+        texts = [self.text[i] if i in self.text else "" for i in range(len(self.score_of))]
+        self.points_of = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.length_of = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.from_of = np.cumsum(self.length_of) - self.length_of
         whole = all(len(_FINE.findall(p)) == 1 or p == "\n" for p in self.known)
         self.parts = _FINE if whole and not any(map(_SPLIT.search, self.known)) else _COARSE
         if any(re.search(r"[^ ] |.\n|\n.", p) for p in self.known):
@@ -167,8 +172,8 @@ class Vocabulary:
             wrong = wrong[(self.begins[at[wrong]] != key[wrong]) & (out[wrong] > -2)]
         return out
 
-    def best(self, strings: list[str]) -> Iterator[tuple[str, tuple[bytes, float, float]]]:
-        """(string, (best ids as int32, score, what the second path costs)) of different strings.
+    def best(self, strings: list[str]) -> Iterator[tuple[str, tuple[bytes, float, float, bool]]]:
+        """(string, (best ids as int32, score, what the second path costs, decoding gives it back)) of different strings.
 
         Some thousand strings go forward side by side; every node keeps the scores of its two best paths. Long strings
         and those with characters that have no piece go one by one.
@@ -176,11 +181,11 @@ class Vocabulary:
         for at in range(0, len(strings), _SIDE_BY_SIDE):
             yield from self._best(strings[at : at + _SIDE_BY_SIDE])
 
-    def _best(self, strings: list[str]) -> Iterator[tuple[str, tuple[bytes, float, float]]]:
+    def _best(self, strings: list[str]) -> Iterator[tuple[str, tuple[bytes, float, float, bool]]]:
         short = [s for s in strings if len(s) <= _SHORT]
         for s in strings:
             if len(s) > _SHORT:
-                yield s, self._one(s)
+                yield s, self._proven(s, self._one(s))
         sizes = np.fromiter(map(len, short), np.int64, len(short))
         points = np.frombuffer("".join(short).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         n = len(points)
@@ -232,13 +237,29 @@ class Vocabulary:
             paths.append(np.where(open_, by[now], -1))
             now = np.where(open_, came[now], now)
         table = np.array(paths[::-1]).T if paths else np.zeros((len(short), 0), np.int64)
-        count_ = (table >= 0).sum(axis=1)
-        flat, upto = table[table >= 0].astype(np.int32).tobytes(), (4 * np.cumsum(count_)).tolist()
+        ids, count_ = table[table >= 0], (table >= 0).sum(axis=1)
+        flat, upto = ids.astype(np.int32).tobytes(), (4 * np.cumsum(count_)).tolist()
         gaps = np.where(reached, best[ends], 0.0) - second[ends]
-        a = 0
-        for s, ok, b, total, gap in zip(short, reached.tolist(), upto, best[ends].tolist(), gaps.tolist()):
-            yield s, (flat[a:b], total, gap) if ok else self._one(s)
-            a = b
+        same = self._decoded(ids, np.repeat(np.arange(len(short)), count_), points, first, sizes) & reached
+        own = map(flat.__getitem__, map(slice, [0, *upto], upto))
+        found = list(zip(own, best[ends].tolist(), gaps.tolist(), same.tolist()))
+        for k in np.flatnonzero(~same).tolist():
+            s = short[k]
+            found[k] = self._proven(s, found[k][:3] if reached[k] else self._one(s))
+        yield from zip(short, found)
+
+    def _decoded(self, ids: np.ndarray, word: np.ndarray, points: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the texts of the pieces ``ids``, each of the string ``word``, make up the code points of every string."""
+        length = self.length_of[ids]
+        right = np.bincount(word, length, len(sizes)).astype(np.int64) == sizes
+        fits = right[word]
+        length, word, begin = length[fits], word[fits], self.from_of[ids[fits]]
+        upto = np.cumsum(length)
+        step = np.arange(int(length.sum()))
+        got = self.points_of[step + np.repeat(begin - upto + length, length)]
+        given = points[np.repeat(right, sizes)]
+        right[np.repeat(word, length)[got != given]] = False
+        return right
 
     def _one(self, text: str) -> tuple[bytes, float, float]:
         found = self.nbest(text, 2)
@@ -323,14 +344,16 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
             ends = np.cumsum([0, *map(len, found)])
             part = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64, int(ends[-1]))
             strings = list(number)
-            memo.fill(set(strings), lambda new: ((s, v._proven(s, x)) for s, x in v.best(new)))
+            memo.fill(set(strings), v.best)
             known = list(map(memo.__getitem__, strings))
             ids_of = list(map(itemgetter(0), known))
             score_of = np.fromiter(map(itemgetter(1), known), np.float64, len(known))[part]
             gap_of = np.fromiter(map(itemgetter(2), known), np.float64, len(known))[part]
-            size_of = np.fromiter(map(len, ids_of), np.int64, len(known))[part] // 4
-            flat = np.frombuffer(b"".join(map(ids_of.__getitem__, part.tolist())), np.int32)
+            sizes = np.fromiter(map(len, ids_of), np.int64, len(known)) // 4
+            size_of = sizes[part]
             upto = np.concatenate([[0], np.cumsum(size_of)])
+            flat = np.frombuffer(b"".join(ids_of), np.int32)
+            flat = flat[np.arange(upto[-1]) + np.repeat((np.cumsum(sizes) - sizes)[part] - upto[:-1], size_of)]
             # Bytes of one character never stand in two parts, so a text decodes if its parts do and make it up.
             wrong = {s for s, x in zip(strings, known) if not x[3]}
             out: list[list] = [[], [], [], [], [], []]

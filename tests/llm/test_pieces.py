@@ -104,3 +104,20 @@ def test_no_piece_reaches_over_a_cut():
 
 def test_empty(spark):
     assert pieces.encode(cases.empty(spark), SMALL).count() == 0
+
+
+def test_paths_are_decoded_side_by_side(monkeypatch):
+    """Strings whose characters all have pieces are not decoded one by one; a piece that reads otherwise is found out."""
+    v = pieces.Vocabulary([(p, 256 + i, -float(i)) for i, p in enumerate([" ", "a", "b", "ab", " ab", "İx"])], list(range(256)))
+    alone, one = [], v._proven
+    monkeypatch.setattr(v, "_proven", lambda s, x: alone.append(s) or one(s, x))
+    strings = [" ab", "abab", "İxa", "é", "b", "ab" * 40, " a"]
+    got = dict(v.best(strings))
+    assert sorted(alone) == sorted(["é", "ab" * 40]) and all(x[3] for x in got.values())
+    assert all(v.decode(memoryview(x[0]).cast("i"), 0) == s for s, x in got.items())
+
+    wrong = pieces.Vocabulary([("a", 256, 0.0), ("b", 257, -1.0), ("ab", 258, -2.0)], list(range(256)))
+    wrong.text[257] = "a"
+    wrong.points_of = wrong.points_of.copy()
+    wrong.points_of[wrong.from_of[257]] = ord("a")
+    assert {s: x[3] for s, x in wrong.best(["a", "b", "ab", "bb", "aa"])} == {"a": True, "b": False, "ab": True, "bb": False, "aa": True}
