@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesship.llm.common import cut, shuffles_end_with_queries, slices
+from seriesship.llm.common import cut, lean, shuffles_end_with_queries, slices
 
 #: The end of a text, counted as a token. No word holds white space.
 END = b"\n"
@@ -61,22 +61,25 @@ def words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different ones of whole numbers from 0 on, sorted, and the place of each among them.
+    """The different ones of whole numbers from 0 on, sorted, and the place of each among them. ``key`` is overwritten.
 
     Where both fit in 64 bits, number and place are sorted as one number, which is several times faster than an argsort.
     """
     bits = len(key).bit_length()
     if int(key.max(initial=0)).bit_length() + bits > 63:
         return np.unique(key, return_inverse=True)
-    both = key << bits
-    both |= np.arange(len(key))
-    both.sort()
-    place = both & ((1 << bits) - 1)
-    both >>= bits
-    new = np.diff(both, prepend=-1) != 0
+    key <<= bits
+    key |= np.arange(len(key))
+    key.sort()
+    place = key & ((1 << bits) - 1)
+    key >>= bits
+    new = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
+    found = key[new]
+    np.cumsum(new, out=key)
+    key -= 1
     inverse = np.empty(len(key), np.int64)
-    inverse[place] = np.cumsum(new) - 1
-    return both[new], inverse
+    inverse[place] = key
+    return found, inverse
 
 
 @dataclass
@@ -176,18 +179,18 @@ def automaton(base: Base, words: np.ndarray, two: Asked, told2: tuple, three: As
     seen = n2[heads]
 
     back = np.zeros(1 + width + len(heads))
-    (arcs2, counts2, low2), (arcs3, counts3, low3) = sums2.T, sums3.T
+    (arcs2, counts2, low2), (arcs3, counts3, low3) = sums2, sums3
     lower2 = (low2 + SMOOTH * arcs2) / (base.tokens + SMOOTH * (base.distinct + 1))
-    lower3 = (low3 - DISCOUNT * arcs3) / np.maximum(n[two.last[heads]][three.of], 1)
-    back[1 + two.of] = _backed(counts2 - DISCOUNT * arcs2, lower2, np.maximum(n[two.of], 1))
-    back[1 + width + three.of] = _backed(counts3 - DISCOUNT * arcs3, lower3, seen[three.of])
+    lower3 = (low3 - DISCOUNT * arcs3) / np.maximum(n[two.last[heads]], 1)
+    back[1 : 1 + width] = _backed(counts2 - DISCOUNT * arcs2, lower2, np.maximum(n, 1))
+    back[1 + width :] = _backed(counts3 - DISCOUNT * arcs3, lower3, seen)
     fail = np.concatenate([np.zeros(1 + width, np.int64), 1 + two.last[heads]])
 
     # An arc leads to the pair that its last two words make, if the block goes on from it, else to its last word.
-    state = 1 + two.last
+    state = 1 + two.last.astype(np.int64)
     state[heads] = 1 + width + np.arange(len(heads))
     k2, k3 = np.flatnonzero(n2), np.flatnonzero(n3)
-    u, h = two.of[k2], three.of[k3]
+    u, h = two.of[k2].astype(np.int64), three.of[k3].astype(np.int64)
     arcs = np.concatenate([(1 + u) * width + two.last[k2], (1 + width + h) * width + three.last[k3]])
     if not len(arcs):
         return Automaton(width, np.array([-1]), np.zeros(1), np.zeros(1, np.int64), fail, back)
@@ -262,46 +265,63 @@ class Asked:
     """The distinct (context, word) of a block at one order, sorted, the place of each token among them, and their buckets.
 
     ``contexts`` are the block's own words or, at order 3, pairs; ``of`` and ``last`` tell context and word of each in the
-    block's numbers, ``head`` and ``word`` in ids. ``pair`` is the pair of the last two words, where that is kept.
+    block's numbers, ``head`` and ``word`` in ids. ``pair`` is the pair of the last two words, where that is kept. A block's
+    own numbers are under 2^31, as a text's bytes are, and are held in 32 bits.
     """
 
     def __init__(
-        self, base: Base, contexts: np.ndarray, of: np.ndarray, last: np.ndarray, head: np.ndarray, word: np.ndarray,
+        self, base: Base, contexts: np.ndarray, heads: np.ndarray, words: np.ndarray, of: np.ndarray, last: np.ndarray,
         inverse: np.ndarray, seen: np.ndarray, pair: np.ndarray | None = None,
     ) -> None:
-        """``seen`` tells how often the context occurs."""
-        self.contexts, self.of, self.last, self.head, self.word = contexts, of, last, head, word
-        self.inverse, self.pair = inverse, pair
-        light, spread = _mixed(head), _mixed(_mixed(head) + word.astype(np.uint64))
-        n = np.uint64(base.buckets)
-        bucket = np.where(seen > base.heavy, spread % n + n, light % n)
+        """``heads`` has the id of each context, ``seen`` how often it occurs, ``words`` the id of each word."""
+        self.contexts, self.heads, self.words, self.pair = contexts, heads, words, pair
+        self.of, self.last, self.inverse = (x.astype(np.int32) for x in (of, last, inverse))
+        n, mixed = np.uint64(base.buckets), _mixed(heads)
+        bucket, far = (mixed % n)[of], np.flatnonzero((seen > base.heavy)[of])
+        bucket[far] = _mixed(mixed[of[far]] + words[last[far]].astype(np.uint64)) % n + n
         bucket = bucket.astype(np.uint16 if base.buckets < 1 << 15 else np.int64)  # short numbers are sorted faster
-        self.order = np.argsort(bucket, kind="stable")
-        self.bucket = bucket[self.order].astype(np.int64)
-        first = np.flatnonzero(np.diff(self.bucket, prepend=-1))
-        self.parts = {int(self.bucket[i]): self.order[i:j] for i, j in zip(first, np.append(first[1:], len(bucket)))}
+        order = np.argsort(bucket, kind="stable").astype(np.int32)
+        first = np.flatnonzero(np.append(True, np.diff(bucket := bucket[order]) != 0)) if len(order) else np.zeros(0, np.int64)
+        self.parts = {int(bucket[i]): order[i:j] for i, j in zip(first, np.append(first[1:], len(bucket)))}
+        self.far = order[np.searchsorted(bucket, base.buckets) :]
+
+    @property
+    def head(self) -> np.ndarray:
+        return self.heads[self.of]
+
+    @property
+    def word(self) -> np.ndarray:
+        return self.words[self.last]
 
     def rows(self, block: int, count: np.ndarray, lower: np.ndarray | None = None) -> pa.Table:
         """What goes to the buckets."""
         out: list[tuple] = []
         for b, at in self.parts.items():
             low = None if lower is None else pack(lower[at])
-            out.append((b, block, pack(np.diff(self.head[at], prepend=0)), pack(self.word[at]), pack(count[at]), low))
+            head, word = self.heads[self.of[at]], self.words[self.last[at]]
+            out.append((b, block, pack(np.diff(head, prepend=0)), pack(word), pack(count[at]), low))
         return pa.table([pa.array(list(c), t.type) for c, t in zip(list(zip(*out)) or [()] * 6, _ASK)], schema=_ASK)
 
-    def read(self, base: Base, answers: pa.Table, spread: tuple) -> tuple[np.ndarray, np.ndarray]:
-        """For each (context, word): its count if kept, else 0; and, by column, the three sums of its context."""
-        n, sums = np.zeros(len(self.head), np.int64), np.zeros((len(self.head), 3), np.int64)
-        for b, x, *own in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", *SUMS))):
-            at = self.parts[b]
-            n[at] = unpack(x)
+    def kept(self, answers: pa.Table) -> np.ndarray:
+        """For each (context, word) its count if kept, else 0."""
+        n = np.zeros(len(self.of), np.int64)
+        for b, x in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n"))):
+            n[self.parts[b]] = unpack(x)
+        return n
+
+    def sums(self, base: Base, answers: pa.Table, spread: tuple) -> np.ndarray:
+        """The three sums of each context; 0 where nothing is asked about it."""
+        sums = np.zeros((3, len(self.contexts)), np.int64)
+        for b, *own in zip(*(answers.column(c).to_pylist() for c in ("bucket", *SUMS))):
             if b < base.buckets:
-                of = np.cumsum(np.diff(self.head[at], prepend=-1) != 0) - 1
-                sums[at] = np.column_stack([unpack(y) for y in own])[of]
-        heads, far = spread[0], self.order[np.searchsorted(self.bucket, base.buckets) :]
-        if len(far):
-            sums[far] = spread[1][np.searchsorted(heads, self.head[far])]
-        return n, sums
+                of = self.of[self.parts[b]]
+                of = of[np.diff(of, prepend=-1) != 0]
+                for x, y in zip(sums, own):
+                    x[of] = unpack(y)
+        if len(self.far):
+            far = np.unique(self.of[self.far])
+            sums[:, far] = spread[1][np.searchsorted(spread[0], self.heads[far])].T
+        return sums
 
 
 _ASK = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("head", pa.binary()), ("word", pa.binary()), ("count", pa.binary()), ("low", pa.binary())])
@@ -321,6 +341,7 @@ def _ddl(schema: pa.Schema) -> str:
 def answered(asks: DataFrame, shared, order: int) -> DataFrame:
     """The buckets' answers, and the parts of the sums of spread contexts (without a block)."""
 
+    @lean
     def run(here: pa.Table) -> pa.Table:
         base: Base = shared.value
         bucket = here.column("bucket")[0].as_py()
@@ -373,6 +394,7 @@ class Block:
     trained: np.ndarray
 
     def __post_init__(self) -> None:
+        self.tokens = self.tokens.astype(np.int32)
         self.first = np.cumsum(self.sizes) - self.sizes
 
     def pairs(self, base: Base) -> tuple[Asked, np.ndarray]:
@@ -383,35 +405,46 @@ class Block:
         before = np.roll(self.tokens, 1)
         before[self.first] = start
         at = np.flatnonzero(known[before])
-        of = np.where(known, np.arange(width), start)
-        grams, inverse = distinct(before[at] * width + of[self.tokens[at]])
-        v, w = np.divmod(grams, width)
-        return Asked(base, np.arange(width), v, w, self.words[v], self.words[w], inverse, n[v]), at
+        key = before[at].astype(np.int64)
+        del before
+        key *= width
+        key += np.where(known, np.arange(width), start)[self.tokens[at]]
+        grams, inverse = distinct(key)
+        del key
+        return Asked(base, np.arange(width), self.words, self.words, *np.divmod(grams, width), inverse, n), at.astype(np.int32)
 
     def triples(self, base: Base, two: Asked, at: np.ndarray, n: np.ndarray) -> tuple[Asked, np.ndarray, np.ndarray]:
         """What is asked about triples, the tokens that have a kept pair for context, and the count of that pair."""
         width = len(self.words)
-        pair, kept = np.full(len(self.tokens), -1), np.zeros(len(self.tokens), np.int64)
-        pair[at], kept[at] = two.inverse, n[two.inverse]
-        before = np.roll(kept, 1)
-        before[self.first] = 0
-        at3 = np.flatnonzero(before)
-        before, here = pair[at3 - 1], kept[at3]
+        pair = np.full(len(self.tokens), -1, np.int32)
+        pair[at] = two.inverse
+        follows = np.zeros(len(self.tokens), bool)
+        follows[at] = n[two.inverse] > 0
+        follows = np.roll(follows, 1)
+        follows[self.first] = False
+        at3 = np.flatnonzero(follows)
+        before, pair = pair[at3 - 1], pair[at3]
+        here = np.where(pair >= 0, n[pair], 0)
         used = np.zeros(len(n), bool)
         used[before] = True
         heads, place = np.flatnonzero(used), np.cumsum(used) - 1
-        word = np.where(here > 0, self.tokens[at3], width - 1)
-        grams, inverse = distinct(place[before] * width + word)
-        of, last = np.divmod(grams, width)
-        low, ends = np.zeros(len(grams), np.int64), np.full(len(grams), -1)
-        low[inverse], ends[inverse] = here, pair[at3]
-        head = two.head[heads] * base.width + two.word[heads]
-        return Asked(base, heads, of, last, head[of], self.words[last], inverse, n[heads][of], ends), at3, low
+        key = place[before]
+        key *= width
+        key += np.where(here > 0, self.tokens[at3], width - 1)
+        del place, before
+        grams, inverse = distinct(key)
+        del key
+        low, ends = np.zeros(len(grams), np.int64), np.full(len(grams), -1, np.int32)
+        low[inverse], ends[inverse] = here, pair
+        ids = self.words[two.of[heads]] * base.width + self.words[two.last[heads]]
+        asked = Asked(base, heads, ids, self.words, *np.divmod(grams, width), inverse, n[heads], ends)
+        return asked, at3.astype(np.int32), low
 
     def times(self, base: Base, asked: Asked, at: np.ndarray) -> np.ndarray:
         """How often each of ``asked`` stands in training texts."""
-        n = np.bincount(asked.inverse, np.repeat(self.trained, self.sizes)[at], len(asked.head)).astype(np.int64)
-        return np.where(asked.word == base.start, 0, n)
+        n = np.bincount(asked.inverse, np.repeat(self.trained, self.sizes)[at], len(asked.of)).astype(np.int64)
+        n[asked.last == len(self.words) - 1] = 0
+        return n
 
     def unigrams(self, base: Base) -> np.ndarray:
         """log10 of the base's probability of every token."""
@@ -429,6 +462,7 @@ _BLOCK = "block long, doc_id array<long>, held_out array<boolean>, sizes binary,
 def read_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Texts by block, as places in the block's own list of words (the end comes first), with the words' counts."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         names = ["block", "doc_id", "held_out", "sizes", "tokens", "words", "n"]
@@ -465,6 +499,7 @@ def read_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 def words_of(blocks: DataFrame) -> DataFrame:
     """(block, place, word, n) of the distinct words of each block; n counts training texts."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, found, n in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "n"))):
@@ -525,6 +560,7 @@ def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: flo
     base = Base(np.cumsum(many) - many, n, tokens, distinct, texts, often, least, buckets, max(1, bucket_tokens // 4))
     shared = spark.sparkContext.broadcast(base)
 
+    @lean
     def number(here: pa.Table, known: pa.Table) -> pa.Table:
         ids = np.empty(known.num_rows, np.int64)
         ids[known.column("place").to_numpy()] = known.column("id").to_numpy()
@@ -543,6 +579,7 @@ def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: flo
         found, tokens, sizes = (unpack(here.column(c)[0].as_py()) for c in ("words", "tokens", "sizes"))
         return Block(np.append(np.cumsum(found), shared.value.start), tokens, sizes, trained)
 
+    @lean
     def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -555,26 +592,31 @@ def _score(docs: DataFrame, held_out: Column, word_share: float, gram_share: flo
     spread2 = spark.sparkContext.broadcast(spread_sums(pairs))
     pairs = pairs.where(F.col("block").isNotNull()).select("block", F.lit(2).alias("size"), "bucket", "n", *SUMS)
 
+    @lean
     def ask_triples(here: pa.Table, told: pa.Table) -> pa.Table:
         m, block = shared.value, block_of(here)
         two, at = block.pairs(m)
-        three, at3, low = block.triples(m, two, at, two.read(m, told, spread2.value)[0])
+        three, at3, low = block.triples(m, two, at, two.kept(told))
         return three.rows(here.column("block")[0].as_py(), block.times(m, three, at3), low)
 
-    asks = blocks.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(ask_triples, _ddl(_ASK))
+    asks = blocks.groupBy("block").cogroup(pairs.select("block", "bucket", "n").groupBy("block")).applyInArrow(ask_triples, _ddl(_ASK))
     triples = answered(asks, shared, 3)
     spread3 = spark.sparkContext.broadcast(spread_sums(triples))
     triples = triples.where(F.col("block").isNotNull()).select("block", F.lit(3).alias("size"), "bucket", "n", *SUMS)
 
+    @lean
     def answer(here: pa.Table, told: pa.Table) -> pa.Table:
         m, block = shared.value, block_of(here)
+        sums = [np.add.reduceat((block.words >= 0).astype(np.int64)[block.tokens], block.first)]
+        sums.append(np.add.reduceat(block.unigrams(m), block.first))
         size = told.column("size").to_numpy()
+        answers = told.filter(pa.array(size == 2))
         two, at = block.pairs(m)
-        told2 = two.read(m, told.filter(pa.array(size == 2)), spread2.value)
-        three, _, _ = block.triples(m, two, at, told2[0])
-        told3 = three.read(m, told.filter(pa.array(size == 3)), spread3.value)
-        known = (block.words >= 0).astype(np.int64)[block.tokens]
-        sums = [np.add.reduceat(x, block.first) for x in (known, block.unigrams(m))]
+        told2 = two.kept(answers), two.sums(m, answers, spread2.value)
+        three = block.triples(m, two, at, told2[0])[0]
+        answers = told.filter(pa.array(size == 3))
+        told3 = three.kept(answers), three.sums(m, answers, spread3.value)
+        del at, answers
         sums.append(block.score(m, two, told2, three, told3))
         return pa.table(
             [

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -181,3 +182,18 @@ def test_long_texts_are_read_in_few_steps_through_a_table_of_arcs(monkeypatch):
     monkeypatch.setattr(a, "_follow", lambda *x: steps.append(1) or follow(*x))
     a.traverse(rng.integers(0, width - 1, 5000), -rng.random(5000), np.array([0]), np.array([5000]))
     assert len(steps) < 100
+
+
+def test_what_a_block_holds_a_token():
+    """Under half of what it held with ids, contexts and sums of every n-gram in 64 bits."""
+    rng = np.random.default_rng(4)
+    n = 300_000
+    tokens, sizes = rng.zipf(1.3, n) % 40_000, np.full(n // 100, 100)
+    base = backoff.Base(np.array([0]), np.array([50]), n, 40_000, len(sizes), 40_000, 2, 3, 1 << 18)
+    block = backoff.Block(np.arange(40_001), tokens, sizes, np.ones(len(sizes)))
+    tracemalloc.start()
+    two, at = block.pairs(base)
+    held, most = (x / n for x in tracemalloc.get_traced_memory())
+    tracemalloc.stop()
+    assert len(two.head) > n / 4 and len(at) == n
+    assert held < 20 and most < 50
