@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesship.llm.common import cut, slices, small
+from seriesship.llm.common import cut, lean, slices, small
 
 SIZE = 5
 #: Two sets link when NUM * overlap >= DEN * (sum of sizes): Jaccard similarity of 0.8 or more.
@@ -85,6 +85,7 @@ def _survey(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, n long, digest binary, keys array<long>, sketch binary, token long"
     names = ["doc_id", "n", "digest", "keys", "sketch", "token"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = token_sets(batch.column("text").to_pylist())
@@ -136,6 +137,7 @@ def _tokens_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     ids = cut(ids.distinct())
     few = small(ids, ids.count(), 16)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = token_sets(batch.column("text").to_pylist())
@@ -155,6 +157,7 @@ def _plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("of_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("of_b"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 256) for c in ("of_a", "of_b"))
@@ -176,6 +179,7 @@ def _linked(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     left = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("of_a"))
     right = tokens.select(F.col("id").alias("b"), F.col("tokens").alias("of_b"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()
@@ -188,6 +192,7 @@ def _linked(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
 def _prefixes(docs: DataFrame, hot) -> DataFrame:
     """The matrix, not yet merged over tasks: (token, grp, most tokens from it on, least size << 32 | largest size)."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = hot.value
         for batch in slices(batches, "text"):
@@ -272,6 +277,7 @@ def _qualifying(matrix: DataFrame) -> DataFrame:
                     out[:] = [_distinct(out)]
         return _distinct(out)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
@@ -321,6 +327,7 @@ def _opened(pairs: DataFrame, groups: DataFrame, tokens: DataFrame) -> DataFrame
     right = asked.join(blocks, "g").join(tokens.withColumnRenamed("id", "query"), "query")
     right = right.select(F.explode(F.sequence(F.lit(0), F.col("ms") - 1)).alias("m"), F.pmod(F.xxhash64("query"), F.col("qs")).cast("int").alias("s"), "query", F.col("tokens").alias("own"), F.col("g").alias("of"))
 
+    @lean
     def compare(members: pa.Table, queries: pa.Table) -> pa.Table:
         sets = [np.frombuffer(t, np.uint64) for t in members.column("tokens").to_pylist()] if members.num_rows else []
         a, b = [], []

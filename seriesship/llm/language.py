@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesship.llm.common import slices
+from seriesship.llm.common import lean, slices
 
 UNKNOWN = "und"
 #: Hash buckets for character n-grams, their longest length, lexicon entries for each language.
@@ -260,6 +260,7 @@ def annotate(docs: DataFrame, model, language: str = "lang_pred", share: str = "
 
 
 def _labeller(model, added: tuple[str, str] | None):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         names = np.array([*m.languages, UNKNOWN], dtype=object)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from seriesship.llm.common import Memo, slices
+from seriesship.llm.common import Memo, lean, slices
 
 _EDIT = "struct<start:int,size:int,ids:array<int>>"
 SCHEMA = (
@@ -329,6 +329,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = shared.value
 

@@ -4,7 +4,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from seriesship.llm import common
+from pyspark.sql.classic.dataframe import DataFrame
+
+from seriesship.llm import common, jaccard, language, pieces
+from seriesship.llm.queries import TOKENIZERS
 
 
 def held_mb():
@@ -35,3 +38,17 @@ def test_what_a_task_no_longer_holds_goes_back_to_the_system(arity):
     assert held_mb() - before < 30
     use(pin)
     assert held_mb() - before > 100  # so an allocator would have kept it
+
+
+def test_the_tasks_of_the_pipeline_give_memory_back(spark, monkeypatch):
+    """Its stages share their workers, so what one stage's tasks kept was held through all the others."""
+    docs = spark.createDataFrame([], "doc_id long, text string, grp long")
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, run, schema: run)
+    share = spark.sparkContext.broadcast
+    vocabulary = pieces.Vocabulary.load(f"{TOKENIZERS}/piece_bpe_32k.model")
+    hot = share((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    runs = [language.annotate(docs, share(language.Model([]))), jaccard._survey(docs), jaccard._prefixes(docs, hot), pieces.encode(docs, vocabulary)]
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    for k, run in enumerate(runs):
+        assert list(run(iter([]))) == [] and len(calls) == k + 1
