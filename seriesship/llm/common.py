@@ -53,6 +53,19 @@ def shuffles_end_with_queries(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+#: The rows that a Python worker is sent at once: their bytes, besides their number, 10,000 as a rule.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on batches for Python workers have about 8 MB in this session, unless it has a bound of its own.
+
+    Spark reads it when a frame is run, so it stays set. 10,000 texts take 60 MB and more, in the JVM and in the worker.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(8 << 20))
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint if its ``rows``, of at most ``row_bytes`` each, stay under the limit; else as it is."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

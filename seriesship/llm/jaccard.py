@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesship.llm.common import cut, lean, slices, small
+from seriesship.llm.common import bound_batches, cut, lean, slices, small
 
 SIZE = 5
 #: Two sets link when NUM * overlap >= DEN * (sum of sizes): Jaccard similarity of 0.8 or more.
@@ -374,6 +374,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = _bytes(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"))
     survey = cut(_survey(docs))
     rows = survey.where(F.col("token").isNull())

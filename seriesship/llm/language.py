@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesship.llm.common import lean, slices
+from seriesship.llm.common import bound_batches, lean, slices
 
 UNKNOWN = "und"
 #: Hash buckets for character n-grams, their longest length, lexicon entries for each language.
@@ -248,12 +248,14 @@ def identify(docs: DataFrame, learn_from: Column) -> DataFrame:
     A text that is null or has no letter, and every text if there was nothing to learn from, is ``und`` with score 0.
     Repeated rows are answered each; ties go to the language that sorts first. Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(train(docs.where(learn_from).select("text", "lang")))
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(_labeller(model, None), SCHEMA)
 
 
 def annotate(docs: DataFrame, model, language: str = "lang_pred", share: str = "score") -> DataFrame:
     """``docs`` with two columns added, of these names; columns that have them are replaced. ``model`` is broadcast."""
+    bound_batches(docs.sparkSession)
     docs = docs.drop(language, share)
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(_labeller(model, (language, share)), f"{schema}, `{language}` string, `{share}` double")

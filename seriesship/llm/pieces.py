@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from seriesship.llm.common import Memo, lean, slices
+from seriesship.llm.common import Memo, bound_batches, lean, slices
 
 _EDIT = "struct<start:int,size:int,ids:array<int>>"
 SCHEMA = (
@@ -327,6 +327,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, n: int = 4) -> DataFrame:
     ``size`` ids give way to others. ``decoded`` says that decoding gives the text back. A null text has no ids, null
     ``decoded`` and score; an empty one has no ids and score 0. Other columns are ignored, repeated rows answered each.
     """
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     @lean

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from seriesship.llm import common, jaccard, language, pieces
@@ -52,3 +53,24 @@ def test_the_tasks_of_the_pipeline_give_memory_back(spark, monkeypatch):
     monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
     for k, run in enumerate(runs):
         assert list(run(iter([]))) == [] and len(calls) == k + 1
+
+
+def test_batches_for_the_workers_are_bounded_in_bytes(spark):
+    """2000 texts of 20 KB came as one batch of 40 MB; a bound that the session has stays."""
+    before = spark.conf.get(common._BATCH, None)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch({"bytes": [b.nbytes], "rows": [b.num_rows]})
+
+    try:
+        spark.conf.unset(common._BATCH)
+        docs = spark.range(2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b "), 5000).alias("text"))
+        language.annotate(docs, spark.sparkContext.broadcast(language.Model([])))
+        found = docs.mapInArrow(sizes, "bytes long, rows long").collect()
+        assert sum(r["rows"] for r in found) == 2000 and max(r["bytes"] for r in found) < 12 << 20
+        spark.conf.set(common._BATCH, "1000000")
+        common.bound_batches(spark)
+        assert spark.conf.get(common._BATCH) == "1000000"
+    finally:
+        spark.conf.unset(common._BATCH) if before is None else spark.conf.set(common._BATCH, before)
